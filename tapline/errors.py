@@ -39,7 +39,7 @@ _KIND_BY_PATTERN = (
     ("data", re.compile(r"Failed to convert bytes to UTF|USER_RAISED_EXCEPTION|NUMERIC_VALUE_OUT_OF_RANGE"
                         r"|CAST_INVALID_INPUT|CAST_OVERFLOW|ARITHMETIC_OVERFLOW")),
     ("connection", re.compile(r"SQLNonTransientConnectionException|SQLTransientConnectionException"
-                              r"|No suitable driver|ClassNotFoundException|Failed to (?:start|connect to) database"
+                              r"|No suitable driver|ClassNotFoundException|Failed to (?:start|connect to|create) database|Database '[^']*' not found"
                               r"|Connection refused|SQLSTATE:? 08")),
     ("database", re.compile(r"java\.sql\.|SQLException|SQLSyntaxErrorException|JDBC_EXTERNAL_ENGINE")),
     ("not_implemented", re.compile(r"UNSUPPORTED_|UNRECOGNIZED_SQL_TYPE")),

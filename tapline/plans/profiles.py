@@ -309,6 +309,8 @@ def normalise(
 def over_length_counts(df: DataFrame, cap: int) -> DataFrame:
     """Rows per text column that are longer than ``cap``: one aggregation, one row per text column."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, rows_over bigint")
     counts = [F.count_if(V.over_length(F.col(f"`{n}`"), cap)).alias(n) for n in names]
     pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("rows_over")) for n in names])
     return df.agg(*counts).select(F.inline(pairs))

@@ -206,6 +206,6 @@ def range_predicates(column: str, cuts: list[str]) -> tuple[str, ...]:
     return (f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}")
 
 
-def date_predicates(column: str, days: list) -> tuple[str, ...]:
-    """range_predicates at the given dates, in the ANSI date literal."""
-    return range_predicates(column, [f"DATE '{d:%Y-%m-%d}'" for d in sorted(days)])
+def date_predicates(column: str, days: list, literal: str = "DATE '{}'") -> tuple[str, ...]:
+    """range_predicates at the given dates; ``literal`` is how the database writes a date (ANSI by default)."""
+    return range_predicates(column, [literal.format(f"{d:%Y-%m-%d}") for d in sorted(days)])
