@@ -229,3 +229,21 @@ def arrange(df: DataFrame, dir_columns: tuple[str, ...], order_by: tuple[str, ..
     else:
         placed = df.withColumn("__task", F.lit(0))
     return placed.repartitionById(layout.tasks, F.col("__task")).sortWithinPartitions(*sort.sort_columns).drop("__task")
+
+
+def skip_rows(df: DataFrame, order_by: tuple[str, ...], count: int) -> DataFrame:
+    """The sorted result without its first ``count`` rows: OFFSET for a unique key, with no task that sees all rows.
+
+    The key of the first row to keep is found from the key columns alone; the rest is a filter on it.
+    """
+    sort = SortKey(df, order_by)
+    if count > 0:
+        keys = df.select(sort.column.alias("key"))
+        summary = _key_summary(df.sparkSession, keys, ROWS_PER_TASK)
+        counts = sorted((r["range"], r["rows"]) for r in summary.select("range", "rows").collect())
+        if count >= sum(rows for _, rows in counts):
+            return df.limit(0)
+        gaps = _gaps(df.sparkSession, summary, counts, [count], ROWS_PER_TASK)
+        first = sort.literal(_cuts(keys, sort, gaps, [count]))
+        df = df.where(sort.column >= F.get(first, F.lit(0)))
+    return df.orderBy(*sort.sort_columns)
