@@ -25,7 +25,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 def write(spark, query, **more):
     """An extraction from the given tables to a new folder."""
     folder = scratch_folder(spark, "bench")
-    register(spark, SF_DIR)
+    register(spark, SF_DIR, query)
     return tapline.read_to_parquet(
         tapline.SESSION_TABLES, query, f"{folder}/data", "t", f"{folder}/log", 0, "POSTGRES", spark=spark, **more
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +19,17 @@ TABLES = (
 )
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    """The given tables as session tables, under their own names."""
+def register(spark: SparkSession, sf_dir: str, *queries: str) -> None:
+    """The given tables that the queries name, as session tables under their own names."""
+    words = set(re.findall(r"\w+", " ".join(queries)))
     for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        if name in words:
+            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
 def rows(spark: SparkSession, sf_dir: str, sql: str, profile: str, declared=None, switches=Switches()) -> DataFrame:
     """A query on the given tables under a type profile."""
-    register(spark, sf_dir)
+    register(spark, sf_dir, sql)
     return extract(spark, ConnectionOptions(SESSION_TABLES, sql, profile), declared, switches)
 
 

@@ -32,7 +32,7 @@ def _options(spark: SparkSession, table_dir: str, **more) -> ExtractOptions:
 
 
 def _extract(spark, sf_dir, query, options, profile="POSTGRES", **more):
-    register(spark, sf_dir)
+    register(spark, sf_dir, query)
     return extract_to_parquet(spark, ConnectionOptions(SESSION_TABLES, query, profile), options, **more)
 
 
@@ -96,7 +96,6 @@ def _dated_parts(spark, sf_dir):
 
 def _empty_result(spark, sf_dir):
     """A filter that no row passes, for each datasource type: what the manifest then holds."""
-    register(spark, sf_dir)
     found = []
     for profile, policy in EMPTY_POLICY.items():
         options = _options(spark, "empty", order_by=(), empty_policy=policy)
@@ -125,12 +124,12 @@ def _manifest_reconcile(spark, sf_dir):
 
 
 def _many_tables(spark, sf_dir):
-    register(spark, sf_dir)
     folder = scratch_folder(spark, "output")
     keys = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey", "lineitem": None}
     jobs = [
         {"query": f"SELECT * FROM {t}", "table_dir": t, **({"order_by": k} if k else {})} for t, k in keys.items()
     ]
+    register(spark, sf_dir, *[job["query"] for job in jobs])
     return extract_many(
         spark, jobs, connection_string=SESSION_TABLES, datasource_type="ODBC", base_dir=f"{folder}/data",
         log_dir=f"{folder}/log", total_size=0,
@@ -181,7 +180,7 @@ def _encrypted_roundtrip(spark, sf_dir):
     options = replace(_options(spark, "events"), encryption_key=public)
     write_parts(rows(spark, sf_dir, EVENTS, "POSTGRES"), options)
     folder = paths.table_uri(options)
-    return read_encrypted(spark, sorted(f.uri for f in Store(spark, folder).files(folder)), private)
+    return read_encrypted(spark, sorted(f"{folder}/{name}" for name in Store(spark, folder).names(folder)), private)
 
 
 _RANK = "row_number() OVER (ORDER BY {}) - 1"

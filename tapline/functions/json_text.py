@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 
 import pandas as pd
@@ -13,10 +14,15 @@ from pyspark.sql.types import StringType
 # Executors get the helpers with the task, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# What the JVM variant type would print differently: fractions and exponents (1.0 would become 1), a negative
-# zero, integers near or beyond 64 bits, escaped control characters, and keys outside the basic plane (whose
-# order differs between UTF-16 and UTF-8).
-_NEEDS_EXACT = r"[0-9][.eE]|-0|[0-9]{19}|\\u00[01]|[\x{10000}-\x{10FFFF}]|\\u[dD][89abAB]"
+# Documents with something that the JVM's variant type would print differently. Matches inside texts do no harm.
+_NEEDS_EXACT = (
+    r"(?=[-0-9.\\\x{10000}-\x{10FFFF}])(?:"  # only these can start a match
+    r"[0-9](?:[eE]|[0-9.]{16})"  # exponents; more digits than a double holds, integers near or beyond 64 bits
+    r"|\.0(?:0*(?![0-9])|000)"  # a fraction of zeros (1.0 would become 1); small fractions
+    r"|-0(?![.0-9])"  # negative zero
+    r"|\\u(?:00[01]|[dD][89abAB])"  # escaped control characters
+    r"|[\x{10000}-\x{10FFFF}])"  # keys outside the basic plane sort differently in UTF-16
+)
 
 _U64_MAX = 2**64 - 1
 _I64_MIN = -(2**63)
@@ -78,22 +84,40 @@ def _reject_constant(text: str):
     raise ValueError(f"{text} is not JSON")
 
 
-def canonical_text(text: str) -> str:
-    """Canonical form of one JSON text; ValueError if it is not JSON."""
-    return _write(json.loads(text, parse_int=_number, parse_constant=_reject_constant))
+_HUGE = re.compile(r"[0-9]{19}")
+
+
+def canonicaliser():
+    """A function that gives the canonical form of one JSON text; ValueError if it is not JSON."""
+    decode = json.JSONDecoder(parse_constant=_reject_constant).decode
+    encode = json.JSONEncoder(ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode
+
+    def canonical(text: str) -> str:
+        # Python's own printing differs in exponents, negative zero and integers beyond 64 bits.
+        if "-0" in text or _HUGE.search(text):
+            return _write(json.loads(text, parse_int=_number, parse_constant=_reject_constant))
+        value = decode(text)
+        out = encode(value)
+        return _write(value) if "e-" in out or "e+" in out else out
+
+    return canonical
 
 
 @F.pandas_udf(StringType())
 def _exact(texts: pd.Series) -> pd.Series:
-    return texts.map(canonical_text, na_action="ignore")
+    return texts.map(canonicaliser(), na_action="ignore")
+
+
+def plain_json(c: Column) -> Column:
+    """Canonical form by the JVM, or NULL for a document that it cannot be trusted with."""
+    return F.when(~c.rlike(_NEEDS_EXACT), F.to_json(F.try_parse_json(c)))
+
+
+def exact_json(c: Column, plain: Column) -> Column:
+    """``plain`` where it is there; the other documents go to Python, which sees NULL for all others."""
+    return F.coalesce(plain, _exact(F.when(plain.isNull(), c)))
 
 
 def canonical_json(c: Column) -> Column:
-    """Canonical form of a JSON text column.
-
-    Plain documents are handled in the JVM. Only those whose numbers or escapes the variant type would print
-    differently, and those it refuses (equal keys), go to Python; for all others the Python side sees NULL.
-    """
-    plain = F.when(~c.rlike(_NEEDS_EXACT), F.to_json(F.try_parse_json(c)))
-    rest = F.when(plain.isNull(), c)
-    return F.coalesce(plain, _exact(rest))
+    """Canonical form of a JSON text column."""
+    return exact_json(c, plain_json(c))

@@ -7,11 +7,11 @@ from pyspark.sql import Column, functions as F
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 EPOCH_DATE = "date'1970-01-01'"
 
-# Calendar texts as databases print them; a zone at the end is allowed and ignored.
+# Calendar text as databases print it: the local fields down to microseconds, then digits and a zone to leave out.
+_LOCAL = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]{1,6})?)?)?"
+_ZONE = r"(?:Z|[A-Za-z_]+(?:/[A-Za-z_/+0-9-]+)?|[+-][0-9]{1,2}(?::?[0-9]{2}){0,2})"
+_CALENDAR = rf"^\s*({_LOCAL})[0-9]*\s*{_ZONE}?\s*$"
 _DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-_ZONE = r"(?<=:[0-9.]{1,12})\s*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2}){0,2}|[A-Za-z_]+/[A-Za-z_/+0-9-]+)$"
-# A seventh fraction digit and those after it are below a microsecond.
-_BELOW_MICROS = r"(\.[0-9]{6})[0-9]+"
 
 
 def _shift(c: Column, unit: str, amount: Column) -> Column:
@@ -31,8 +31,7 @@ def instant_to_millis(c: Column) -> Column:
 
 def wall_clock(c: Column) -> Column:
     """Timestamp text with its local fields taken as they stand and any offset ignored."""
-    local = F.regexp_replace(F.regexp_replace(F.trim(c), _ZONE, ""), _BELOW_MICROS, "$1")
-    return F.when(local.rlike(_DATE_TEXT), local.try_cast("timestamp_ntz"))
+    return F.regexp_extract(c, _CALENDAR, 1).try_cast("timestamp_ntz")
 
 
 def timestamp_or_null(c: Column) -> Column:

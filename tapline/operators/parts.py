@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -54,26 +55,23 @@ def _write_plain(df: DataFrame, options: ExtractOptions, staging: str) -> None:
     writer.parquet(staging)
 
 
-def _rows_by_file(spark: SparkSession, staging: str, schema) -> dict[str, int]:
-    """Rows of every staged file, from the file footers: no column is read."""
+def _staged_plain(spark: SparkSession, store: Store, staging: str, schema) -> Iterator[Staged]:
+    """The staged files with their row counts, which come from the file footers: no column is read."""
     files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(staging)
-    counted = files.groupBy(F.col("_metadata.file_path").alias("path")).count()
-    return {_below(r["path"], staging): r["count"] for r in counted.toLocalIterator()}
-
-
-def _below(uri: str, staging: str) -> str:
-    return uri.partition(staging.rsplit("/", 1)[-1] + "/")[2]
-
-
-def _staged_plain(spark: SparkSession, store: Store, staging: str, df: DataFrame, options) -> Iterator[Staged]:
-    schema = df.drop(*options.dir_columns).schema
-    rows = _rows_by_file(spark, staging, schema)
-    for info in store.files(staging, recursive=True):
-        match = _SPARK_FILE.match(info.name)
+    uri, written = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    counted = files.groupBy(uri.alias("uri"), F.unix_millis(written).alias("written_millis")).count()
+    found = [
+        (r["uri"].partition(staging.rsplit("/", 1)[-1] + "/")[2], r["count"], r["written_millis"])
+        for r in counted.toLocalIterator()
+    ]
+    if not found:
+        # Files without rows do not show up above; an empty result has at least one.
+        found = [(name, 0, int(time.time() * 1000)) for name in store.names(staging)]
+    for below, rows, millis in found:
+        folder, _, name = below.rpartition("/")
+        match = _SPARK_FILE.match(name)
         if match:
-            below = _below(info.uri, staging)
-            order = (int(match[1]), int(match[2]))
-            yield Staged(below.rpartition("/")[0], order, rows.get(below, 0), info.uri, info.modified_millis)
+            yield Staged(folder, (int(match[1]), int(match[2])), rows, f"{staging}/{below}", millis)
 
 
 def _check(staged: dict[str, list[Staged]], layout: Layout, options: ExtractOptions) -> None:
@@ -119,7 +117,7 @@ def write_parts(df: DataFrame, options: ExtractOptions) -> Result:
             written = [Staged(f, (t, i), n, u, ms) for f, t, i, n, u, ms in found]
         else:
             _write_plain(df, options, staging)
-            written = list(_staged_plain(spark, store, staging, df, options))
+            written = list(_staged_plain(spark, store, staging, df.drop(*options.dir_columns).schema))
         staged = _in_order(written, options)
         if layout:
             _check(staged, layout, options)
@@ -148,10 +146,10 @@ def _commit(spark: SparkSession, store: Store, base: str, staged: dict[str, list
     for folder, files in staged.items():
         target = f"{base}/{folder}" if folder else base
         store.make_folder(target)
-        for info in store.files(target):
-            match = pattern.match(info.name)
+        for name in store.names(target):
+            match = pattern.match(name)
             if match and int(match[1]) >= len(files):
-                stale.append(info.uri)
+                stale.append(f"{target}/{name}")
         moves += [(s.uri, f"{target}/{paths.part_name(options, i)}") for i, s in enumerate(files)]
     store.move_all(moves)
     store.delete_all(stale)

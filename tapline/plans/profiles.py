@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tapline import functions as V
 from tapline.errors import ExtractionError
+from tapline.functions.json_text import exact_json, plain_json
 from tapline.functions.times import seconds_of_day_text
 from tapline.plans.declared import Declared, declared_types
 
@@ -31,6 +32,10 @@ class Source:
     declared: Declared
     switches: Switches
 
+    @property
+    def first_name(self) -> str:
+        return f"`__first_{self.name.replace('`', '``')}`"
+
     @property
     def is_text(self) -> bool:
         return isinstance(self.type, T.StringType)
@@ -46,8 +51,11 @@ class Source:
 
 @dataclass(frozen=True)
 class Target:
+    """A column as it leaves. ``first`` is computed one projection earlier, for rules that use it more than once."""
+
     col: Column
     metadata: dict = field(default_factory=dict)
+    first: Column | None = None
 
 
 Rule = Callable[[Source], Target]
@@ -110,7 +118,7 @@ def _pg_numeric(s: Source) -> Target:
 
 def _pg_json(s: Source) -> Target:
     text = F.to_json(s.col) if s.is_nested else s.col.cast("string")
-    return Target(V.canonical_json(text), {"json": "true"})
+    return Target(exact_json(text, F.col(s.first_name)), {"json": "true"}, plain_json(text))
 
 
 def _pg_other(s: Source) -> Target:
@@ -295,15 +303,17 @@ def normalise(
     declared: dict[str, str] | None = None,
     switches: Switches = Switches(),
 ) -> DataFrame:
-    """The profile as one projection. Nothing is read here; an unsupported type raises at once."""
+    """The profile as a projection. Nothing is read here; an unsupported type raises at once."""
     rule = _PROFILES[profile]
     sources = declared_types(df.schema, profile, declared)
-    columns = []
+    columns, earlier = [], {}
     for f in df.schema.fields:
         quoted = F.col("`" + f.name.replace("`", "``") + "`")
         target = rule(Source(quoted, f.name, f.dataType, sources[f.name], switches))
         columns.append(target.col.alias(f.name, metadata=target.metadata))
-    return df.select(*columns)
+        if target.first is not None:
+            earlier[f"__first_{f.name}"] = target.first
+    return df.withColumns(earlier).select(*columns) if earlier else df.select(*columns)
 
 
 def over_length_counts(df: DataFrame, cap: int) -> DataFrame:
