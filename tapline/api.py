@@ -54,13 +54,20 @@ def extract_to_parquet(
     date_column: str | None = None,
     stage: bool | None = None,
 ) -> Result:
-    """Read, normalise, write. ``stage`` writes the result to the scratch folder first, so that the source answers
-    the query once although an ordered write reads its rows more than once; that is the default for databases."""
+    """Read, normalise, write.
+
+    An ordered write reads its rows more than once. ``stage`` writes the result to the scratch folder first, so that
+    the source answers the query once; that is the default for databases and for queries that are not deterministic,
+    and worth asking for where the query joins or aggregates.
+    """
     if options.order_by and not conn.reads_session_tables and conn.split is None:
         conn = conn.with_split(Split(column=options.order_by[0])) if _splittable(spark, conn, options) else conn
     df = extract(spark, conn, declared, switches)
     staged = None
-    if stage if stage is not None else bool(options.order_by) and not conn.reads_session_tables:
+    if stage is None:
+        repeatable = conn.reads_session_tables and df._jdf.queryExecution().analyzed().deterministic()
+        stage = bool(options.order_by) and not repeatable
+    if stage:
         staged = scratch_folder(spark, "staged")
         schema = df.schema
         df.write.parquet(staged)

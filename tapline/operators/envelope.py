@@ -41,6 +41,7 @@ MAGIC = b"TAPLENV1"
 KEY_NAME, KEY_NAMESPACE = "static-id", "static-random"
 FRAME_BYTES = 1 << 20
 ROW_GROUP_ROWS = 100_000
+MAX_READ_TASKS = 10_000
 
 _FRAME_SCHEMA = (
     "folder string, task int, number int, seq bigint, last boolean, rows bigint, "
@@ -339,9 +340,10 @@ def _decoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_encrypted(spark: SparkSession, uris: list[str], private_pem: str) -> DataFrame:
-    """Rows of encrypted parts, one task per file. A frame that was changed, moved or cut off fails the read."""
-    files = spark.createDataFrame([(i, u) for i, u in enumerate(uris)], "n int, uri string").repartitionById(
-        max(len(uris), 1), F.col("n")
+    """Rows of encrypted parts, whole files per task. A frame that was changed, moved or cut off fails the read."""
+    tasks = max(1, min(len(uris), MAX_READ_TASKS))
+    files = spark.createDataFrame([(i % tasks, u) for i, u in enumerate(uris)], "task int, uri string").repartitionById(
+        tasks, F.col("task")
     ).select("uri")
     heads = files.mapInArrow(_header_reader, "wrapped string, schema string").distinct().collect()
     schemas = {r["schema"] for r in heads}

@@ -8,6 +8,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,6 +21,9 @@ from tapline.plans.layout import Layout, arrange, plan_layout
 # Writer task and file number within it, as Spark puts them in a file name.
 _SPARK_FILE = re.compile(r"^part-([0-9]+)-.*[.-]c([0-9]+)\.")
 
+# Values that stand in a folder name as they are.
+_FOLDER_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -40,6 +44,9 @@ class Result:
 
 
 def _folder_of(names: tuple[str, ...], values: tuple[str, ...]) -> str:
+    for value in values:
+        if not value or not _FOLDER_VALUE.match(value):
+            raise ExtractionError("data", f"cannot name a folder after {value!r}")
     return "/".join(f"{n}={v}" for n, v in zip(names, values))
 
 
@@ -57,13 +64,13 @@ def _write_plain(df: DataFrame, options: ExtractOptions, staging: str) -> None:
 
 def _staged_plain(spark: SparkSession, store: Store, staging: str, schema) -> Iterator[Staged]:
     """The staged files with their row counts, which come from the file footers: no column is read."""
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(staging)
+    counter = spark.newSession()
+    # A task does little more than open files here, so it gets many of them.
+    counter.conf.set("spark.sql.files.maxPartitionBytes", "16g")
+    files = counter.read.schema(schema).option("recursiveFileLookup", "true").parquet(staging)
     uri, written = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
-    counted = files.groupBy(uri.alias("uri"), F.unix_millis(written).alias("written_millis")).count()
-    found = [
-        (r["uri"].partition(staging.rsplit("/", 1)[-1] + "/")[2], r["count"], r["written_millis"])
-        for r in counted.toLocalIterator()
-    ]
+    counted = files.groupBy(uri.alias("uri"), F.unix_millis(written).alias("written_millis")).count().collect()
+    found = [(unquote(_below(r["uri"], staging)), r["count"], r["written_millis"]) for r in counted]
     if not found:
         # Files without rows do not show up above; an empty result has at least one.
         found = [(name, 0, int(time.time() * 1000)) for name in store.names(staging)]
@@ -74,6 +81,10 @@ def _staged_plain(spark: SparkSession, store: Store, staging: str, schema) -> It
             yield Staged(folder, (int(match[1]), int(match[2])), rows, f"{staging}/{below}", millis)
 
 
+def _below(uri: str, staging: str) -> str:
+    return uri.partition(staging.rsplit("/", 1)[-1] + "/")[2]
+
+
 def _check(staged: dict[str, list[Staged]], layout: Layout, options: ExtractOptions) -> None:
     """Every part but the last of a folder must be full; anything else means that the order key is not unique."""
     for folder in layout.folders:

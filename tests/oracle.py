@@ -1,6 +1,7 @@
 """Run every named query beside its SQL: python tests/oracle.py [sf] [name ...]"""
 
 import math
+import os
 import sys
 import time
 from decimal import Decimal
@@ -52,7 +53,9 @@ if __name__ == "__main__":
 
     sf, wanted = (sys.argv[1] if len(sys.argv) > 1 else "0.01"), sys.argv[2:]
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        SparkSession.builder.master(os.environ.get("ORACLE_MASTER", "local[8]"))
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.executor.memory", "2g")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g").getOrCreate()
     )

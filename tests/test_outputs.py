@@ -201,7 +201,7 @@ def test_drop_in_call(spark, tmp_path):
 def test_staging_reads_the_query_once(spark, tmp_path):
     rows = tapline.read_to_parquet(
         tapline.SESSION_TABLES, "select cast(rand() * 1e15 as bigint) * 1000 + event_id % 1000 k from events",
-        str(tmp_path / "d"), "t", str(tmp_path / "l"), 1000, "ODBC", batch_size=10, order_by="k", stage=True,
+        str(tmp_path / "d"), "t", str(tmp_path / "l"), 1000, "ODBC", batch_size=10, order_by="k",
     )
     files = sorted((tmp_path / "d/t").iterdir())
     keys = [r.k for f in files for r in spark.read.parquet(str(f)).collect()]

@@ -164,6 +164,14 @@ def test_a_failed_run_leaves_the_earlier_one_in_place(spark, tmp_path):
     assert not [p for p in os.listdir(tmp_path / "data/t") if p.startswith(".writing")]
 
 
+def test_folders_by_any_column(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "concat('a b:', id % 2) kind")
+    assert write_parts(df, options(tmp_path, dir_columns=("kind",))).rows == 100
+    assert spark.read.parquet(str(tmp_path / "data/t")).where("kind = 'a b:1'").count() == 50
+    with pytest.raises(ExtractionError, match="cannot name a folder"):
+        write_parts(df, options(tmp_path, "u", dir_columns=("kind",), order_by=("id",)))
+
+
 def test_duplicate_columns_are_refused(spark, tmp_path):
     with pytest.raises(ExtractionError, match="duplicate"):
         write_parts(spark.sql("select 1 a, 2 a"), options(tmp_path))
