@@ -2,30 +2,37 @@
 
 The part of a row follows from its rank in the order key. No row is ranked by a global window. Instead
 
-1. the order key alone is range-partitioned and sorted, and each partition reports its row count and every
-   ``chunk``-th key (one small row per partition, written to the scratch folder so that it exists once);
-2. the counts give the rank of each reported key, so each cut is known to lie between two of them; the keys in
-   those gaps, and only they, are ranked (at most ``chunk`` rows per gap, one gap per write task);
-3. every row finds its write task by a binary search of its key among the cuts, which is a few code-generated
+1. a sample of the order key gives splits that cut the keys into many buckets of about the same size;
+2. one pass over the key columns counts the rows of each bucket (combined before the shuffle), which gives the exact
+   rank of each bucket's first row and the few buckets that hold a task's first row;
+3. the keys in those buckets, and only they, are shuffled and ranked within their bucket;
+4. every row finds its write task by a binary search of its key among the cuts, which is a few code-generated
    comparisons, and the full rows are shuffled once.
 
+Splits and cuts are constants of the plans, so a lost executor's work comes out the same when it is done again.
 A write task holds whole parts, in order, so a file limit of ``chunk`` rows cuts them exactly.
 """
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tapline.errors import ExtractionError
-from tapline.session import scratch_folder
 
 # Below this many rows per task, more tasks than cores bring nothing.
 ROWS_PER_TASK = 500_000
 
+# Buckets per write task, their bounds, and sampled keys per bucket.
+BUCKETS_PER_TASK, MIN_BUCKETS, MAX_BUCKETS, SAMPLES_PER_BUCKET = 16, 64, 20_000, 32
+
+# A bucket this many times the average, and of at least so many rows, is looked at for a repeated key first.
+SUSPECT_SHARE, SUSPECT_ROWS = 50, 1_000_000
+
 _ORDERABLE = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.FloatType, T.DoubleType, T.StringType,
     T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType,
@@ -65,7 +72,7 @@ def _key_column(field: T.StructField) -> tuple[Column, T.DataType]:
 
 
 class SortKey:
-    """The sort key of a DataFrame as one struct column, and literals of that struct."""
+    """The sort key of a DataFrame: its columns under the names 0, 1, .., one value to compare, and literals of it."""
 
     def __init__(self, df: DataFrame, names: tuple[str, ...]):
         missing = [n for n in names if n not in df.columns]
@@ -73,21 +80,36 @@ class SortKey:
             raise ExtractionError("data", f"order key columns not in the result: {missing}")
         columns = [_key_column(df.schema[n]) for n in names]
         self.types = [t for _, t in columns]
-        self.column = F.struct(*[c.alias(str(i)) for i, (c, _) in enumerate(columns)])
+        self.names = [str(i) for i in range(len(names))]
+        self.columns = [c.alias(n) for n, (c, _) in zip(self.names, columns)]
         self.sort_columns = [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
-    def as_text(self, key: str) -> list[Column]:
-        return [F.col(f"{key}.`{i}`").cast("string").alias(f"{key}_{i}") for i in range(len(self.types))]
+    def value(self, columns: list[Column]) -> Column:
+        """What is compared: the column itself, or a struct of several."""
+        return columns[0] if len(columns) == 1 else F.struct(*columns)
 
-    def text_of(self, row, key: str) -> tuple[str, ...]:
-        return tuple(row[f"{key}_{i}"] for i in range(len(self.types)))
+    @property
+    def value_type(self) -> T.DataType:
+        if len(self.types) == 1:
+            return self.types[0]
+        return T.StructType([T.StructField(n, t) for n, t in zip(self.names, self.types)])
 
     def literal(self, keys: list[tuple[str, ...]]) -> Column:
-        """A constant array of keys; the driver sends their texts once and Spark folds the rest away."""
-        texts = T.StructType([T.StructField(str(i), T.StringType()) for i in range(len(self.types))])
-        typed = T.StructType([T.StructField(str(i), t) for i, t in enumerate(self.types)])
-        rows = json.dumps([{str(i): v for i, v in enumerate(key)} for key in keys])
-        return F.from_json(F.lit(rows), T.ArrayType(texts)).cast(T.ArrayType(typed))
+        """A constant array of key values; the driver sends their texts once and Spark folds the rest away."""
+        if len(self.types) == 1:
+            texts, rows = T.StringType(), [key[0] for key in keys]
+        else:
+            texts = T.StructType([T.StructField(n, T.StringType()) for n in self.names])
+            rows = [dict(zip(self.names, key)) for key in keys]
+        return F.from_json(F.lit(json.dumps(rows)), T.ArrayType(texts)).cast(T.ArrayType(self.value_type))
+
+
+def _texts(columns: list[Column], prefix: str) -> list[Column]:
+    return [c.cast("string").alias(f"{prefix}{i}") for i, c in enumerate(columns)]
+
+
+def _text_of(row, prefix: str, size: int) -> tuple[str, ...]:
+    return tuple(row[f"{prefix}{i}"] for i in range(size))
 
 
 def with_position(df: DataFrame, name: str, keys: Column, size: int, key: Column) -> DataFrame:
@@ -125,73 +147,53 @@ def _task_starts(folders: list[Folder], chunk: int, total: int, tasks: int) -> l
     return starts
 
 
-def _key_summary(spark: SparkSession, keys: DataFrame, chunk: int) -> DataFrame:
-    """Per range of the sorted keys: its number, its row count, every chunk-th key and the last one."""
-    index = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    ranged = (
-        keys.repartitionByRange("key").sortWithinPartitions("key")
-        .select("key", F.monotonically_increasing_id().alias("id"))
-    )
-    summary = ranged.groupBy(F.shiftright("id", 33).alias("range")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.array_sort(F.collect_list(F.when(index % chunk == 0, F.struct("id", "key")))).alias("samples"),
-        F.max("key").alias("last"),
+def _splits(keys: DataFrame, sort: SortKey, total: int, tasks: int) -> list[tuple[str, ...]]:
+    """Keys that cut all keys into buckets of about the same size, from a sample that the number of buckets bounds."""
+    buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, BUCKETS_PER_TASK * tasks))
+    fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / total)
+    sampled = keys if fraction == 1.0 else keys.sample(fraction, seed=total)
+    columns = [F.col(f"`{n}`") for n in sort.names]
+    found = sampled.orderBy(*columns).select(*_texts(columns, "key")).collect()
+    step = max(1, len(found) // buckets)
+    return [_text_of(row, "key", len(columns)) for row in found[step::step]]
+
+
+def _refuse_repeated_keys(bucketed: DataFrame, sort: SortKey, sizes: list[int]) -> None:
+    """A key that many rows share would come to one task to be ranked; it is found by counting, and refused."""
+    largest = max(range(len(sizes)), key=sizes.__getitem__)
+    if sizes[largest] < max(SUSPECT_ROWS, SUSPECT_SHARE * sum(sizes) / len(sizes)):
+        return
+    shared = _where(bucketed, F.col("bucket") == largest).groupBy(*sort.names).count().where("count > 1")
+    if not shared.isEmpty():
+        raise ExtractionError("data", "the order key is not unique: many rows share one key")
+
+
+def _cuts(keys: DataFrame, sort: SortKey, starts: list[int], total: int) -> list[tuple[str, ...]]:
+    """The keys at the wanted ranks, as texts."""
+    columns = [F.col(f"`{n}`") for n in sort.names]
+    splits = _splits(keys, sort, total, len(starts) + 1)
+    bucketed = with_position(keys, "bucket", sort.literal(splits), len(splits), sort.value(columns))
+    sizes = [0] * (len(splits) + 1)
+    for row in bucketed.groupBy("bucket").count().collect():
+        sizes[row["bucket"]] = row["count"]
+    _refuse_repeated_keys(bucketed, sort, sizes)
+    firsts = list(itertools.accumulate(sizes, initial=0))[:-1]
+    # The bucket of a rank is the last one that starts at or before it (empty ones start where the next one does).
+    wanted = {bisect.bisect_right(firsts, start) - 1 for start in starts}
+    held = F.from_json(F.lit(json.dumps([i in wanted for i in range(len(sizes))])), "array<boolean>")
+    first = F.from_json(F.lit(json.dumps(firsts)), "array<bigint>")
+    ranks = F.from_json(F.lit(json.dumps(starts)), "array<bigint>")
+    ranked = _where(bucketed, F.get(held, F.col("bucket"))).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("bucket").orderBy(*columns)) - 1 + F.get(first, F.col("bucket"))
     )
-    folder = scratch_folder(spark, "keys")
-    summary.write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
-def _gaps(
-    spark: SparkSession, summary: DataFrame, counts: list[tuple[int, int]], starts: list[int], chunk: int
-) -> DataFrame:
-    """The stretches between two known keys that hold a wanted rank: lowest key, highest key, rank of the lowest."""
-    offsets = itertools.accumulate((rows for _, rows in counts), initial=0)
-    first_rank = spark.createDataFrame(
-        [(number, offset) for (number, _), offset in zip(counts, offsets)], "range bigint, first_rank bigint"
-    )
-    stretches = (
-        summary.join(F.broadcast(first_rank), "range")
-        .select("rows", "last", "first_rank", "samples", F.posexplode("samples").alias("i", "sample"))
-        .select(
-            (F.col("first_rank") + F.col("i") * chunk).alias("rank"),
-            F.least(F.lit(chunk), F.col("rows") - F.col("i") * chunk).alias("rows"),
-            F.col("sample.key").alias("low"),
-            F.coalesce(F.get("samples.key", F.col("i") + 1), F.col("last")).alias("high"),
-        )
-    )
-    wanted = F.from_json(F.lit(json.dumps(starts)), "array<bigint>")
-    held = with_position(stretches, "before", wanted, len(starts), F.col("rank") - 1)
-    held = with_position(held, "upto", wanted, len(starts), F.col("rank") + F.col("rows") - 1)
-    return _where(held, F.col("upto") > F.col("before")).select("rank", "low", "high")
-
-
-def _cuts(keys: DataFrame, sort: SortKey, gaps: DataFrame, starts: list[int]) -> list[tuple[str, ...]]:
-    """The keys at the wanted ranks."""
-    columns = ["rank", *sort.as_text("low"), *sort.as_text("high")]
-    gaps = sorted(gaps.select(*columns).collect(), key=lambda r: r["rank"])
-    known = {g["rank"]: sort.text_of(g, "low") for g in gaps}
-    if all(start in known for start in starts):
-        return [known[start] for start in starts]
-    lows = sort.literal([sort.text_of(g, "low") for g in gaps])
-    highs = sort.literal([sort.text_of(g, "high") for g in gaps])
-    ranks = F.from_json(F.lit(json.dumps([g["rank"] for g in gaps])), "array<bigint>")
-    wanted = F.from_json(F.lit(json.dumps(starts)), "array<bigint>")
-    searched = with_position(keys, "gap", lows, len(gaps), F.col("key"))
-    inside = (
-        _where(searched, (F.col("gap") > 0) & (F.col("key") <= F.get(highs, F.col("gap") - 1)))
-        .withColumn("at", F.row_number().over(Window.partitionBy("gap").orderBy("key")) - 1)
-        .withColumn("rank", F.get(ranks, F.col("gap") - 1) + F.col("at"))
-    )
-    # The highest key of a gap is the lowest of the next one, so a rank can come up twice with the same key.
-    ranked = with_position(inside, "n", wanted, len(starts), F.col("rank"))
-    found = (
-        _where(ranked, (F.col("n") > 0) & (F.get(wanted, F.col("n") - 1) == F.col("rank")))
-        .select("rank", *sort.as_text("key")).distinct()
-    )
-    by_rank = {r["rank"]: sort.text_of(r, "key") for r in found.collect()}
+    placed = with_position(ranked, "n", ranks, len(starts), F.col("rank"))
+    found = _where(placed, (F.col("n") > 0) & (F.get(ranks, F.col("n") - 1) == F.col("rank")))
+    by_rank = {
+        row["rank"]: _text_of(row, "key", len(columns))
+        for row in found.select("rank", *_texts(columns, "key")).collect()
+    }
     if set(by_rank) != set(starts):
-        raise ExtractionError("data", "the order key changed between reads: write the query result to a table first")
+        raise ExtractionError("data", "the result changed between reads: write it to a table first (stage=True)")
     return [by_rank[start] for start in starts]
 
 
@@ -201,21 +203,19 @@ def plan_layout(
     """Folders with their row counts, and the first keys of the write tasks. Reads the key columns only."""
     spark = df.sparkSession
     sort = SortKey(df, (*dir_columns, *order_by))
-    keys = df.select(sort.column.alias("key"))
-    summary = _key_summary(spark, keys, chunk)
-    counts = sorted((r["range"], r["rows"]) for r in summary.select("range", "rows").collect())
-    total = sum(rows for _, rows in counts)
-    if total == 0:
-        return Layout([], chunk, [], 0)
+    keys = df.select(*sort.columns)
     if dir_columns:
         counted = df.groupBy(*dir_columns).count().orderBy(*dir_columns).collect()
         folders = [Folder(tuple(r[c] for c in dir_columns), r["count"]) for r in counted]
     else:
-        folders = [Folder((), total)]
+        folders = [Folder((), df.count())]
+    total = sum(f.rows for f in folders)
+    if total == 0:
+        return Layout([], chunk, [], 0)
     parts = sum(-(-f.rows // chunk) for f in folders)
     tasks = min(parts, max_tasks, max(spark.sparkContext.defaultParallelism, -(-total // ROWS_PER_TASK)))
     starts = _task_starts(folders, chunk, total, tasks)
-    cuts = _cuts(keys, sort, _gaps(spark, summary, counts, starts, chunk), starts) if starts else []
+    cuts = _cuts(keys, sort, starts, total) if starts else []
     return Layout(folders, chunk, cuts, total)
 
 
@@ -223,7 +223,7 @@ def arrange(df: DataFrame, dir_columns: tuple[str, ...], order_by: tuple[str, ..
     """The rows in one partition per write task, sorted: the only shuffle of full rows."""
     sort = SortKey(df, (*dir_columns, *order_by))
     if layout.cuts:
-        keyed = df.withColumn("__key", sort.column)
+        keyed = df.withColumn("__key", sort.value(sort.columns))
         placed = with_position(keyed, "__task", sort.literal(layout.cuts), len(layout.cuts), F.col("__key"))
         placed = placed.drop("__key")
     else:
@@ -238,12 +238,9 @@ def skip_rows(df: DataFrame, order_by: tuple[str, ...], count: int) -> DataFrame
     """
     sort = SortKey(df, order_by)
     if count > 0:
-        keys = df.select(sort.column.alias("key"))
-        summary = _key_summary(df.sparkSession, keys, ROWS_PER_TASK)
-        counts = sorted((r["range"], r["rows"]) for r in summary.select("range", "rows").collect())
-        if count >= sum(rows for _, rows in counts):
+        total = df.count()
+        if count >= total:
             return df.limit(0)
-        gaps = _gaps(df.sparkSession, summary, counts, [count], ROWS_PER_TASK)
-        first = sort.literal(_cuts(keys, sort, gaps, [count]))
-        df = df.where(sort.column >= F.get(first, F.lit(0)))
+        first = sort.literal(_cuts(df.select(*sort.columns), sort, [count], total))
+        df = df.where(sort.value(sort.columns) >= F.get(first, F.lit(0)))
     return df.orderBy(*sort.sort_columns)

@@ -93,6 +93,32 @@ def test_order_key_that_is_not_unique_is_refused_and_leaves_nothing(spark, tmp_p
     assert part_files(tmp_path) == []
 
 
+def test_a_key_shared_by_a_third_of_all_rows_is_refused_by_counting(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SUSPECT_ROWS", 100)
+    monkeypatch.setattr(layout, "SUSPECT_SHARE", 3)
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("k"))
+    with pytest.raises(ExtractionError, match="many rows share one key"):
+        write_parts(df, options(tmp_path, order_by=("k",)))
+    assert part_files(tmp_path) == []
+
+
+@pytest.mark.parametrize("buckets, samples", [(1, 1), (2, 3), (64, 1)])
+def test_cuts_do_not_depend_on_the_sample(spark, tmp_path, monkeypatch, buckets, samples):
+    monkeypatch.setattr(layout, "MIN_BUCKETS", 1)
+    monkeypatch.setattr(layout, "BUCKETS_PER_TASK", buckets)
+    monkeypatch.setattr(layout, "SAMPLES_PER_BUCKET", samples)
+    write_parts(shuffled(spark, 777), options(tmp_path, order_by=("three", "id")))
+    expected = sorted(range(777), key=lambda i: (i % 3, i))
+    assert ids_by_part(spark, tmp_path) == [expected[a:a + 100] for a in range(0, 777, 100)]
+
+
+@pytest.mark.parametrize("skipped", [0, 1, 499, 999, 1000, 2000])
+def test_skip_rows(spark, skipped):
+    df = layout.skip_rows(shuffled(spark, 1000), ("three", "id"), skipped)
+    expected = sorted(range(1000), key=lambda i: (i % 3, i))[skipped:]
+    assert [r.id for r in df.collect()] == expected
+
+
 def test_without_order_key_one_partition_is_cut_in_source_order(spark, tmp_path):
     df = spark.range(250).orderBy(F.desc("id")).coalesce(1)
     write_parts(df, options(tmp_path))
