@@ -24,7 +24,7 @@ class Store:
         self._fs = fs.getRaw() if fs.getUri().getScheme() == "file" else fs
 
     def _path(self, uri: str):
-        return self._hadoop.Path(uri)
+        return self._hadoop.Path("s3a" + uri[2:] if uri.startswith("s3://") else uri)
 
     def absolute(self, uri: str) -> str:
         return self._fs.makeQualified(self._path(uri)).toString()

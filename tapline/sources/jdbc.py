@@ -170,7 +170,7 @@ def read(spark: SparkSession, conn: ConnectionOptions, query: str) -> DataFrame:
     if split.predicates:
         properties = {k: v for k, v in options.items() if k != "url"}
         return spark.read.jdbc(options["url"], table, predicates=list(split.predicates), properties=properties)
-    lower, upper = _bounds(spark, options, query, split)
+    lower, upper = _bounds(spark, options, query, split, whole.columns)
     if lower is None or upper is None:
         return whole
     parts = split.partitions or spark.sparkContext.defaultParallelism
@@ -181,11 +181,15 @@ def read(spark: SparkSession, conn: ConnectionOptions, query: str) -> DataFrame:
     )
 
 
-def _bounds(spark: SparkSession, options: dict, query: str, split: Split) -> tuple:
+def _bounds(spark: SparkSession, options: dict, query: str, split: Split, columns: list[str]) -> tuple:
     """Given bounds, or the column's least and greatest value, which the database is asked for once."""
     if split.lower is not None and split.upper is not None:
         return split.lower, split.upper
-    ask = f"SELECT MIN({split.column}) lo, MAX({split.column}) hi FROM ({query}) b"
+    name = split.column
+    if name in columns:
+        # The name as the database reports it, in the quotes of its dialect.
+        name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(options["url"]).quoteIdentifier(name)
+    ask = f"SELECT MIN({name}) lo, MAX({name}) hi FROM ({query}) b"
     row = spark.read.format("jdbc").options(**{k: v for k, v in options.items() if k != "customSchema"}).option(
         "query", ask
     ).load().first()

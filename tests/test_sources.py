@@ -154,6 +154,12 @@ def test_read_to_parquet_in_key_order(spark, database, tmp_path):
     assert keys == [i * 7 - 300 for i in range(1000)]
 
 
+def test_a_split_column_may_need_quotes(spark, database):
+    query = 'select k as "orderId", v as "select" from numbers'
+    df = read(spark, conn(database, query, split=Split(column="orderId", partitions=3)))
+    assert df.rdd.getNumPartitions() == 3 and sorted(r.orderId for r in df.collect()) == [i * 7 - 300 for i in range(1000)]
+
+
 def test_read_to_parquet_in_cursor_order(spark, database, tmp_path):
     tapline.read_to_parquet(
         database, "select k from numbers order by k desc", str(tmp_path / "d"), "t", str(tmp_path / "l"), 1000, "ODBC",
