@@ -20,6 +20,8 @@ from tapline.session import scratch_folder  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+# Once so many seconds are gone, the rest is timed once each.
+BUDGET = float(os.environ.get("BENCH_BUDGET", "300"))
 
 
 def write(spark, query, **more):
@@ -73,11 +75,13 @@ def main():
     )
     spark.sparkContext.setLogLevel("ERROR")
     wanted = sys.argv[1:] or list(BENCHES)
-    seconds = {}
+    seconds, once, begun = {}, [], time.perf_counter()
     for name in wanted:
         BENCHES[name](spark)  # first run compiles
         taken = []
-        for _ in range(RUNS):
+        late = time.perf_counter() - begun > BUDGET
+        once += [name] if late else []
+        for _ in range(1 if late else RUNS):
             started = time.perf_counter()
             BENCHES[name](spark)
             taken.append(time.perf_counter() - started)
@@ -85,6 +89,7 @@ def main():
     print(json.dumps({
         "metric": "total_seconds_median_of_runs", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": Path(SF_DIR).name.removeprefix("sf"), "cpus": int(CPUS), "runs": RUNS,
+        "timed_once": once,
         "spark": spark.version,
     }))
     spark.stop()

@@ -84,7 +84,7 @@ def _partition_dirs(spark, sf_dir):
     options = _options(spark, "events", order_by=())
     _extract(spark, sf_dir, EVENTS, options, date_column="ts")
     return spark.read.parquet(paths.table_uri(options)).groupBy("year", "month", "day").agg(
-        F.count(F.lit(1)).alias("num_records"), F.sum("event_id").alias("event_ids")
+        F.count(F.lit(1)).alias("num_records"), F.sum(F.col("event_id").cast("decimal(38,0)")).alias("event_ids")
     )
 
 
@@ -236,7 +236,7 @@ SQL = {
     ),
     "partition_dirs": (
         "SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day, "
-        "count(*) AS num_records, CAST(sum(event_id) AS BIGINT) AS event_ids FROM events GROUP BY ALL"
+        "count(*) AS num_records, CAST(sum(event_id) AS DECIMAL(38,0)) AS event_ids FROM events GROUP BY ALL"
     ),
     "dated_parts": (
         "SELECT output_path, part_number, count(*) AS num_records FROM (SELECT "

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapline.errors import ExtractionError
 from tapline.operators import envelope, manifest, paths
-from tapline.operators.store import Store
+from tapline.operators.store import Store, at_once
 from tapline.options import ExtractOptions
 from tapline.plans.layout import Layout, arrange, plan_layout
 
@@ -152,26 +152,32 @@ def _in_order(written: list[Staged], options: ExtractOptions) -> dict[str, list[
 
 def _commit(spark: SparkSession, store: Store, base: str, staged: dict[str, list[Staged]], options) -> Result:
     """Move the parts in place, remove parts of an earlier run that have no successor, then write the manifests."""
-    moves, stale = [], []
     pattern = paths.part_name_pattern(options)
-    for folder, files in staged.items():
-        target = f"{base}/{folder}" if folder else base
+    folders = {folder: f"{base}/{folder}" if folder else base for folder in staged}
+
+    def left_over(folder: str) -> list[str]:
+        target = folders[folder]
         store.make_folder(target)
-        for name in store.names(target):
-            match = pattern.match(name)
-            if match and int(match[1]) >= len(files):
-                stale.append(f"{target}/{name}")
-        moves += [(s.uri, f"{target}/{paths.part_name(options, i)}") for i, s in enumerate(files)]
-    store.move_all(moves)
-    store.delete_all(stale)
+        numbers = [(name, pattern.match(name)) for name in store.names(target)]
+        return [f"{target}/{name}" for name, m in numbers if m and int(m[1]) >= len(staged[folder])]
+
+    stale = [uri for found in at_once(left_over, staged) for uri in found]
+    moves = [
+        (s.uri, f"{folders[folder]}/{paths.part_name(options, i)}")
+        for folder, files in staged.items() for i, s in enumerate(files)
+    ]
+    at_once(lambda move: store.move(*move), moves)
+    at_once(store.delete, stale)
     log_store = Store(spark, options.log_dir)
     log_store.make_folder(options.log_dir)
-    manifests = []
-    for folder, files in staged.items():
+
+    def write_manifest(folder: str) -> str:
         table_dir = f"{options.table_dir}/{folder}" if folder else options.table_dir
         path = paths.log_path(options.log_dir, table_dir)
-        log_store.write_lines(path, manifest.lines(table_dir, options.total_size, files))
-        manifests.append(path)
+        log_store.write_lines(path, manifest.lines(table_dir, options.total_size, staged[folder]))
+        return path
+
+    manifests = at_once(write_manifest, staged)
     return Result(
         sum(s.rows for files in staged.values() for s in files), sum(map(len, staged.values())), manifests
     )

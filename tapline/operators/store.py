@@ -7,10 +7,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
-# Renames and deletions are waits, not work: this many run at once.
+# File system calls are waits, not work: this many run at once.
 PARALLEL_CALLS = 32
 
 
+def at_once(call, items: Iterable) -> list:
+    """``call`` for every item, several at a time; results in item order, and the first failure is raised."""
+    with ThreadPoolExecutor(PARALLEL_CALLS) as pool:
+        return list(pool.map(call, items))
+
+
 class Store:
     """File system of one uri."""
 
@@ -51,16 +57,6 @@ class Store:
             if not self._fs.rename(self._path(source), self._path(target)):
                 raise OSError(f"could not move {source} to {target}")
 
-    def move_all(self, pairs: Iterable[tuple[str, str]]) -> None:
-        with ThreadPoolExecutor(PARALLEL_CALLS) as pool:
-            for _ in pool.map(lambda pair: self.move(*pair), pairs):
-                pass
-
-    def delete_all(self, uris: Iterable[str]) -> None:
-        with ThreadPoolExecutor(PARALLEL_CALLS) as pool:
-            for _ in pool.map(self.delete, uris):
-                pass
-
     def write_lines(self, uri: str, lines: Iterable[str]) -> None:
         """A text file, complete or absent: it is written beside its place and moved in."""
         beside = f"{uri}.writing"
