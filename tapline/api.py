@@ -41,7 +41,7 @@ def with_date_folders(df: DataFrame, date_column: str) -> tuple[DataFrame, tuple
     no_date = F.lit("__HIVE_DEFAULT_PARTITION__")
     patterns = {"year": "yyyy", "month": "MM", "day": "dd"}
     for name, pattern in patterns.items():
-        df = df.withColumn(name, F.coalesce(F.date_format(F.col(date_column), pattern), no_date))
+        df = df.withColumn(name, F.coalesce(F.date_format(F.col(date_column).cast("date"), pattern), no_date))
     return df, tuple(patterns)
 
 

@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tapline.errors import ExtractionError
+from tapline.functions.times import instant_to_millis
 
 _TIME_UNIT = "time_unit"
 
@@ -36,7 +37,7 @@ def _value(field: T.StructField, exact_decimals: bool) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         return _timestamp_text(c)
     if isinstance(kind, T.TimestampType):
-        return _timestamp_text(F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz"))
+        return _timestamp_text(instant_to_millis(c))
     if isinstance(kind, T.IntegerType) and field.metadata.get(_TIME_UNIT) == "second":
         return F.when(c.isNotNull(), _time_text(c))
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):

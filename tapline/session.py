@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 
 from tapline.errors import ExtractionError
 
+# Temporary scratch folders of local sessions without a named one, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def current_session(spark: SparkSession | None = None) -> SparkSession:
     return spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
@@ -21,12 +24,13 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise ExtractionError("io", "set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tapline-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="tapline-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOTS[application], ignore_errors=True)
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -49,6 +49,37 @@ def test_time_of_day(spark):
     assert json_rows(df).first().json == '{"t":"09:05:07"}'
 
 
+def test_instants_are_utc(spark):
+    df = spark.sql("select timestamp'2024-01-01 10:00:00.5+07:00' t, timestamp'2024-01-01 10:00:00+07:00' u")
+    assert json_rows(df).first().json == '{"t":"2024-01-01T03:00:00.500","u":"2024-01-01T03:00:00"}'
+
+
+def test_scratch_folder(spark, monkeypatch):
+    from tapline import session
+
+    class Conf:
+        def __init__(self, named):
+            self.named = named
+
+        def get(self, key, default):
+            return self.named or default
+
+    class Fake:
+        def __init__(self, master, named=None):
+            self.conf, self.sparkContext = Conf(named), self
+            self.master, self.applicationId = master, f"app-{master}"
+
+        def getCheckpointDir(self):
+            return None
+
+    assert session.scratch_root(Fake("yarn", "hdfs://shared/")) == "hdfs://shared"
+    local = Fake("local[2]")
+    assert Path(session.scratch_root(local)).is_dir() and session.scratch_root(local) == session.scratch_root(local)
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ExtractionError, match="spark.checkpoint.dir"):
+            session.scratch_root(Fake(master))
+
+
 def test_dicts_guard(spark):
     assert len(rows_as_dicts(spark.range(10), max_rows=10)) == 10
     with pytest.raises(ExtractionError, match="more than 9 rows"):
