@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import base64
 import itertools
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tapline.llm.common import blocks, send_package, strings_of, table, with_columns
 
 # Pre-tokens kept with their ids in each Python worker, and pre-tokens of a long text handled at once.
-REMEMBERED, AT_ONCE = 200_000, 1 << 18
+REMEMBERED, AT_ONCE = 400_000, 1 << 18
 
 
 def byte_characters() -> list[str]:
@@ -66,6 +67,26 @@ def serialise(tokens: list[bytes]) -> bytes:
     return bytes(out)
 
 
+def narrow_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern for texts of Latin-1 characters, with the classes spelt out; None if it has other escapes.
+
+    The standard matcher takes half the time of the one that knows all of Unicode, and finds the same there.
+    """
+    import regex
+
+    def members(kind: str) -> str:
+        return "".join(re.escape(chr(i)) for i in range(256) if regex.match(kind, chr(i)))
+
+    inside = {kind: members(kind) for kind in (r"\p{L}", r"\p{N}", r"\s")}
+    sets = re.sub(r"\[[^]]*\]", lambda m: re.sub(r"\\p\{[LN]\}|\\s", lambda k: inside[k[0]], m[0]), pattern)
+    if "\\S" in "".join(re.findall(r"\[[^]]*\]", pattern)):
+        return None
+    plain = sets.replace(r"\S", f"[^{inside[r'\s']}]")
+    for kind, all_of in inside.items():
+        plain = plain.replace(kind, f"[{all_of}]")
+    return None if re.search(r"\\[pPwWdDbB]|\[\[|&&", plain) else re.compile(plain)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; `load` keeps one per Python worker."""
 
@@ -74,7 +95,7 @@ class Codec:
         import sentencepiece
 
         tokens = read_ranks(path)
-        self.find = regex.compile(pattern)
+        self.find, self.find_latin = regex.compile(pattern), narrow_pattern(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(tokens))
         self.letters = dict(enumerate(byte_characters()))
         back = {letter: byte for byte, letter in self.letters.items()}
@@ -83,23 +104,47 @@ class Codec:
         self.whole = {t.decode(): struct.pack("<I", i) for i, t in enumerate(tokens) if _is_text(t)}
         self.known = dict(self.whole)
 
-    def encode(self, text: str) -> bytes:
-        """The ids, each as four little-endian bytes."""
-        out = []
-        matches = (m.group() for m in self.find.finditer(text)) if len(text) > AT_ONCE else iter(self.find.findall(text))
+    def _matcher(self, text: str):
+        if self.find_latin is not None:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return self.find
+            return self.find_latin
+        return self.find
+
+    def _mapped(self, word: str) -> str:
+        if word.isascii() and word.isprintable():
+            return word.replace(" ", self.letters[32])
+        return word.encode().decode("latin-1").translate(self.letters)
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """See to it that the ids of these pre-tokens are known."""
+        words = set(words)
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = dict(self.whole)
+            new = list(words.difference(self.known))
+        coded = self.model.encode([self._mapped(w) for w in new], out_type=int, num_threads=1) if new else []
+        for word, ids in zip(new, coded, strict=True):
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def _stream(self, text: str) -> bytes:
+        """The ids of a long text, a bounded number of pre-tokens at a time."""
+        out, matches = [], (m.group() for m in self._matcher(text).finditer(text))
         while words := list(itertools.islice(matches, AT_ONCE)):
-            known = self.known
-            new = list({w for w in words if w not in known})
-            if new:
-                if len(known) > REMEMBERED:
-                    known = self.known = dict(self.whole)
-                    new = list({w for w in words if w not in known})
-                mapped = [w.encode().decode("latin-1").translate(self.letters) for w in new]
-                for word, ids in zip(new, self.model.encode(mapped, out_type=int, num_threads=1), strict=True):
-                    known[word] = struct.pack(f"<{len(ids)}I", *ids)
-            out.append(b"".join(map(known.__getitem__, words)))
+            self._learn(words)
+            out.append(b"".join(map(self.known.__getitem__, words)))
         return b"".join(out)
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, each id as four little-endian bytes."""
+        if any(len(text) > AT_ONCE for text in texts):
+            return [self._stream(text) for text in texts]
+        split = [self._matcher(text).findall(text) for text in texts]
+        self._learn(itertools.chain.from_iterable(split))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_by_id.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -127,7 +172,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
         for column in batches:
             done = []
             for start, stop in blocks(column):
-                done += [codec.encode(text) for text in strings_of(column[start:stop])]
+                done += codec.encode(strings_of(column[start:stop]))
             yield pa.array(done, pa.binary())
 
     return with_columns(docs, {ids_col: run(F.col(text_col))})

@@ -36,7 +36,7 @@ class Settings:
 
     per_label: int = 2000
     dimensions: int = 16
-    epochs: int = 12
+    epochs: int = 5
     rate: float = 2.0
     seed: int = 7
 
