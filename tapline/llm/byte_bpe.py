@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tapline.llm.common import blocks, send_package, strings_of, table, with_columns
 
 # Pre-tokens kept with their ids in each Python worker, and pre-tokens of a long text handled at once.
-REMEMBERED, AT_ONCE = 400_000, 1 << 18
+REMEMBERED, AT_ONCE = 150_000, 1 << 18
 
 
 def byte_characters() -> list[str]:

@@ -128,11 +128,17 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), lab
         labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).groupBy("doc_id")
         .agg(F.min(label_col).alias("_low"), F.max(label_col).alias("_high")).where("_low = _high")
     )
-    order = W.partitionBy("_low").orderBy(F.xxhash64("doc_id"), "doc_id")
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn(
+        "_hash", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    # Two of these rows; they tell which share of the hashes holds twice as many ids as are wanted.
+    share = {r._low: min(1.0, 2 * settings.per_label / r.n) for r in known.groupBy("_low").agg(F.count("*").alias("n")).collect()}
+    near = F.lit(False)
+    for label, part in share.items():
+        near |= (F.col("_low") == label) & (F.col("_hash") < int(part * (1 << 40)))
     chosen = (
-        known.join(docs.select("doc_id"), "doc_id", "left_semi")
-        .withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= settings.per_label)
-        .select("doc_id", F.col("_low").cast("int").alias("_label"))
+        known.where(near)
+        .withColumn("_place", F.row_number().over(W.partitionBy("_low").orderBy("_hash", "doc_id")))
+        .where(F.col("_place") <= settings.per_label).select("doc_id", F.col("_low").cast("int").alias("_label"))
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_label")
 

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from tapline.llm.byte_bpe import op4_byte_bpe
+from tapline.llm.language import op2_language
 from tapline.llm.quality import op7_quality
+from tapline.llm.simhash import op6_simhash
 
 QUERIES = {
+    "op2_language": op2_language,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
 }
 SQL: dict[str, str] = {}
