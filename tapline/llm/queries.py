@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from tapline.llm.byte_bpe import op4_byte_bpe
+from tapline.llm.decontaminate import op9_decontamination
 from tapline.llm.language import op2_language
+from tapline.llm.line_rules import op10_quality_rules
 from tapline.llm.quality import op7_quality
 from tapline.llm.simhash import op6_simhash
 
@@ -12,5 +14,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op9_decontamination": op9_decontamination,
+    "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
