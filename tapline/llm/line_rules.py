@@ -40,11 +40,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def lines_of(text: Column) -> Column:
-    """The lines as they are, each with its normalised form."""
-    return F.transform(F.split(text, "\n"), lambda line: F.struct(line.alias("line"), normalised(line).alias("norm")))
-
-
 def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), SPACES, " "))
 
@@ -90,12 +85,10 @@ def apply_rules(docs: DataFrame, limits: Limits = Limits(), text_col: str = "tex
                         host.alias("_host")) if docs.columns else docs
     frequent = frequent_lines(docs, limits, host, text)
     met = inner.join(frequent, "_host", "left")
-    sorted_out = met.withColumn("_left", F.when(F.col("_frequent").isNotNull(), F.filter(
-        F.split("_text", "\n"), lambda line: ~F.array_contains("_frequent", F.xxhash64(normalised(line)))
-        | (normalised(line) == ""))))
-    cleaned = sorted_out.withColumn("_clean", F.when(
-        F.col("_left").isNull() | (F.size("_left") == F.size(F.split("_text", "\n"))), F.col("_text")).otherwise(
-        F.array_join("_left", "\n"))).drop("_left", "_frequent", "_host")
+    # Splitting and joining at line ends gives the text back where no line goes.
+    cleaned = met.withColumn("_clean", F.when(F.col("_frequent").isNull(), F.col("_text")).otherwise(F.array_join(
+        F.filter(F.split("_text", "\n"), lambda line: ~F.array_contains("_frequent", F.xxhash64(normalised(line)))),
+        "\n"))).drop("_frequent", "_host")
     based = with_base(cleaned, F.col("_text"))
     left = F.when(F.col("_clean") == F.col("_text"), F.col("n_words")).otherwise(F.size(words_of(F.col("_clean"))))
     judged = based.withColumn("_left_words", left.cast("long")).withColumn(

@@ -6,11 +6,13 @@ from tapline.llm.byte_bpe import op4_byte_bpe
 from tapline.llm.decontaminate import op9_decontamination
 from tapline.llm.language import op2_language
 from tapline.llm.line_rules import op10_quality_rules
+from tapline.llm.pii import op3_pii
 from tapline.llm.quality import op7_quality
 from tapline.llm.simhash import op6_simhash
 
 QUERIES = {
     "op2_language": op2_language,
+    "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
