@@ -8,9 +8,11 @@ from tapline.llm.language import op2_language
 from tapline.llm.line_rules import op10_quality_rules
 from tapline.llm.pii import op3_pii
 from tapline.llm.quality import op7_quality
+from tapline.llm.sharding import op1_kd_shards
 from tapline.llm.simhash import op6_simhash
 
 QUERIES = {
+    "op1_kd_shards": op1_kd_shards,
     "op2_language": op2_language,
     "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
