@@ -5,6 +5,7 @@ from __future__ import annotations
 from tapline.llm.byte_bpe import op4_byte_bpe
 from tapline.llm.decontaminate import op9_decontamination
 from tapline.llm.language import op2_language
+from tapline.llm.line_dedup import op8_line_dedup
 from tapline.llm.line_rules import op10_quality_rules
 from tapline.llm.pii import op3_pii
 from tapline.llm.quality import op7_quality
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
