@@ -7,6 +7,7 @@ from tapline.llm.decontaminate import op9_decontamination
 from tapline.llm.language import op2_language
 from tapline.llm.line_dedup import op8_line_dedup
 from tapline.llm.line_rules import op10_quality_rules
+from tapline.llm.passages import op5_passages
 from tapline.llm.pii import op3_pii
 from tapline.llm.quality import op7_quality
 from tapline.llm.sharding import op1_kd_shards
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_passages": op5_passages,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
