@@ -96,3 +96,29 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def strings_of(column: pa.Array) -> list[str]:
     return pc.fill_null(column, "").to_pylist()
+
+
+def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each run of `sizes` hashes the 64 bits that are set in over half of them; an empty run has none.
+
+    Bits are counted in byte lanes, eight to a word, over at most 255 hashes at a time.
+    """
+    out = np.zeros(len(sizes), np.uint64)
+    rows = np.flatnonzero(sizes)
+    if not len(rows):
+        return out
+    size = sizes[rows]
+    begin = np.cumsum(size) - size
+    parts = -(-size // 255)
+    first = np.cumsum(parts) - parts
+    cut = np.repeat(begin, parts) + 255 * (np.arange(parts.sum()) - np.repeat(first, parts))
+    weight = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    ones = np.uint64(0x0101010101010101)
+    counts = np.empty((len(cut), 64), np.int64)
+    for k in range(8):
+        lanes = np.add.reduceat((hashes >> np.uint64(k)) & ones, cut)
+        # Byte j of a word counts bit 8 j + k.
+        counts[:, k::8] = lanes.astype("<u8").view(np.uint8).reshape(-1, 8)
+    total = np.add.reduceat(counts, first, axis=0)
+    out[rows] = ((2 * total > size[:, None]) * weight).sum(axis=1, dtype=np.uint64)
+    return out

@@ -19,24 +19,31 @@ with the names of result columns are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapline.llm.common import row_key, send_package, staged, strings_of, table, with_columns
+from tapline.llm.common import majority_bits, row_key, send_package, staged, strings_of, table, with_columns
 from tapline.llm.components import components
 
 RADIUS, SIMILARITY = 3, 0.8
 # Lines of a bucket aimed at, and lines of a candidate set that one task checks alone.
 BUCKET, SET_LINES = 64, 4000
+# Rows of whole buckets that a task compares at once.
+SET_ROWS = 100_000
 _REMEMBERED = 300_000
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "), "[0-9]", "0"))
+def normalised(text: Column) -> Column:
+    """The normal form of a line, or of all lines of a text; its line ends stay."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " "), "[0-9]", "0")
+
+
+def normal_lines(text: Column) -> Column:
+    return F.transform(F.split(normalised(text), "\n"), F.trim)
 
 
 def fingerprints(lines: list[str], known: dict[str, int]) -> np.ndarray:
@@ -47,22 +54,10 @@ def fingerprints(lines: list[str], known: dict[str, int]) -> np.ndarray:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     if len(known) > _REMEMBERED:
         known.clear()
-    for word in {w for found in words for w in found}.difference(known):
+    for word in set().union(*words).difference(known):
         known[word] = xxhash.xxh64_intdigest(word)
-    hashes = np.fromiter((known[w] for found in words for w in found), np.uint64, int(sizes.sum()))
-    out, weight = np.zeros(len(lines), np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)
-    ends = np.cumsum(sizes)
-    start = 0
-    while start < len(lines):
-        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (1 << 16), side="right")))
-        part = hashes[ends[start] - sizes[start]:ends[stop - 1]]
-        rows = np.flatnonzero(sizes[start:stop]) + start
-        if len(rows):
-            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            total = np.add.reduceat(bits, (ends - sizes)[rows] - (ends[start] - sizes[start]), axis=0, dtype=np.int32)
-            out[rows] = ((2 * total > sizes[rows][:, None]) * weight).sum(axis=1, dtype=np.uint64)
-        start = stop
-    return out
+    hashes = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    return majority_bits(hashes, sizes)
 
 
 def block_masks(count: int, radius: int) -> list[int]:
@@ -76,21 +71,29 @@ def block_masks(count: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, extra)]
 
 
-def sets_of_bucket(own: np.ndarray, kind: int, masks: list[int], radius: int) -> np.ndarray:
-    """For each fingerprint of a bucket the least index that it hangs together with; -1 if with none."""
-    root = np.arange(len(own))
-    joined = np.zeros(len(own), bool)
-    before = np.array(masks[:kind], np.uint64)
-    for at in range(0, len(own), 512):
-        away = own[at:at + 512, None] ^ own[None, at:]
-        a, b = np.nonzero(np.bitwise_count(away) <= radius)
-        later = b > a
-        a, b = a[later], b[later]
-        if len(before) and len(a):
-            new = ((away[a, b][:, None] & before[None, :]) != 0).all(axis=1)
-            a, b = a[new], b[new]
-        joined[a + at] = joined[b + at] = True
-        for x, y in zip((a + at).tolist(), (b + at).tolist(), strict=True):
+def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, kinds: np.ndarray, masks: list[int],
+                    radius: int) -> np.ndarray:
+    """For each row (in order of bucket) the least row of its bucket that it hangs together with; -1 if with none.
+
+    Rows are compared with those 1, 2, 3, ... places on, for as long as any bucket is that large.
+    """
+    root = np.arange(len(fps))
+    joined = np.zeros(len(fps), bool)
+    all_masks = np.array(masks, np.uint64)
+    size = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket))
+    last = np.repeat(size, np.diff(np.append(0, size))) if len(bucket) else size[:0]
+    here, step = np.arange(len(fps)), 1
+    while len(here := here[here + step < last[here]]):
+        away = fps[here] ^ fps[here + step]
+        near = np.bitwise_count(away) <= radius
+        at, away = here[near], away[near]
+        if len(at):
+            # Not met in an earlier kind of bucket.
+            met = ((away[:, None] & all_masks[None, :]) == 0) & (np.arange(len(masks))[None, :] < kinds[at][:, None])
+            at = at[~met.any(axis=1)]
+        joined[at] = joined[at + step] = True
+        for x in at.tolist():
+            y = x + step
             while root[x] != x:
                 root[x] = root[root[x]]
                 x = root[x]
@@ -98,7 +101,8 @@ def sets_of_bucket(own: np.ndarray, kind: int, masks: list[int], radius: int) ->
                 root[y] = root[root[y]]
                 y = root[y]
             root[max(x, y)] = min(x, y)
-    for i in range(len(root)):
+        step += 1
+    for i in np.flatnonzero(root != np.arange(len(root))).tolist():
         root[i] = root[root[i]]
     return np.where(joined, root, -1)
 
@@ -128,24 +132,34 @@ def distance(a: list[str], b: list[str], most: int) -> int:
 def similar(a: list[str], b: list[str], similarity: float) -> bool:
     longest = max(len(a), len(b))
     most = int((1 - similarity) * longest + 1e-9)
+    # What both begin or end with costs nothing.
+    start, shorter = 0, min(len(a), len(b))
+    while start < shorter and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < shorter - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start:len(a) - end], b[start:len(b) - end]
     return distance(a, b, most) <= most
 
 
-def verified(lines: list[list[str]], similarity: float) -> list[tuple[int, int]]:
-    """Links of a forest that spans all pairs of similar lines."""
-    groups: list[list[int]] = []
+def verified(lines: list[list[str]], fps: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links of a forest that spans all pairs of lines within the radius that are similar."""
+    group = list(range(len(lines)))
+
+    def of(i: int) -> int:
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
     links = []
-    for i, line in enumerate(lines):
-        mine = [i]
-        rest = []
-        for group in groups:
-            partner = next((j for j in group if similar(lines[j], line, similarity)), None)
-            if partner is None:
-                rest.append(group)
-            else:
-                links.append((i, partner))
-                mine = group + mine
-        groups = [*rest, mine]
+    for i in range(1, len(lines)):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius).tolist():
+            mine, other = of(i), of(j)
+            if mine != other and similar(lines[j], lines[i], similarity):
+                links.append((i, j))
+                group[mine] = other
     return links
 
 
@@ -182,39 +196,53 @@ def candidate_sets(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     keyed = nodes.select("h", "fp", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("kind", "mask"))
     sent = keyed.select(F.xxhash64("kind", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"), "kind", "h", "fp")
 
+    def sets(rows: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, kind, h, fp = rows
+        root = sets_of_buckets(bucket, fp.view(np.uint64), kind, masks, radius)
+        kept = root >= 0
+        return pa.RecordBatch.from_arrays([pa.array(bucket[kept]), pa.array(h[root[kept]]), pa.array(h[kept])],
+                                          ["bucket", "first", "h"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in _runs(batches, 2):
-            if sum(map(len, parts)) < 2:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if len(batch):
+                held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if sum(len(part[0]) for part in held) < SET_ROWS:
                 continue
-            bucket, kind = parts[0].column(0)[0].as_py(), parts[0].column(1)[0].as_py()
-            h = np.concatenate([p.column(2).to_numpy(zero_copy_only=False) for p in parts])
-            fp = np.concatenate([p.column(3).to_numpy(zero_copy_only=False) for p in parts]).view(np.uint64)
-            root = sets_of_bucket(fp, kind, masks, radius)
-            kept = root >= 0
-            if kept.any():
-                n = int(kept.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, bucket)), pa.array(h[root[kept]]), pa.array(h[kept])],
-                                                 ["bucket", "first", "h"])
-
-    found = sent.repartition("bucket", "kind").sortWithinPartitions("bucket", "kind").mapInArrow(
+            rows = [np.concatenate(c) for c in zip(*held, strict=True)]
+            # The last bucket may go on in the next batch.
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))
+            if whole:
+                yield sets([c[:whole] for c in rows])
+            held = [[c[whole:] for c in rows]]
+        if held:
+            yield sets([np.concatenate(c) for c in zip(*held, strict=True)])
+
+    found = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         run, "bucket bigint, first bigint, h bigint")
     return found.select(F.xxhash64("bucket", "first").alias("set"), "h")
 
 
-def verified_links(sets: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between the lines of each set whose edit similarity reaches the threshold; texts are (h, norm)."""
+def verified_links(sets: DataFrame, texts: DataFrame, radius: int = RADIUS,
+                   similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between the lines of each set within the radius whose edit similarity reaches the threshold.
+
+    texts are (h, fp, norm).
+    """
     sizes = sets.groupBy("set").agg(F.ceil(F.count("*") / SET_LINES).cast("int").alias("parts"))
     part = F.pmod(F.col("h"), F.col("parts")).cast("int")
     tasks = sets.join(sizes, "set").withColumn("part", part).select("set", "h", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda j: F.struct(F.least("part", j).alias("x"), F.greatest("part", j).alias("y")))).alias("p"))
-    rows = tasks.join(texts, "h").select("set", "p.x", "p.y", "h", "norm")
+    rows = tasks.join(texts, "h").select("set", "p.x", "p.y", "h", "fp", "norm")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _runs(batches, 3):
             h = np.concatenate([p.column(3).to_numpy(zero_copy_only=False) for p in parts])
-            lines = [line.split() for p in parts for line in p.column(4).to_pylist()]
-            links = verified(lines, similarity)
+            fps = np.concatenate([p.column(4).to_numpy(zero_copy_only=False) for p in parts]).view(np.uint64)
+            lines = [line.split() for p in parts for line in p.column(5).to_pylist()]
+            links = verified(lines, fps, radius, similarity)
             if links:
                 a, b = np.array(links).T
                 yield pa.RecordBatch.from_arrays([pa.array(h[a]), pa.array(h[b])], ["a", "b"])
@@ -233,21 +261,21 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
         for column in batches:
             yield pa.array(fingerprints(strings_of(column), known).view(np.int64))
 
-    lines = docs.select("_key", "_id", F.posexplode(F.split("_text", "\n")).alias("no", "line")).select(
-        "_key", "_id", "no", normalised(F.col("line")).alias("norm")).where("norm != ''")
+    lines = docs.select("_key", "_id", F.posexplode(normal_lines(F.col("_text"))).alias("no", "norm")).where("norm != ''")
     occurrences = staged(lines.select("_key", "_id", "no", F.xxhash64("norm").alias("h"), hashed("norm").alias("fp")),
                          "lines")
     place = F.struct("_id", "_key", "no")
     nodes = staged(occurrences.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
                                                 F.count("*").alias("n")), "nodes")
     sets = staged(candidate_sets(nodes.select("h", "fp"), radius), "sets")
-    wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "at._key", "at.no")
-    by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "no")).alias("wanted"))
+    wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "fp", "at._key", "at.no")
+    by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "fp", "no")).alias("wanted"))
     texts = staged(
-        docs.select("_key", "_text").dropDuplicates(["_key"]).join(by_document, "_key")
+        docs.select("_key", "_text").join(by_document, "_key")
         .select(F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-        .select("w.h", normalised(F.get("lines", F.col("w.no"))).alias("norm")), "line-texts")
-    found = components(verified_links(sets, texts, similarity))
+        .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).dropDuplicates(["h"])
+        .select("h", "fp", F.trim(normalised(F.col("line"))).alias("norm")), "line-texts")
+    found = components(verified_links(sets, texts, radius, similarity))
     grouped = nodes.join(found, nodes.h == found.node, "left").select(
         "h", "at", "n", F.coalesce("component", "h").alias("group"), F.col("component").isNotNull().alias("linked"))
     repeated = grouped.where("n > 1 or linked")
@@ -263,12 +291,12 @@ def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMIL
     rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"),
                        F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"))
     gone = removable(rows.where("_text is not null").select("_key", "_id", "_text"), radius, similarity)
-    lines = F.split("_text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    split = rows.join(gone, "_key", "left").withColumn("_lines", F.split("_text", "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    met = rows.join(gone, "_key", "left").select("_row.*", left.alias("_tl_text"), F.coalesce(
-        F.size(lines), F.lit(0)).alias("_tl_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_tl_gone"))
+        F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
+    met = split.select("_row.*", left.alias("_tl_text"), F.coalesce(
+        F.size("_lines"), F.lit(0)).alias("_tl_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_tl_gone"))
     order = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     return with_columns(met, {"n_lines": F.col("_tl_lines"), "n_removed": F.col("_tl_gone")}).select(
         *(F.col("_tl_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in order), "n_lines", "n_removed")

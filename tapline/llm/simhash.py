@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapline.llm.common import blocks, send_package, staged, strings_of, table, with_columns
+from tapline.llm.common import blocks, majority_bits, send_package, staged, strings_of, table, with_columns
 from tapline.llm.components import components
 
 BITS, SEED = 64, 42
@@ -37,8 +37,9 @@ def shingle_bits(texts: list[str], words: int) -> np.ndarray:
     """The fingerprint of each text over its runs of `words` words."""
     import xxhash
 
-    digest, out = xxhash.xxh64_intdigest, np.zeros(len(texts), np.uint64)
-    weight = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
+    digest = xxhash.xxh64_intdigest
+    hashes: list[int] = []
+    sizes = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         # bytes.lower() and bytes.split() know ASCII letters and white space only, which is what is meant.
         found = text.encode().lower().split()
@@ -49,13 +50,9 @@ def shingle_bits(texts: list[str], words: int) -> np.ndarray:
         starts = np.append(0, ends[:-1] + 1)
         run = min(words, len(found))
         spans = zip(starts[:len(found) - run + 1].tolist(), ends[run - 1:].tolist(), strict=True)
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
-        total = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), 1 << 14):
-            octets = hashes[at:at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
-            total += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[i] = weight[2 * total > len(hashes)].sum(dtype=np.uint64)
-    return out
+        hashes += [digest(joined[a:b], SEED) for a, b in spans]
+        sizes[i] = len(found) - run + 1
+    return majority_bits(np.array(hashes, np.uint64), sizes)
 
 
 def fingerprint(docs: DataFrame, words: int = 4, text_col: str = "text", to: str = "fingerprint") -> DataFrame:
