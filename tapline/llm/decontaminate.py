@@ -1,7 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 Words are runs of letters and digits, in lower case. One pass over the corpus counts in how many documents each run of
-`SEED_WORDS` words of a test item occurs. The rarer half of an item's runs are its seeds: rare for that item, so an item
+`SEED_WORDS` words of a test item occurs. The rarer half of an item's runs, of those that
+occur at all, are its seeds: rare for that item, so an item
 that leaked very often keeps its seeds. A second pass finds seeds in every whole text; where two of an item's seeds (or
 its only one) fall within one stretch, the stretch is aligned with the item by Smith-Waterman over words (match 2, other
 word -1, gap -1). The share of the item's best score is the score of the pair, so edited and paraphrased copies count.
@@ -100,7 +101,8 @@ class Items:
         for size, places in self.places.items():
             runs = np.repeat(np.arange(len(self.keys[size])), np.diff(self.ranges[size]))
             count = np.array([seen.get((size, r), 0) for r in range(len(self.keys[size]))], np.int64)[runs]
-            order = np.lexsort((places[:, 1], count, places[:, 0]))
+            # Runs that occur nowhere find nothing, so they come last.
+            order = np.lexsort((places[:, 1], count, count == 0, places[:, 0]))
             item = places[order, 0]
             first = np.searchsorted(item, item)
             many = np.searchsorted(item, item, side="right") - first

@@ -43,7 +43,7 @@ def normalised(text: Column) -> Column:
 
 
 def normal_lines(text: Column) -> Column:
-    return F.transform(F.split(normalised(text), "\n"), F.trim)
+    return F.transform(F.split(normalised(text), "\n"), lambda line: F.trim(line))
 
 
 def fingerprints(lines: list[str], known: dict[str, int]) -> np.ndarray:

@@ -62,7 +62,8 @@ def features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         code = np.full(n - size + 1, salt, np.uint64)
         for i in range(size):
             code = (code << np.uint64(8)) | wide[i:n - size + 1 + i]
-        inside = text[:n - size + 1] == text[size - 1:]
+        blank = sum(32 << 8 * i for i in range(size)) + (salt << 8 * size)
+        inside = (text[:n - size + 1] == text[size - 1:]) & (code != np.uint64(blank))
         kinds.append((code[inside] * _ODD) >> _SHIFT)
         owners.append(text[:n - size + 1][inside])
     begins = ~space
