@@ -53,6 +53,15 @@ def _parts_manifest(spark, sf_dir):
     return flagship(spark, sf_dir).select("output_path", "part_number", "num_records", "total_records")
 
 
+def _parts_repeated_key(spark, sf_dir):
+    """Orders by customer, a key that repeats: parts are exactly ten batches, and keys do not go back."""
+    options = _options(spark, "orders", order_by=("o_custkey",))
+    _extract(spark, sf_dir, "SELECT o_orderkey, o_custkey FROM orders", options)
+    part = spark.read.parquet(paths.table_uri(options)).select("o_custkey", _part_number(options).alias("part_number"))
+    return part.groupBy("part_number").agg(
+        F.count("*").alias("num_records"), F.min("o_custkey").alias("first_key"), F.max("o_custkey").alias("last_key"))
+
+
 def _parts_of_rows(spark, sf_dir):
     options = _options(spark, "events", prefix="pre")
     _extract(spark, sf_dir, EVENTS, options)
@@ -193,6 +202,7 @@ QUERIES = {
     "q06_empty_result": _empty_result,
     "parts_manifest": _parts_manifest,
     "parts_of_rows": _parts_of_rows,
+    "parts_repeated_key": _parts_repeated_key,
     "parts_composite_key": _parts_composite_key,
     "parts_readback": _parts_readback,
     "parts_without_key": _parts_without_key,
@@ -230,6 +240,11 @@ SQL = {
         "SELECT 'lineitem' AS output_path, count(*) AS num_records, true AS within_limit, true AS numbered_from_zero "
         "FROM lineitem"
     ),
+    "parts_repeated_key": (
+        "SELECT part_number, count(*) AS num_records, min(o_custkey) AS first_key, max(o_custkey) AS last_key FROM ("
+        f"SELECT o_custkey, CAST(floor(({_RANK.format('o_custkey')}) / {_PER_PART}) AS INTEGER) AS part_number FROM orders"
+        ") GROUP BY part_number"
+    ),
     "parts_replaced": (
         f"SELECT event_id, CAST(floor(({_RANK.format('event_id')}) / {_PER_PART}) AS INTEGER) AS part_number "
         "FROM events WHERE event_type <> 'view'"

@@ -12,6 +12,11 @@ def _order_offset(spark, sf_dir):
     return skip_rows(rows(spark, sf_dir, "SELECT * FROM orders", "ODBC"), ("o_orderkey",), SKIPPED)
 
 
+def _offset_ties(spark, sf_dir):
+    """An order key that repeats: the keys of the rows that are left, ties in any order."""
+    return skip_rows(rows(spark, sf_dir, "SELECT * FROM orders", "ODBC"), ("o_custkey",), SKIPPED).select("o_custkey")
+
+
 _MILLIS_ORDERS = (
     "o_orderkey, o_custkey, o_orderstatus, o_totalprice, date_trunc('milliseconds', o_orderdate) AS o_orderdate, "
     "o_orderpriority"
@@ -24,6 +29,7 @@ QUERIES = {
         "c_mktsegment AS sub_segment FROM customer;", "ODBC"
     ),
     "q03_order_offset": _order_offset,
+    "q03_offset_ties": _offset_ties,
     "q04_distinct": extraction("SELECT DISTINCT event_type FROM events", "ODBC"),
     "q05_filter_eq": extraction("SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'", "ODBC"),
     "q07_top_n": extraction("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 9", "ODBC"),
@@ -43,6 +49,7 @@ SQL = {
         "c_mktsegment AS sub_segment FROM customer"
     ),
     "q03_order_offset": f"SELECT {_MILLIS_ORDERS} FROM orders ORDER BY o_orderkey OFFSET {SKIPPED}",
+    "q03_offset_ties": f"SELECT o_custkey FROM orders ORDER BY o_custkey OFFSET {SKIPPED}",
     "q04_distinct": "SELECT DISTINCT event_type FROM events",
     "q05_filter_eq": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
     "q07_top_n": f"SELECT {_MILLIS_ORDERS} FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 9",

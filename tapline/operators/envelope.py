@@ -25,7 +25,9 @@ import time
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import TaskContext, cloudpickle
@@ -172,13 +174,15 @@ def _encoder(dir_columns: tuple[str, ...], rows_per_part: int, wrapped: bytes, d
         if not dir_columns:
             yield "", data
             return
-        values = [table.column(c).to_pylist() for c in dir_columns]
-        names = ["/".join(f"{c}={v}" for c, v in zip(dir_columns, row)) for row in zip(*values)]
-        start = 0
-        for i in range(1, len(names) + 1):
-            if i == len(names) or names[i] != names[start]:
-                yield names[start], data.slice(start, i - start)
-                start = i
+        if not len(table):
+            return
+        change = np.zeros(len(table) - 1, bool)
+        for c in dir_columns:
+            text = pc.fill_null(table.column(c).cast(pa.string()), "")
+            change |= pc.not_equal(text[1:], text[:-1]).to_numpy()
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(table)]
+        for start, stop in zip(cuts, cuts[1:]):
+            yield "/".join(f"{c}={table.column(c)[start].as_py()}" for c in dir_columns), data.slice(start, stop - start)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -197,7 +201,7 @@ def _encoder(dir_columns: tuple[str, ...], rows_per_part: int, wrapped: bytes, d
         def begin() -> None:
             nonlocal part, writer
             part = _Part(folder, task, number, wrapped, data_key, schema_json)
-            writer = pq.ParquetWriter(pa.PythonFile(part, mode="w"), arrow_schema, compression="snappy")
+            writer = pq.ParquetWriter(pa.PythonFile(part, mode="w"), arrow_schema, compression="snappy", version="1.0")
 
         def finish() -> Iterator[pa.RecordBatch]:
             nonlocal part, writer
@@ -272,6 +276,9 @@ def write_encrypted(df: DataFrame, options, staging: str) -> Iterator[tuple]:
     spark = df.sparkSession
     data_key = os.urandom(32)
     wrapped = wrap_key(spark, options.encryption_key, data_key)
+    if options.dir_columns and not options.order_by:
+        # Rows of a folder side by side: a task writes one run of files for each of its folders.
+        df = df.sortWithinPartitions(*[F.col("`" + c.replace("`", "``") + "`") for c in options.dir_columns])
     data = df.drop(*options.dir_columns)
     arrow_schema = data.limit(0).toArrow().schema
     encode = _encoder(options.dir_columns, options.rows_per_part, wrapped, data_key, data.schema.json(),
@@ -324,6 +331,8 @@ def _frame_reader(keys: dict[str, bytes]):
                             "aad": [_aad(header, seq, not length)],
                         })
                         seq += 1
+                    if not seq:
+                        raise ValueError(f"{uri} is cut off: it has no frame")
 
     return read
 
@@ -337,6 +346,8 @@ def _decoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pending.seek(0)
                 yield from pq.ParquetFile(pending).iter_batches()
                 pending = io.BytesIO()
+    if pending.tell():
+        raise ValueError("a part is cut off: it has no last frame")
 
 
 def read_encrypted(spark: SparkSession, uris: list[str], private_pem: str) -> DataFrame:

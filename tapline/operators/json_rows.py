@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -100,10 +101,16 @@ def _python_value(value):
 
 
 def rows_as_dicts(df: DataFrame, max_rows: int | None = None, exact_decimals: bool = False) -> list[dict]:
-    """All rows as dicts, fetched partition by partition. A result above ``max_rows`` is refused, never cut."""
+    """All rows as dicts, fetched partition by partition. A result above ``max_rows`` is refused, never cut.
+
+    With ``exact_decimals`` numbers with a fraction come as ``Decimal`` and whole ones as ``int``, every digit kept.
+    """
     rows: list[dict] = []
     for (text,) in json_rows(df, exact_decimals).toLocalIterator():
         if max_rows is not None and len(rows) >= max_rows:
             raise ExtractionError("data", f"the result has more than {max_rows} rows: use json_rows or read_to_parquet")
-        rows.append({k: _python_value(v) for k, v in json.loads(text).items()})
+        if exact_decimals:
+            rows.append(json.loads(text, parse_float=Decimal))
+        else:
+            rows.append({k: _python_value(v) for k, v in json.loads(text).items()})
     return rows

@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tapline.errors import ExtractionError
 
 RESULT_SCHEMA = "table_dir string, num_records bigint, error string"
 
@@ -30,7 +29,7 @@ def extract_many(spark: SparkSession, jobs: Iterable[dict] | DataFrame, at_once:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", job["table_dir"])
         try:
             return job["table_dir"], read_to_parquet(spark=spark, **job), None
-        except ExtractionError as err:
+        except Exception as err:  # one bad job, whatever is wrong with it, must not take the others along
             return job["table_dir"], None, str(err)
 
     with ThreadPoolExecutor(at_once) as pool:

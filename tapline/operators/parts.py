@@ -86,7 +86,7 @@ def _below(uri: str, staging: str) -> str:
 
 
 def _check(staged: dict[str, list[Staged]], layout: Layout, options: ExtractOptions) -> None:
-    """Every part but the last of a folder must be full; anything else means that the order key is not unique."""
+    """Every part but the last of a folder must be full; anything else means that equal rows lie across a border."""
     for folder in layout.folders:
         name = _folder_of(options.dir_columns, folder.values)
         rows = [s.rows for s in staged.get(name, [])]
@@ -94,7 +94,7 @@ def _check(staged: dict[str, list[Staged]], layout: Layout, options: ExtractOpti
         if rows != [layout.chunk] * full + ([rest] if rest else []):
             raise ExtractionError(
                 "data", f"parts of {name or options.table_dir} do not hold {layout.chunk} rows each: "
-                f"the order key {list(options.order_by)} is not unique, or the result changed between reads"
+                "rows that are the same in every column lie across a border, or the result changed between reads"
             )
 
 

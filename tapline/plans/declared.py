@@ -74,9 +74,9 @@ def of_field(field: T.StructField, profile: str) -> Declared:
         named = _BY_SPARK_TYPE[profile].get(type(spark_type))
         known = parse(named) if named else Declared(spark_type.simpleString())
     if not known.args and isinstance(spark_type, T.DecimalType):
-        # The driver's type name carries no arguments: a scale of -127 marks a number without a fixed point.
-        scale = field.metadata.get("scale", spark_type.scale)
-        return Declared(known.name, (spark_type.precision, -127 if scale == -127 else spark_type.scale))
+        # The driver's type name carries no arguments. Its scale may lie outside what Spark's type can say: below zero or
+        # above the precision (-127: no fixed point).
+        return Declared(known.name, (spark_type.precision, field.metadata.get("scale", spark_type.scale)))
     return known
 
 

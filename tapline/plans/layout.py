@@ -11,6 +11,9 @@ The part of a row follows from its rank in the order key. No row is ranked by a
 
 Splits and cuts are constants of the plans, so a lost executor's work comes out the same when it is done again.
 A write task holds whole parts, in order, so a file limit of ``chunk`` rows cuts them exactly.
+
+Keys need not be unique: two hashes of the whole row settle ties, so a key that a third of all rows share is cut across
+tasks like any other. Only rows that are the same in every column cannot be told apart.
 """
 
 from __future__ import annotations
@@ -30,9 +33,6 @@ ROWS_PER_TASK = 500_000
 # Buckets per write task, their bounds, and sampled keys per bucket.
 BUCKETS_PER_TASK, MIN_BUCKETS, MAX_BUCKETS, SAMPLES_PER_BUCKET = 16, 64, 20_000, 32
 
-# A bucket this many times the average, and of at least so many rows, is looked at for a repeated key first.
-SUSPECT_SHARE, SUSPECT_ROWS = 50, 1_000_000
-
 _ORDERABLE = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.FloatType, T.DoubleType, T.StringType,
     T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType,
@@ -71,18 +71,27 @@ def _key_column(field: T.StructField) -> tuple[Column, T.DataType]:
     return column, field.dataType
 
 
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """128 bits of the whole row. Maps have no order, so they are hashed as text."""
+    columns = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields]
+    told = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c for c, f in zip(columns, df.schema.fields)]
+    return [F.xxhash64(F.lit(seed), *told) for seed in (1, 2)]
+
+
 class SortKey:
-    """The sort key of a DataFrame: its columns under the names 0, 1, .., one value to compare, and literals of it."""
+    """The sort key of a DataFrame: its columns and the tie-break under the names 0, 1, .., one value to compare, and
+    literals of it."""
 
     def __init__(self, df: DataFrame, names: tuple[str, ...]):
         missing = [n for n in names if n not in df.columns]
         if missing:
             raise ExtractionError("data", f"order key columns not in the result: {missing}")
-        columns = [_key_column(df.schema[n]) for n in names]
+        ties = _row_hashes(df)
+        columns = [_key_column(df.schema[n]) for n in names] + [(c, T.LongType()) for c in ties]
         self.types = [t for _, t in columns]
-        self.names = [str(i) for i in range(len(names))]
+        self.names = [str(i) for i in range(len(columns))]
         self.columns = [c.alias(n) for n, (c, _) in zip(self.names, columns)]
-        self.sort_columns = [F.col("`" + n.replace("`", "``") + "`") for n in names]
+        self.sort_columns = [F.col("`" + n.replace("`", "``") + "`") for n in names] + ties
 
     def value(self, columns: list[Column]) -> Column:
         """What is compared: the column itself, or a struct of several."""
@@ -158,16 +167,6 @@ def _splits(keys: DataFrame, sort: SortKey, total: int, tasks: int) -> list[tupl
     return [_text_of(row, "key", len(columns)) for row in found[step::step]]
 
 
-def _refuse_repeated_keys(bucketed: DataFrame, sort: SortKey, sizes: list[int]) -> None:
-    """A key that many rows share would come to one task to be ranked; it is found by counting, and refused."""
-    largest = max(range(len(sizes)), key=sizes.__getitem__)
-    if sizes[largest] < max(SUSPECT_ROWS, SUSPECT_SHARE * sum(sizes) / len(sizes)):
-        return
-    shared = _where(bucketed, F.col("bucket") == largest).groupBy(*sort.names).count().where("count > 1")
-    if not shared.isEmpty():
-        raise ExtractionError("data", "the order key is not unique: many rows share one key")
-
-
 def _cuts(keys: DataFrame, sort: SortKey, starts: list[int], total: int) -> list[tuple[str, ...]]:
     """The keys at the wanted ranks, as texts."""
     columns = [F.col(f"`{n}`") for n in sort.names]
@@ -176,7 +175,6 @@ def _cuts(keys: DataFrame, sort: SortKey, starts: list[int], total: int) -> list
     sizes = [0] * (len(splits) + 1)
     for row in bucketed.groupBy("bucket").count().collect():
         sizes[row["bucket"]] = row["count"]
-    _refuse_repeated_keys(bucketed, sort, sizes)
     firsts = list(itertools.accumulate(sizes, initial=0))[:-1]
     # The bucket of a rank is the last one that starts at or before it (empty ones start where the next one does).
     wanted = {bisect.bisect_right(firsts, start) - 1 for start in starts}
@@ -232,7 +230,7 @@ def arrange(df: DataFrame, dir_columns: tuple[str, ...], order_by: tuple[str, ..
 
 
 def skip_rows(df: DataFrame, order_by: tuple[str, ...], count: int) -> DataFrame:
-    """The sorted result without its first ``count`` rows: OFFSET for a unique key, with no task that sees all rows.
+    """The sorted result without its first ``count`` rows: OFFSET, with no task that sees all rows. Ties keep one order.
 
     The key of the first row to keep is found from the key columns alone; the rest is a filter on it.
     """

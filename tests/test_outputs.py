@@ -54,30 +54,30 @@ def test_instants_are_utc(spark):
     assert json_rows(df).first().json == '{"t":"2024-01-01T03:00:00.500","u":"2024-01-01T03:00:00"}'
 
 
-def test_scratch_folder(spark, monkeypatch):
+def test_scratch_folder():
     from tapline import session
 
-    class Conf:
-        def __init__(self, named):
-            self.named = named
-
-        def get(self, key, default):
-            return self.named or default
-
     class Fake:
-        def __init__(self, master, named=None):
-            self.conf, self.sparkContext = Conf(named), self
-            self.master, self.applicationId = master, f"app-{master}"
+        def __init__(self, **settings):
+            self.settings = {"spark.sql.warehouse.dir": "hdfs://lake/warehouse/", **settings}
+            self.conf = self.sparkContext = self
+
+        def get(self, key, default=None):
+            return self.settings.get(key, default)
 
         def getCheckpointDir(self):
             return None
 
-    assert session.scratch_root(Fake("yarn", "hdfs://shared/")) == "hdfs://shared"
-    local = Fake("local[2]")
-    assert Path(session.scratch_root(local)).is_dir() and session.scratch_root(local) == session.scratch_root(local)
-    for master in ("yarn", "local-cluster[2,1,1024]"):
-        with pytest.raises(ExtractionError, match="spark.checkpoint.dir"):
-            session.scratch_root(Fake(master))
+    assert session.scratch_root(Fake(**{"spark.checkpoint.dir": "hdfs://shared/"})) == "hdfs://shared"
+    assert session.scratch_root(Fake()) == "hdfs://lake/warehouse/tapline-scratch"
+
+
+def test_exact_decimals_in_dicts(spark):
+    from decimal import Decimal
+
+    df = spark.sql("SELECT CAST('12345678901234567890.1234567890' AS DECIMAL(38,10)) AS d")
+    assert rows_as_dicts(df, exact_decimals=True) == [{"d": Decimal("12345678901234567890.1234567890")}]
+    assert isinstance(rows_as_dicts(df)[0]["d"], float)
 
 
 def test_dicts_guard(spark):
@@ -153,7 +153,7 @@ def test_encrypted_folders_and_empty(spark, tmp_path, rsa):
     assert result.rows == 0 and len(files) == 1 and read_encrypted(spark, files, rsa[1]).count() == 0
 
 
-@pytest.mark.parametrize("damage", ["flip", "cut", "swap"])
+@pytest.mark.parametrize("damage", ["flip", "cut", "header", "swap"])
 def test_damaged_parts_do_not_open(spark, tmp_path, rsa, damage, monkeypatch):
     from tapline.operators import envelope
 
@@ -165,6 +165,8 @@ def test_damaged_parts_do_not_open(spark, tmp_path, rsa, damage, monkeypatch):
         raw[-40] ^= 1
     elif damage == "cut":
         del raw[head + 4 + int.from_bytes(raw[head:head + 4], "big"):]
+    elif damage == "header":
+        del raw[head:]
     else:
         other = Path(files[1]).read_bytes()
         raw = bytearray(other[:12 + int.from_bytes(other[8:12], "big")]) + raw[head:]

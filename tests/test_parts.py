@@ -87,18 +87,24 @@ def test_hot_leading_key_is_split(spark, tmp_path, monkeypatch):
     assert ids_by_part(spark, tmp_path) == [expected[a:a + 100] for a in range(0, 3000, 100)]
 
 
-def test_order_key_that_is_not_unique_is_refused_and_leaves_nothing(spark, tmp_path):
-    with pytest.raises(ExtractionError, match="not unique"):
-        write_parts(shuffled(spark, 1000), options(tmp_path, order_by=("three",)))
-    assert part_files(tmp_path) == []
+def test_order_key_that_repeats_is_cut_exactly(spark, tmp_path):
+    write_parts(shuffled(spark, 1000), options(tmp_path, order_by=("three",)))
+    parts = ids_by_part(spark, tmp_path)
+    assert [len(p) for p in parts] == [100] * 10
+    assert sorted(i for p in parts for i in p) == list(range(1000))
+
+
+def test_a_key_shared_by_a_third_of_all_rows_is_cut_across_tasks(spark, tmp_path):
+    df = spark.range(3000).select("id", F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("k"))
+    write_parts(df, options(tmp_path, order_by=("k",)))
+    parts = ids_by_part(spark, tmp_path)
+    assert [len(p) for p in parts] == [100] * 30 and sorted(i for p in parts[:10] for i in p) == list(range(1000))
+    assert [i for p in parts[10:] for i in p] == list(range(1000, 3000))
 
 
-def test_a_key_shared_by_a_third_of_all_rows_is_refused_by_counting(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(layout, "SUSPECT_ROWS", 100)
-    monkeypatch.setattr(layout, "SUSPECT_SHARE", 3)
-    df = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("k"))
-    with pytest.raises(ExtractionError, match="many rows share one key"):
-        write_parts(df, options(tmp_path, order_by=("k",)))
+def test_equal_rows_across_a_border_are_refused_and_leave_nothing(spark, tmp_path):
+    with pytest.raises(ExtractionError, match="same in every column"):
+        write_parts(spark.range(1000).selectExpr("floor(id / 70) AS k"), options(tmp_path, order_by=("k",)))
     assert part_files(tmp_path) == []
 
 
