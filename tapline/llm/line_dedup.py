@@ -271,7 +271,7 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "fp", "at._key", "at.no")
     by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "fp", "no")).alias("wanted"))
     texts = staged(
-        docs.select("_key", "_text").join(by_document, "_key")
+        docs.select("_key", "_text").join(by_document.hint("shuffle_hash"), "_key")
         .select(F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
         .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).dropDuplicates(["h"])
         .select("h", "fp", F.trim(normalised(F.col("line"))).alias("norm")), "line-texts")
@@ -291,7 +291,8 @@ def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMIL
     rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"),
                        F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"))
     gone = removable(rows.where("_text is not null").select("_key", "_id", "_text"), radius, similarity)
-    split = rows.join(gone, "_key", "left").withColumn("_lines", F.split("_text", "\n"))
+    # Hashing the short rows of line numbers spares a sort of the texts.
+    split = rows.join(gone.hint("shuffle_hash"), "_key", "left").withColumn("_lines", F.split("_text", "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
