@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -122,3 +123,43 @@ def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     total = np.add.reduceat(counts, first, axis=0)
     out[rows] = ((2 * total > size[:, None]) * weight).sum(axis=1, dtype=np.uint64)
     return out
+
+
+_BASE, _ODD = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift in (30, 27):
+        x = (x ^ (x >> np.uint64(shift))) * _ODD
+    return x ^ (x >> np.uint64(31))
+
+
+@lru_cache(maxsize=1)
+def _byte_values() -> np.ndarray:
+    return _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    return tuple(np.cumprod(np.append(np.uint64(1), np.full(size - 1, b, np.uint64)))
+                 for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of each text, words being parted by blanks, and the number of words of each text.
+
+    The hash is a polynomial over the word's bytes, read from running sums over all texts at once, and mixed.
+    """
+    view, starts = bytes_of(column)
+    if not len(view):
+        return np.zeros(0, np.uint64), np.zeros(len(column), np.int64)
+    inside = view != 0x20
+    some = starts[1:] > starts[:-1]
+    fresh, over = np.append(True, ~inside[:-1]), np.append(~inside[1:], True)
+    fresh[starts[:-1][some]] = True
+    over[starts[1:][some] - 1] = True
+    begin, end = np.flatnonzero(inside & fresh), np.flatnonzero(inside & over) + 1
+    power, inverse = _powers(max(CHUNK_BYTES, 1 << (len(view) - 1).bit_length()))
+    total = np.append(np.uint64(0), np.cumsum(_byte_values()[view] * power[:len(view)]))
+    return _mixed((total[end] - total[begin]) * inverse[begin]), np.diff(np.searchsorted(begin, starts))

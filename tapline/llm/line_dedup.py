@@ -19,14 +19,14 @@ with the names of result columns are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapline.llm.common import majority_bits, row_key, send_package, staged, strings_of, table, with_columns
+from tapline.llm.common import blocks, majority_bits, row_key, send_package, staged, table, with_columns, word_hashes
 from tapline.llm.components import components
 
 RADIUS, SIMILARITY = 3, 0.8
@@ -34,7 +34,6 @@ RADIUS, SIMILARITY = 3, 0.8
 BUCKET, SET_LINES = 64, 4000
 # Rows of whole buckets that a task compares at once.
 SET_ROWS = 100_000
-_REMEMBERED = 300_000
 
 
 def normalised(text: Column) -> Column:
@@ -46,18 +45,10 @@ def normal_lines(text: Column) -> Column:
     return F.transform(F.split(normalised(text), "\n"), lambda line: F.trim(line))
 
 
-def fingerprints(lines: list[str], known: dict[str, int]) -> np.ndarray:
-    """64-bit SimHash of each line over its words; `known` remembers the hashes of words."""
-    import xxhash
-
-    words = [line.split() for line in lines]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    if len(known) > _REMEMBERED:
-        known.clear()
-    for word in set().union(*words).difference(known):
-        known[word] = xxhash.xxh64_intdigest(word)
-    hashes = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
-    return majority_bits(hashes, sizes)
+def fingerprints(lines: pa.Array) -> np.ndarray:
+    """64-bit SimHash of each line over its words."""
+    done = [majority_bits(*word_hashes(lines[a:b])) for a, b in blocks(lines)]
+    return np.concatenate([np.zeros(0, np.uint64), *done])
 
 
 def block_masks(count: int, radius: int) -> list[int]:
@@ -257,9 +248,8 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
 
     @F.arrow_udf("bigint")
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, int] = {}
         for column in batches:
-            yield pa.array(fingerprints(strings_of(column), known).view(np.int64))
+            yield pa.array(fingerprints(column).view(np.int64))
 
     lines = docs.select("_key", "_id", F.posexplode(normal_lines(F.col("_text"))).alias("no", "norm")).where("norm != ''")
     occurrences = staged(lines.select("_key", "_id", "no", F.xxhash64("norm").alias("h"), hashed("norm").alias("fp")),

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,7 +133,7 @@ def plain_lines(docs):
             if norm:
                 occurrences[norm].add((doc is not None, doc or 0, text, n))
     norms = list(occurrences)
-    fps = line_dedup.fingerprints(norms, {})
+    fps = line_dedup.fingerprints(pa.array(norms))
     links = [(i, int(j)) for i in range(len(norms)) for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 3)
              if line_dedup.similar(norms[i].split(), norms[int(j)].split(), 0.8)]
     best = {}
@@ -279,3 +280,16 @@ def test_leaks_with_edits_blocks_and_odd_rows(spark, odd, monkeypatch):
     assert decontaminate.clean(odd, tests.limit(0)).count() == odd.count()
     assert decontaminate.clean(odd, tests).columns == odd.columns
     assert decontaminate.leaks(odd.limit(0), tests).count() == 0
+
+
+def test_word_hashes_tell_words_apart_wherever_they_stand():
+    from tapline.llm.common import word_hashes
+
+    texts = ["ab cd", "", "ab", None, " cd  \u00e9\u00e9 ab ", " ", *(f"w{i} {i}x" for i in range(20_000))]
+    column = pa.array(["left out", *texts])[1:]
+    hashes, sizes = word_hashes(column)
+    words = [(t or "").split() for t in texts]
+    assert sizes.tolist() == [len(w) for w in words]
+    by_word = dict(zip([w for row in words for w in row], hashes.tolist(), strict=True))
+    assert len(set(by_word.values())) == len(by_word) and [by_word[w] for row in words for w in row] == hashes.tolist()
+    assert [len(x) for x in word_hashes(pa.array([], pa.string()))] == [0, 0]
