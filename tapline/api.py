@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tapline.errors import as_extraction_error
 from tapline.operators.json_rows import rows_as_dicts
@@ -14,7 +15,7 @@ from tapline.operators.store import Store
 from tapline.options import (
     DEFAULT_BATCH_SIZE, JSON_BATCH_SIZE, ConnectionOptions, ExtractOptions, Split,
 )
-from tapline.plans.profiles import Switches, normalise
+from tapline.plans.profiles import ALL_ROWS, Switches, normalise
 from tapline.session import current_session, scratch_folder
 from tapline.sources import read
 
@@ -31,9 +32,10 @@ def extract(
     conn: ConnectionOptions,
     declared: dict[str, str] | None = None,
     switches: Switches = Switches(),
+    cuts: Observation | None = None,
 ) -> DataFrame:
-    """The query result under its type profile, lazily."""
-    return normalise(read(spark, conn), conn.datasource_type, declared, switches)
+    """The query result under its type profile, lazily. ``cuts`` gets the counts of values that max_text_len cuts."""
+    return normalise(read(spark, conn), conn.datasource_type, declared, switches, cuts)
 
 
 def with_date_folders(df: DataFrame, date_column: str) -> tuple[DataFrame, tuple[str, ...]]:
@@ -58,12 +60,16 @@ def extract_to_parquet(
 
     An ordered write reads its rows more than once. ``stage`` writes the result to the scratch folder first, so that
     the source answers the query once; that is the default for databases and for queries that are not deterministic,
-    and worth asking for where the query joins or aggregates.
+    and worth asking for where the query joins or aggregates. With max_text_len the result is always staged: that run
+    counts the values that are cut.
     """
     if options.order_by and not conn.reads_session_tables and conn.split is None:
         conn = conn.with_split(Split(column=options.order_by[0])) if _splittable(spark, conn, options) else conn
-    df = extract(spark, conn, declared, switches)
+    cuts = Observation() if switches.max_text_len else None
+    df = extract(spark, conn, declared, switches, cuts)
     staged = None
+    if cuts is not None:
+        stage = True
     if stage is None:
         repeatable = conn.reads_session_tables and df._jdf.queryExecution().analyzed().deterministic()
         stage = bool(options.order_by) and not repeatable
@@ -76,7 +82,8 @@ def extract_to_parquet(
         if date_column:
             df, folders = with_date_folders(df, date_column)
             options = replace(options, dir_columns=folders)
-        return write_parts(df, options)
+        counts = cuts.get if cuts is not None else {}
+        return replace(write_parts(df, options), cut={c: n for c, n in counts.items() if c != ALL_ROWS})
     finally:
         if staged:
             Store(spark, staged).delete(staged)
@@ -126,7 +133,10 @@ def read_to_parquet(
             empty_policy=EMPTY_POLICY[datasource_type],
         )
         switches = Switches(binary_fallback, max_text_len)
-        return extract_to_parquet(session, conn, options, declared, switches, date_column, stage).rows
+        result = extract_to_parquet(session, conn, options, declared, switches, date_column, stage)
+        if any(result.cut.values()):
+            warnings.warn(f"values cut at max_text_len={max_text_len}, by column: {result.cut}", stacklevel=2)
+        return result.rows
 
 
 def read_to_json(

@@ -25,8 +25,8 @@ _MILLIS_ORDERS = (
 QUERIES = {
     "q01_select_limit": extraction("SELECT * FROM orders ORDER BY o_orderkey LIMIT 10", "ODBC"),
     "q02_projection_alias": extraction(
-        "SELECT c_custkey AS id, c_name AS name, c_nationkey AS issued_by, c_acctbal AS account_payment, "
-        "c_mktsegment AS sub_segment FROM customer;", "ODBC"
+        "SELECT c_custkey AS customer, c_name AS called, c_nationkey AS nation, c_acctbal AS balance, "
+        "c_mktsegment AS market FROM customer;", "ODBC"
     ),
     "q03_order_offset": _order_offset,
     "q03_offset_ties": _offset_ties,
@@ -38,15 +38,14 @@ QUERIES = {
         "'{\"a\": \"a\"}' AS json_col FROM customer LATERAL VIEW explode(sequence(1, 6)) g AS num",
         "POSTGRES", {"json_col": "jsonb"},
     ),
-    "q09_large_object": extraction("SELECT page_id AS recid, html AS xmlrecord FROM pages", "ORACLE",
-                                   {"xmlrecord": "clob"}),
+    "q09_large_object": extraction("SELECT page_id, html AS markup FROM pages", "ORACLE", {"markup": "clob"}),
 }
 
 SQL = {
     "q01_select_limit": f"SELECT {_MILLIS_ORDERS} FROM orders ORDER BY o_orderkey LIMIT 10",
     "q02_projection_alias": (
-        "SELECT c_custkey AS id, c_name AS name, c_nationkey AS issued_by, c_acctbal AS account_payment, "
-        "c_mktsegment AS sub_segment FROM customer"
+        "SELECT c_custkey AS customer, c_name AS called, c_nationkey AS nation, c_acctbal AS balance, "
+        "c_mktsegment AS market FROM customer"
     ),
     "q03_order_offset": f"SELECT {_MILLIS_ORDERS} FROM orders ORDER BY o_orderkey OFFSET {SKIPPED}",
     "q03_offset_ties": f"SELECT o_custkey FROM orders ORDER BY o_custkey OFFSET {SKIPPED}",
@@ -58,5 +57,5 @@ SQL = {
         "CAST(DATE '2024-01-01' + CAST(num AS INTEGER) AS DATE) AS date_col, '{\"a\":\"a\"}' AS json_col "
         "FROM customer, range(1, 7) g(num)"
     ),
-    "q09_large_object": "SELECT CAST(page_id AS DECIMAL(19,0)) AS recid, html AS xmlrecord FROM pages",
+    "q09_large_object": "SELECT CAST(page_id AS DECIMAL(19,0)) AS page_id, html AS markup FROM pages",
 }

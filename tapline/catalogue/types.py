@@ -199,7 +199,7 @@ _add(
 )
 _add(
     "odbc_text_cap", "SELECT doc_id, text FROM documents", "ODBC", {"text": "varchar(2147483647)"},
-    f"SELECT doc_id, left(text, {TEXT_CAP}) AS text FROM documents", Switches(max_text_len=TEXT_CAP),
+    f"SELECT doc_id, left(text, {TEXT_CAP // 10}) AS text FROM documents", Switches(max_text_len=TEXT_CAP // 10),
 )
 QUERIES["odbc_over_length_report"] = lambda spark, sf_dir: over_length_counts(
     rows(spark, sf_dir, "SELECT text, source FROM documents", "ODBC"), TEXT_CAP // 10

@@ -7,7 +7,7 @@ import time
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -41,6 +41,7 @@ class Result:
     rows: int
     parts: int
     manifests: list[str]
+    cut: dict[str, int] = field(default_factory=dict)  # values of each column that max_text_len cut
 
 
 def _folder_of(names: tuple[str, ...], values: tuple[str, ...]) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tapline import functions as V
 from tapline.errors import ExtractionError
@@ -56,6 +56,7 @@ class Target:
     col: Column
     metadata: dict = field(default_factory=dict)
     first: Column | None = None
+    cut: Column | None = None  # whether max_text_len cuts the value
 
 
 Rule = Callable[[Source], Target]
@@ -143,6 +144,7 @@ def _pg_other(s: Source) -> Target:
     return Target(F.encode(text, "UTF-8"))
 
 
+# Type names of the source, here and in the two tables below.
 _POSTGRES: dict[str, Rule] = {
     "int2": _cast("smallint"), "int4": _cast("int"), "int8": _cast("bigint"),
     "float4": _cast("float"), "float8": _cast("double"), "bool": _cast("boolean"),
@@ -206,24 +208,21 @@ def _odbc_time(s: Source) -> Target:
     return Target(seconds, {"time_unit": "second"})
 
 
+def _capped(value: Column, cap: int | None) -> Target:
+    """Text or bytes, cut if asked for."""
+    return Target(F.substring(value, 1, cap), cut=V.over_length(value, cap)) if cap else Target(value)
+
+
 def _odbc_text(s: Source) -> Target:
-    text = _text(s)
-    cap = s.switches.max_text_len
-    return Target(V.cap_text(text, cap) if cap else text)
+    return _capped(_text(s), s.switches.max_text_len)
 
 
 def _odbc_wide_text(s: Source) -> Target:
-    if not s.is_bytes:
-        return _odbc_text(s)
-    text = V.decode_utf16(s.col, s.name)
-    cap = s.switches.max_text_len
-    return Target(V.cap_text(text, cap) if cap else text)
+    return _capped(V.decode_utf16(s.col, s.name), s.switches.max_text_len) if s.is_bytes else _odbc_text(s)
 
 
 def _odbc_bytes(s: Source) -> Target:
-    raw = s.col if s.is_bytes else F.encode(_text(s), "UTF-8")
-    cap = s.switches.max_text_len
-    return Target(F.substring(raw, 1, cap) if cap else raw)
+    return _capped(s.col if s.is_bytes else F.encode(_text(s), "UTF-8"), s.switches.max_text_len)
 
 
 _ODBC: dict[str, Rule] = {
@@ -300,6 +299,9 @@ def _oracle(s: Source) -> Target:
     return Target(target.col, {"is_free_size_number": "false", **target.metadata})
 
 
+# Name of the count of all rows beside the counts of cut values.
+ALL_ROWS = "__rows"
+
 _PROFILES: dict[str, Rule] = {"POSTGRES": _postgres, "ODBC": _odbc, "ORACLE": _oracle}
 
 
@@ -308,17 +310,25 @@ def normalise(
     profile: str,
     declared: dict[str, str] | None = None,
     switches: Switches = Switches(),
+    cuts: Observation | None = None,
 ) -> DataFrame:
-    """The profile as a projection. Nothing is read here; an unsupported type raises at once."""
+    """The profile as a projection. Nothing is read here; an unsupported type raises at once.
+
+    ``cuts`` gets, from the first run over the rows, how many values of each column max_text_len cut, and all rows.
+    """
     rule = _PROFILES[profile]
     sources = declared_types(df.schema, profile, declared)
-    columns, earlier = [], {}
+    columns, earlier, counts = [], {}, [F.count(F.lit(1)).alias(ALL_ROWS)]
     for f in df.schema.fields:
         quoted = F.col("`" + f.name.replace("`", "``") + "`")
         target = rule(Source(quoted, f.name, f.dataType, sources[f.name], switches))
         columns.append(target.col.alias(f.name, metadata=target.metadata))
         if target.first is not None:
             earlier[f"__first_{f.name}"] = target.first
+        if target.cut is not None:
+            counts.append(F.count_if(target.cut).alias(f.name))
+    if cuts is not None:
+        df = df.observe(cuts, *counts)
     return df.withColumns(earlier).select(*columns) if earlier else df.select(*columns)
 
 

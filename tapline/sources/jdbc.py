@@ -21,15 +21,18 @@ class Address:
     options: dict = field(default_factory=dict, repr=False)
 
 
-def parse_keys(connection_string: str) -> dict[str, str]:
-    """``Key=value;`` pairs with lower-case keys; braces around a value are removed, and may hold semicolons."""
+def _pairs(connection_string: str) -> dict[str, str]:
     pairs = re.findall(r"\s*([^=;]+?)\s*=\s*(\{(?:[^}]|\}\})*\}|[^;]*)\s*(?:;|$)", connection_string)
     return {
-        key.lower(): value[1:-1].replace("}}", "}") if value.startswith("{") else value.strip()
-        for key, value in pairs
+        key: value[1:-1].replace("}}", "}") if value.startswith("{") else value.strip() for key, value in pairs
     }
 
 
+def parse_keys(connection_string: str) -> dict[str, str]:
+    """``Key=value;`` pairs with lower-case keys; braces around a value are removed, and may hold semicolons."""
+    return {key.lower(): value for key, value in _pairs(connection_string).items()}
+
+
 def _first(keys: dict[str, str], *names: str, default: str = "") -> str:
     return next((keys[n] for n in names if keys.get(n)), default)
 
@@ -72,14 +75,27 @@ def _postgres_keys(keys: dict[str, str], server: str, database: str) -> Address:
     return Address(f"jdbc:postgresql://{host}/{database}", "org.postgresql.Driver", options)
 
 
-# Words that tell a driver name, tried in this order.
+def _oracle_keys(keys: dict[str, str], server: str, database: str) -> Address:
+    place = _first(keys, "dbq") or f"{_host_port(server, _first(keys, 'port'), '1521')}/{database}"
+    prefix = "" if place.startswith("(") else "//"
+    return Address(f"jdbc:oracle:thin:@{prefix}{place}", "oracle.jdbc.OracleDriver")
+
+
+# Words that tell a driver name or the file of its library, tried in this order.
 _BY_DRIVER_NAME = (
-    (("mysql", "mariadb"), _mysql),
-    (("mssql", "sql server", "sqlserver", "freetds", "tds"), _sql_server),
+    (("mysql", "mariadb", "maodbc", "myodbc"), _mysql),
+    (("mssql", "sql server", "sqlserver", "msodbcsql", "freetds", "tds"), _sql_server),
     (("db2",), _db2),
     (("postgres", "psql"), _postgres_keys),
+    (("oracle", "sqora"), _oracle_keys),
 )
 
+# Keys whose meaning is taken over above; all others go to the driver as they are.
+_TAKEN = {
+    "driver", "server", "hostname", "host", "servername", "port", "database", "dbname", "db", "dbq", "uid", "user",
+    "username", "pwd", "password", "charset", "encrypt", "trustservercertificate", "sslmode",
+}
+
 # JDBC driver classes by url prefix, for connection strings that are urls already.
 _DRIVER_BY_URL = {
     "jdbc:derby:": "org.apache.derby.jdbc.EmbeddedDriver",
@@ -91,10 +107,12 @@ _DRIVER_BY_URL = {
 }
 
 
-def _generic_address(connection_string: str) -> Address:
-    for prefix, driver in _DRIVER_BY_URL.items():
-        if connection_string.startswith(prefix):
-            return Address(connection_string, driver)
+def _generic_address(connection_string: str, url: str | None = None) -> Address:
+    """A JDBC url is taken as it is, with the driver that is registered for it unless its class is known or given; so is
+    the ``url`` of jdbc_options, which stands for any connection string, also one that names a DSN."""
+    if url or connection_string.startswith("jdbc:"):
+        url = url or connection_string
+        return Address(url, next((d for prefix, d in _DRIVER_BY_URL.items() if url.startswith(prefix)), ""))
     keys = parse_keys(connection_string)
     name = _first(keys, "driver").lower()
     build = next((b for words, b in _BY_DRIVER_NAME if any(w in name for w in words)), None)
@@ -103,7 +121,8 @@ def _generic_address(connection_string: str) -> Address:
     server = _first(keys, "server", "hostname", "host", "servername", default="localhost")
     address = build(keys, server, _first(keys, "database", "dbname", "db"))
     login = {"user": _first(keys, "uid", "user", "username"), "password": _first(keys, "pwd", "password")}
-    return Address(address.url, address.driver, {**address.options, **{k: v for k, v in login.items() if v}})
+    rest = {k: v for k, v in _pairs(connection_string).items() if k.lower() not in _TAKEN}
+    return Address(address.url, address.driver, {**rest, **address.options, **{k: v for k, v in login.items() if v}})
 
 
 def address(conn: ConnectionOptions) -> Address:
@@ -111,7 +130,7 @@ def address(conn: ConnectionOptions) -> Address:
     target = conn.connection_string
     if conn.datasource_type == "ODBC":
         # The connection string carries the login; user_name and password are not looked at.
-        return _generic_address(target)
+        return _generic_address(target, conn.jdbc.get("url"))
     if conn.datasource_type == "POSTGRES":
         options = {
             "user": conn.user_name or "", "password": conn.password or "",
@@ -131,9 +150,10 @@ def address(conn: ConnectionOptions) -> Address:
 
 def _reader_options(conn: ConnectionOptions) -> dict[str, str]:
     where = address(conn)
+    driver = {"driver": where.driver} if where.driver else {}
     return {
-        "url": where.url, "driver": where.driver, "fetchsize": str(conn.batch_size),
-        "preferTimestampNTZ": "true", **where.options, **{k: str(v) for k, v in conn.jdbc.items()},
+        "fetchsize": str(conn.batch_size), "preferTimestampNTZ": "true", **where.options, "url": where.url, **driver,
+        **{k: str(v) for k, v in conn.jdbc.items()},
     }
 
 

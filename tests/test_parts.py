@@ -246,18 +246,18 @@ def test_progress_over_many_blocks(spark, monkeypatch):
 
 def test_paths():
     def of(base, **more):
-        return ExtractOptions(base, "table_name", "log_dir", 100, **more)
+        return ExtractOptions(base, "sales/eu", "logs", 40, **more)
 
-    assert paths.part_key(of("s3://bucket_name"), 1) == "/table_name/000001.parquet"
-    assert paths.part_key(of("s3://bucket_name/prefix"), 1) == "/prefix/table_name/000001.parquet"
-    assert paths.part_key(of("s3://bucket_name/prefix/"), 1) == "/prefix/table_name/000001.parquet"
-    assert paths.part_key(of("s3://bucket_name/a/b/", prefix="x", encryption_key="k"), 1234567) == (
-        "/a/b/table_name/x1234567.parquet.encrypted"
+    assert paths.part_key(of("s3://lake"), 7) == "/sales/eu/000007.parquet"
+    for base in ("s3://lake/raw/daily", "s3://lake/raw/daily/"):
+        assert paths.part_key(of(base), 12) == "/raw/daily/sales/eu/000012.parquet"
+    assert paths.part_key(of("s3://lake/a/b/", prefix="x", encryption_key="k"), 1234567) == (
+        "/a/b/sales/eu/x1234567.parquet.encrypted"
     )
-    assert paths.table_uri(of("s3://bucket_name/a/")) == "s3a://bucket_name/a/table_name"
-    assert paths.table_uri(of("s3://bucket_name")) == "s3a://bucket_name/table_name"
-    assert paths.table_uri(of("/data/")) == "/data/table_name"
-    assert paths.table_uri(of("data")) == "data/table_name"
+    assert paths.table_uri(of("s3://lake/a/")) == "s3a://lake/a/sales/eu"
+    assert paths.table_uri(of("s3://lake")) == "s3a://lake/sales/eu"
+    assert paths.table_uri(of("/data/")) == "/data/sales/eu"
+    assert paths.table_uri(of("data")) == "data/sales/eu"
     assert paths.log_path("logs", "T/year=2022/month=02/day=01") == "logs/T_2022_02_01.csv"
     assert paths.log_path("logs", "T") == "logs/T.csv"
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+import warnings
 from decimal import Decimal as D
 
 import pytest
@@ -36,23 +37,34 @@ def test_oracle_address():
 
 
 def test_generic_addresses_take_the_login_from_the_string_only():
-    assert address("Driver={MySQL};Server=localhost;charset=UTF8;Database=d;User=u;Password=p;Option=3;", "ODBC",
-                   "ignored", "ignored") == (
-        "jdbc:mysql://localhost:3306/d", "com.mysql.cj.jdbc.Driver",
-        {"connectTimeout": "10000", "characterEncoding": "UTF-8", "user": "u", "password": "p"},
+    assert address("Driver=/usr/lib/odbc/libmaodbc.so;Port=3307;DB=sales;ServerName=shop;Uid=reader;Pwd=w0rd;"
+                   "CharSet=latin1;useCompression=true", "ODBC", "ignored", "ignored") == (
+        "jdbc:mysql://shop:3307/sales", "com.mysql.cj.jdbc.Driver",
+        {"useCompression": "true", "connectTimeout": "10000", "characterEncoding": "latin1", "user": "reader",
+         "password": "w0rd"},
     )
-    assert address("Driver={MSSQL};DATABASE=d;SERVER=h,1521;UID=a;PWD={p;=}}x};Encrypt=no;", "ODBC") == (
-        "jdbc:sqlserver://h:1521", "com.microsoft.sqlserver.jdbc.SQLServerDriver",
-        {"loginTimeout": "10", "databaseName": "d", "encrypt": "false", "user": "a", "password": "p;=}x"},
+    assert address("Server=tcp:store.example,1444;Driver=/opt/x/msodbcsql18/lib64/libmsodbcsql-18.so;pwd={a;=}}b};"
+                   "uid=etl;encrypt=optional;dbname=stock", "ODBC") == (
+        "jdbc:sqlserver://store.example:1444", "com.microsoft.sqlserver.jdbc.SQLServerDriver",
+        {"loginTimeout": "10", "databaseName": "stock", "encrypt": "false", "user": "etl", "password": "a;=}b"},
     )
-    assert address("Driver={DB2};Hostname=127.0.0.1;Database=t;Uid=i;Pwd=1;", "ODBC")[0] == (
-        "jdbc:db2://127.0.0.1:50000/t"
+    assert address("Driver={IBM DB2 CLI};Host=ledger;DB=books", "ODBC")[0] == "jdbc:db2://ledger:50000/books"
+    assert address("Driver={psqlODBC};Host=pg;Port=5433;DB=d", "ODBC")[2]["sslmode"] == "verify-full"
+    assert address("Driver={Oracle in OraClient};DBQ=ora:1522/pdb;Uid=a;Pwd=b", "ODBC") == (
+        "jdbc:oracle:thin:@//ora:1522/pdb", "oracle.jdbc.OracleDriver", {"user": "a", "password": "b"}
     )
-    assert address("Driver={PostgreSQL};Server=h;Port=5433;Database=d;", "ODBC")[2]["sslmode"] == "verify-full"
     with pytest.raises(ExtractionError, match="no JDBC driver is known"):
         address("Driver={Nothing};Server=h", "ODBC")
 
 
+def test_any_jdbc_url_is_taken_as_it_is():
+    assert address("jdbc:mariadb://h/d", "ODBC") == ("jdbc:mariadb://h/d", "", {})
+    given = ConnectionOptions("DSN=warehouse", "select 1", "ODBC", jdbc={"url": "jdbc:h2:/d", "driver": "org.h2.Driver"})
+    options = jdbc._reader_options(given)
+    assert (options["url"], options["driver"]) == ("jdbc:h2:/d", "org.h2.Driver")
+    assert "driver" not in jdbc._reader_options(ConnectionOptions("jdbc:h2:/d", "select 1", "ODBC"))
+
+
 def test_one_semicolon_goes():
     assert one_statement(" select 1 ; ") == "select 1"
     assert one_statement("select ';'") == "select ';'"
@@ -192,6 +204,19 @@ def test_failures_are_told_apart(spark, database, text, query, kind):
     assert err.value.kind == kind and err.value.__cause__ is not None
 
 
+def test_cut_values_are_counted(spark, database, tmp_path):
+    def write(name, **more):
+        return tapline.read_to_parquet(database, "select k, v, cast(v as varchar(9)) w from numbers", str(tmp_path / name), "t",
+                                       str(tmp_path / "l"), 1000, "ODBC", 30, spark=spark, **more)
+
+    with pytest.warns(UserWarning, match=r"max_text_len=3, by column: \{'V': 900, 'W': 900\}"):
+        assert write("cut", max_text_len=3, order_by="K") == 1000
+    assert spark.read.parquet(str(tmp_path / "cut/t")).where("length(v) > 3").count() == 0
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        write("whole", max_text_len=4)
+
+
 def test_query_shapes_on_session_tables(spark):
     def rows(query, kind="ODBC"):
         return tapline.extract(spark, ConnectionOptions(tapline.SESSION_TABLES, query, kind))
