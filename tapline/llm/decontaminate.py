@@ -1,11 +1,13 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 Words are runs of letters and digits, in lower case. One pass over the corpus counts in how many documents each run of
-`SEED_WORDS` words of a test item occurs. The rarer half of an item's runs, of those that
-occur at all, are its seeds: rare for that item, so an item
-that leaked very often keeps its seeds. A second pass finds seeds in every whole text; where two of an item's seeds (or
-its only one) fall within one stretch, the stretch is aligned with the item by Smith-Waterman over words (match 2, other
-word -1, gap -1). The share of the item's best score is the score of the pair, so edited and paraphrased copies count.
+`SEED_WORDS` words of a test item stands alone, that is without another run of the item in the same stretch. Such a
+document does not hold the item, and a copy, exact or edited, counts against none of its runs however often it leaked.
+A run that stands alone in more than `FREQUENT_SHARE` of the documents (and in more than `FREQUENT_LEAST`) is frequent; all
+others are rare, and so are the `LEAST_SEEDS` least frequent runs of each item. A second pass finds runs in every whole
+text; where two of an item's runs (or its only one) fall within one stretch and one of them is rare, the stretch is aligned
+with the item by Smith-Waterman over words (match 2, other word -1, gap -1). The share of the item's best score is the
+score of the pair, so edited and paraphrased copies count.
 
 Documents are not shuffled in either pass. Test items travel to the tasks in blocks of at most `BLOCK_BYTES` of text, one
 pair of passes for each block, so what is broadcast is bounded for benchmarks of any size. Only counts per run of a block
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import repeat
 
 import numpy as np
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from tapline.llm.common import blocks, send_package, strings_of, table, with_columns
 
 SEED_WORDS, LEAST_SEEDS, THRESHOLD = 3, 8, 0.5
+FREQUENT_SHARE, FREQUENT_LEAST = 0.001, 100
 BLOCK_BYTES = 8 << 20
 MATCHES = "array<struct<item_id: bigint, score: double, start: int, stop: int>>"
 _WORD = re.compile(r"[^\W_]+")
@@ -51,6 +54,8 @@ class Items:
     keys: dict[int, np.ndarray] = field(default_factory=dict)
     ranges: dict[int, np.ndarray] = field(default_factory=dict)
     places: dict[int, np.ndarray] = field(default_factory=dict)
+    # Of each place whether its run is rare.
+    rare: dict[int, np.ndarray] = field(default_factory=dict)
     salt: np.ndarray | None = None
 
     @classmethod
@@ -75,6 +80,10 @@ class Items:
         order = np.argsort(key, kind="stable")
         self.keys[size], starts = np.unique(key[order], return_index=True)
         self.ranges[size], self.places[size] = np.append(starts, len(key)), place[order]
+        self.rare[size] = np.ones(len(key), bool)
+
+    def lengths(self) -> np.ndarray:
+        return np.array([len(w) for w in self.words], np.int64)
 
     def runs(self, words: np.ndarray, size: int) -> np.ndarray:
         """A key for each run of `size` words."""
@@ -95,20 +104,17 @@ class Items:
         true = self.keys[size][slot] == key
         return at[true], slot[true]
 
-    def only_rare(self, seen: dict[tuple[int, int], int]) -> Items:
-        """The same items with the rarer half of their runs (and `LEAST_SEEDS` at least) as seeds."""
-        out = Items(self.ids, self.words, self.vocabulary, salt=self.salt)
+    def only_rare(self, alone: dict[tuple[int, int], int], docs: int) -> Items:
+        """The same items with the runs marked that stand alone in few documents (and `LEAST_SEEDS` at least)."""
+        limit = max(FREQUENT_LEAST, FREQUENT_SHARE * docs)
+        rare = {}
         for size, places in self.places.items():
-            runs = np.repeat(np.arange(len(self.keys[size])), np.diff(self.ranges[size]))
-            count = np.array([seen.get((size, r), 0) for r in range(len(self.keys[size]))], np.int64)[runs]
-            # Runs that occur nowhere find nothing, so they come last.
-            order = np.lexsort((places[:, 1], count, count == 0, places[:, 0]))
+            count = np.array([alone.get((size, r), 0) for r in range(len(places))], np.int64)
+            order = np.lexsort((places[:, 1], count, places[:, 0]))
             item = places[order, 0]
-            first = np.searchsorted(item, item)
-            many = np.searchsorted(item, item, side="right") - first
-            kept = order[np.arange(len(order)) - first < np.maximum(LEAST_SEEDS, (many + 1) // 2)]
-            out._index(size, self.keys[size][runs[kept]], places[kept])
-        return out
+            rare[size] = count <= limit
+            rare[size][order[np.arange(len(order)) - np.searchsorted(item, item) < LEAST_SEEDS]] = True
+        return replace(self, rare=rare)
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts, -1 between them, and where each text starts."""
@@ -136,37 +142,60 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, stop
 
 
-def matches(items: Items, words: np.ndarray, starts: np.ndarray, threshold: float) -> list[list[tuple]]:
-    """Of each text: (item, score, start, stop) of the items that it holds."""
-    spots, holders, places = [], [], []
+@dataclass
+class Stretches:
+    """Runs of items in texts, in order of text, item and place; each stretch begins at one of `cuts`."""
+
+    text: np.ndarray
+    item: np.ndarray
+    # Where the item would begin.
+    begin: np.ndarray
+    # Words of the run, and the row of `Items.places`.
+    size: np.ndarray
+    row: np.ndarray
+    rare: np.ndarray
+    cuts: np.ndarray
+    # Of each stretch whether it holds two runs of its item, or the only one.
+    enough: np.ndarray
+
+
+def stretches(items: Items, words: np.ndarray, starts: np.ndarray) -> Stretches | None:
+    found = []
     for size in items.keys:
         at, run = items.hits(words, size)
         many = np.diff(items.ranges[size])[run]
         first = np.repeat(items.ranges[size][run], many)
-        within = np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)
-        place = items.places[size][first + within]
-        spots.append(np.repeat(at, many))
-        holders.append(place[:, 0])
-        places.append(place[:, 1])
-    out: list[list[tuple]] = [[] for _ in range(len(starts) - 1)]
-    if not spots:
-        return out
-    spot, item, place = (np.concatenate(x) for x in (spots, holders, places))
+        row = first + np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)
+        place = items.places[size][row]
+        found.append((np.repeat(at, many), *place.T, np.full(len(row), size), row, items.rare[size][row]))
+    if not found:
+        return None
+    spot, item, place, size, row, rare = (np.concatenate(x) for x in zip(*found, strict=True))
+    if not len(spot):
+        return None
     text = np.searchsorted(starts, spot, side="right") - 1
     order = np.lexsort((spot - place, item, text))
     text, item, place, begin = text[order], item[order], place[order], (spot - place)[order]
-    if not len(text):
-        return out
-    length = np.array([len(w) for w in items.words])
+    length = items.lengths()[item]
     far = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])
-                    | (begin[1:] - begin[:-1] > length[item[1:]] // 2 + 4))
+                    | (begin[1:] - begin[:-1] > length[1:] // 2 + 4))
     cuts = np.flatnonzero(far)
+    enough = (np.minimum.reduceat(place, cuts) < np.maximum.reduceat(place, cuts)) | (length[cuts] <= SEED_WORDS)
+    return Stretches(text, item, begin, size[order], row[order], rare[order], cuts, enough)
+
+
+def matches(items: Items, words: np.ndarray, starts: np.ndarray, threshold: float) -> list[list[tuple]]:
+    """Of each text: (item, score, start, stop) of the items that it holds."""
+    out: list[list[tuple]] = [[] for _ in range(len(starts) - 1)]
+    found = stretches(items, words, starts)
+    if found is None:
+        return out
+    length, begin = items.lengths(), found.begin
+    wanted = found.enough & np.logical_or.reduceat(found.rare, found.cuts)
+    ends = np.append(found.cuts[1:], len(found.text))
     best: dict[tuple[int, int], tuple] = {}
-    for a, b in zip(cuts, np.append(cuts[1:], len(text)), strict=True):
-        t, i = int(text[a]), int(item[a])
-        seeds = items_seeds(items, i)
-        if len(np.unique(place[a:b])) < min(2, seeds):
-            continue
+    for a, b in zip(found.cuts[wanted], ends[wanted], strict=True):
+        t, i = int(found.text[a]), int(found.item[a])
         pad = length[i] // 4 + 4
         low = max(int(starts[t]), int(begin[a]) - pad)
         high = min(int(starts[t + 1]) - 1, int(begin[b - 1]) + length[i] + pad)
@@ -181,32 +210,32 @@ def matches(items: Items, words: np.ndarray, starts: np.ndarray, threshold: floa
     return out
 
 
-def items_seeds(items: Items, item: int) -> int:
-    """How many seeds an item has."""
-    size = min(SEED_WORDS, len(items.words[item]))
-    return int((items.places[size][:, 0] == item).sum())
-
-
-def _count_runs(docs: DataFrame, items: Items) -> dict[tuple[int, int], int]:
-    """In how many documents each run of the items occurs."""
+def _count_alone(docs: DataFrame, items: Items) -> tuple[dict[tuple[int, int], int], int]:
+    """In how many documents each run of the items stands alone, by size and row of its place; and all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {size: np.zeros(len(keys), np.int64) for size, keys in items.keys.items()}
+        total = {size: np.zeros(len(places), np.int64) for size, places in items.places.items()}
+        texts = 0
         for batch in batches:
+            texts += len(batch)
             for a, b in blocks(batch.column(0)):
-                words, starts = items.numbers(strings_of(batch.column(0)[a:b]))
-                for size in items.keys:
-                    at, key = items.hits(words, size)
-                    text = np.searchsorted(starts, at, side="right")
-                    once = np.unique(text * len(total[size]) + key) % len(total[size])
-                    total[size] += np.bincount(once, minlength=len(total[size]))
+                found = stretches(items, *items.numbers(strings_of(batch.column(0)[a:b])))
+                if found is None:
+                    continue
+                lone = ~np.repeat(found.enough, np.diff(np.append(found.cuts, len(found.text))))
+                for size, counts in total.items():
+                    here = lone & (found.size == size)
+                    once = np.unique(found.text[here] * len(counts) + found.row[here]) % len(counts)
+                    counts += np.bincount(once, minlength=len(counts))
+        yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([texts])], ["size", "run", "n"])
         for size, counts in total.items():
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(seen), size)), pa.array(seen), pa.array(counts[seen])], ["size", "run", "n"])
 
     rows = docs.mapInArrow(run, "size bigint, run bigint, n bigint").groupBy("size", "run").agg(F.sum("n").alias("n"))
-    return {(r.size, r.run): r.n for r in rows.collect()}
+    alone = {(r.size, r.run): r.n for r in rows.collect()}
+    return alone, alone.pop((0, 0), 0)
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text",
@@ -222,7 +251,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, te
     for block in range(count):
         rows = tests.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block).collect()
         items = Items.of([(r.item_id, r.text) for r in rows])
-        found.append(_matcher(items.only_rare(_count_runs(texts, items)), threshold)(F.col(text_col)))
+        found.append(_matcher(items.only_rare(*_count_alone(texts, items)), threshold)(F.col(text_col)))
     return with_columns(docs, {to: F.concat(*found) if found else F.array().cast(MATCHES)})
 
 

@@ -282,6 +282,33 @@ def test_leaks_with_edits_blocks_and_odd_rows(spark, odd, monkeypatch):
     assert decontaminate.leaks(odd.limit(0), tests).count() == 0
 
 
+@pytest.mark.parametrize("every", [4, 5, 6])
+def test_leaks_find_an_edited_copy_beside_exact_ones(spark, every, monkeypatch):
+    rng = np.random.default_rng(every)
+    item = [f"w{i}" for i in rng.integers(0, 5000, 40)]
+    edited = [w if i % every else f"new{i}" for i, w in enumerate(item)]
+    docs = [(i, " ".join(item)) for i in range(5)] + [(10 + i, f"a b {i} " + " ".join(edited)) for i in range(3)]
+    # Runs that other documents hold alone, one a document.
+    docs += [(20 + i, f"x{i} " + " ".join(item[p:p + 3]) + f" y{i}") for i, p in enumerate([1, 9, 17, 1, 1, 1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    wanted = {0, 1, 2, 3, 4, 10, 11, 12}
+    assert {r.doc_id for r in decontaminate.leaks(frame, tests).collect()} == wanted
+    monkeypatch.setattr(decontaminate, "FREQUENT_LEAST", 2)
+    assert {r.doc_id for r in decontaminate.leaks(frame, tests).collect()} == wanted
+    assert decontaminate.clean(frame, tests).count() == 6
+
+
+def test_frequent_runs_are_those_that_stand_alone():
+    item = [f"w{i}" for i in range(40)]
+    items = decontaminate.Items.of([(1, " ".join(item))])
+    row = {int(p): r for r, (_, p) in enumerate(items.places[3])}
+    rare = items.only_rare({(3, row[p]): 101 for p in range(20)} | {(3, row[30]): 100}, 1000).rare[3]
+    assert {p for p, r in row.items() if not rare[r]} == set(range(20))
+    rare = items.only_rare({(3, row[p]): 101 + p for p in row}, 1000).rare[3]
+    assert {p for p, r in row.items() if rare[r]} == set(range(decontaminate.LEAST_SEEDS))
+
+
 def test_word_hashes_tell_words_apart_wherever_they_stand():
     from tapline.llm.common import word_hashes
 
