@@ -222,6 +222,42 @@ def test_passages_with_edits_and_odd_rows(spark, odd):
     assert passages.repeated_passages(odd.limit(0)).count() == 0
 
 
+def test_passages_with_an_indel_near_an_end(spark):
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    rows, wanted = [], set()
+    for size in (52, 55, 60):
+        for at in (4, 8, 12, -12, -8, -4):
+            for more in (["more"], []):
+                shared, n = words(size), len(rows)
+                edited = shared[:at] + more + shared[at + (not more):]
+                rows += [(n, " ".join(words(60) + shared + words(70))), (n + 1, " ".join(words(30) + edited + words(40)))]
+                wanted |= {(n, 60, 60 + size), (n + 1, 30, 30 + len(edited))}
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.start, r.stop) for r in out} == wanted
+
+
+def test_alignments_side_by_side(monkeypatch):
+    rng = np.random.default_rng(8)
+    tasks = []
+    for _ in range(60):
+        a, b = (rng.integers(0, 4, rng.integers(0, 30)) for _ in range(2))
+        tasks.append((a, b, int(rng.integers(-6, 7)), int(rng.integers(1, 12))))
+    for many in (1, 7, 256):
+        monkeypatch.setattr(passages, "SIDE_BY_SIDE", many)
+        for (a, b, shift, band), (score, xs, xe, ys, ye) in zip(tasks, passages.stretches_of(tasks), strict=True):
+            cells = {}
+            for i in range(len(a)):
+                for j in range(max(0, i + shift - band), min(len(b), i + shift + band + 1)):
+                    cells[i, j] = max(0, cells.get((i - 1, j - 1), 0) + (1 if a[i] == b[j] else -1),
+                                      cells.get((i - 1, j), 0) - 1, cells.get((i, j - 1), 0) - 1)
+            assert score == max(cells.values(), default=0)
+            assert not score or cells[xe - 1, ye - 1] == score and a[xs] == b[ys] and a[xe - 1] == b[ye - 1]
+
+
 def test_chains_against_all_orders():
     rng = np.random.default_rng(4)
     for _ in range(60):
