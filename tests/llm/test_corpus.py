@@ -240,6 +240,31 @@ def test_passages_with_an_indel_near_an_end(spark):
     assert {(r.doc_id, r.start, r.stop) for r in out} == wanted
 
 
+def test_passages_with_other_words_between(spark):
+    rng = np.random.default_rng(12)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    rows, wanted = [], set()
+    # Words of each passage, and of what stands between in the one and in the other text.
+    for passage, gap, other_gap, many in ((60, 120, 120, 2), (60, 120, 150, 2), (55, 52, 52, 4), (60, 100, 70, 3)):
+        shared, n = [words(passage) for _ in range(many)], len(rows)
+        for doc, between in ((n, gap), (n + 1, other_gap)):
+            text, found = words(20), []
+            for part in shared:
+                found.append((doc, len(text), len(text) + passage))
+                text += part + words(between)
+            rows.append((doc, " ".join(text)))
+            wanted |= set(found)
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(r.doc_id, r.start, r.stop) for r in out}
+    # Passages with few words between may be one stretch.
+    assert all(any(doc == d and x <= start and stop <= y for d, x, y in found) for doc, start, stop in wanted)
+    assert {f for f in found if f[0] not in (4, 5)} == {w for w in wanted if w[0] not in (4, 5)}
+    assert all(r.score == 1 or r.doc_id in (4, 5) and r.score >= 1 / 3 for r in out)
+
+
 def test_alignments_side_by_side(monkeypatch):
     rng = np.random.default_rng(8)
     tasks = []
