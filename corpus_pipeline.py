@@ -2,7 +2,8 @@
 
 1. quality: documents that the classifier rejects (score below one half) go; null and blank texts are scored like any other.
 2. lines: fuzzy duplicate lines go, but for their first occurrence; a document that loses all its lines goes with them.
-3. near_duplicates: of each component of near duplicates by SimHash over five-word shingles one document stays.
+3. near_duplicates: of each component of near duplicates over five-word shingles (SimHash, or a Jaccard similarity of 0.8 or
+   more) one document stays.
 4. decontamination: documents that hold a benchmark item, also edited, go.
 5. tokens: the ids of each text as byte-level BPE, with a check that they decode to the same bytes.
 

@@ -27,14 +27,15 @@ from pyspark.sql import functions as F
 
 from tapline.llm.common import blocks, majority_bits, send_package, staged, strings_of, table, with_columns
 from tapline.llm.components import components
+from tapline.llm.shingle_sets import band_keys, set_hashes, similar_links
 
 BITS, SEED = 64, 42
 # Fingerprints of a bucket that are aimed at, and variants that a task spells out at once.
 BUCKET, AT_ONCE = 4096, 1 << 20
 
 
-def shingle_bits(texts: list[str], words: int) -> np.ndarray:
-    """The fingerprint of each text over its runs of `words` words."""
+def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the runs of `words` words of all texts, and how many each text has."""
     import xxhash
 
     digest = xxhash.xxh64_intdigest
@@ -52,7 +53,12 @@ def shingle_bits(texts: list[str], words: int) -> np.ndarray:
         spans = zip(starts[:len(found) - run + 1].tolist(), ends[run - 1:].tolist(), strict=True)
         hashes += [digest(joined[a:b], SEED) for a, b in spans]
         sizes[i] = len(found) - run + 1
-    return majority_bits(np.array(hashes, np.uint64), sizes)
+    return np.array(hashes, np.uint64), sizes
+
+
+def shingle_bits(texts: list[str], words: int) -> np.ndarray:
+    """The fingerprint of each text over its runs of `words` words."""
+    return majority_bits(*shingles(texts, words))
 
 
 def fingerprint(docs: DataFrame, words: int = 4, text_col: str = "text", to: str = "fingerprint") -> DataFrame:
@@ -193,17 +199,65 @@ def with_components(marked: DataFrame, radius: int, id_col: str) -> DataFrame:
         "component_id": by_class["component_id"]}).drop("_tl_fp")
 
 
+def signed(docs: DataFrame, words: int, text_col: str) -> DataFrame:
+    """Add the fingerprint (_tl_fp), the hash of the set of shingles (_tl_set) and its band keys (_tl_keys) of each text."""
+    send_package(docs)
+    kind = pa.struct([("fp", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("struct<fp: bigint, set: bigint, keys: array<bigint>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            done = [pa.array([], kind)]
+            for a, b in blocks(column):
+                hashes, sizes = shingles(strings_of(column[a:b]), words)
+                done.append(pa.StructArray.from_arrays([
+                    pa.array(majority_bits(hashes, sizes).view(np.int64)), pa.array(set_hashes(hashes, sizes).view(np.int64)),
+                    pa.array(band_keys(hashes, sizes), pa.list_(pa.int64()))], fields=list(kind)))
+            yield pa.concat_arrays(done)
+
+    marked = with_columns(docs, {"_tl_sign": run(F.col(text_col))})
+    sign = F.col("_tl_sign")
+    return with_columns(marked, {"_tl_fp": sign["fp"], "_tl_set": sign["set"], "_tl_keys": sign["keys"]}).drop("_tl_sign")
+
+
 def first_of_each(docs: DataFrame, words: int = 5, radius: int = 4, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """The rows of docs without near duplicates: of each component the row of its least id stays, once.
 
+    Texts are linked whose fingerprints are within the radius or whose sets of shingles reach `shingle_sets.SIMILARITY`.
     Rows that have no id, or whose component has no named row, all stay.
     """
-    found = near_duplicates(docs, words, radius, id_col, text_col)
-    keeps = found.where((F.col(id_col) == F.col("component_id")) | F.col("component_id").isNull() | F.col(id_col).isNull())
-    spare = keeps.where(F.col(id_col).isNull() | F.col("component_id").isNull())
-    once = keeps.where(F.col(id_col).isNotNull() & F.col("component_id").isNotNull()).dropDuplicates([id_col])
-    return once.unionByName(spare).select(*docs.columns)
+    marked = staged(signed(docs, words, text_col), "signatures")
+
+    def shingled(nodes: DataFrame) -> DataFrame:
+        @F.arrow_udf("array<bigint>")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for column in batches:
+                done = []
+                for a, b in blocks(column):
+                    hashes, sizes = shingles(strings_of(column[a:b]), words)
+                    done += [np.unique(own.view(np.int64)) for own in np.split(hashes, np.cumsum(sizes)[:-1])]
+                yield pa.array(done, pa.list_(pa.int64()))
+
+        texts = marked.select(F.col("_tl_set").alias("node"), F.col(text_col).alias("_text"))
+        return texts.join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", run("_text").alias("shingles"))
+
+    nodes = marked.groupBy("_tl_set").agg(F.first("_tl_keys").alias("keys")).withColumnRenamed("_tl_set", "node")
+    # Fingerprints are nodes too, which hold the sets together that have them.
+    of_fp = [F.xxhash64(F.lit("fp"), F.col(c)) for c in ("_tl_fp", "a", "b")]
+    links = (
+        marked.select("_tl_set", of_fp[0]).distinct()
+        .union(links_within(marked.select("_tl_fp").distinct(), radius).select(*of_fp[1:]))
+        .union(similar_links(nodes, shingled))
+    )
+    found = components(links).select(F.col("node").alias("_tl_set"), F.col("component").alias("_tl_component"))
+    classes = marked.groupBy("_tl_set").agg(F.min(id_col).alias("_tl_first")).join(found, "_tl_set")
+    least = classes.groupBy("_tl_component").agg(F.min("_tl_first").alias("_tl_least"))
+    named = classes.join(least, "_tl_component").select("_tl_set", "_tl_least")
+    rows = marked.join(named, "_tl_set")
+    unnamed = F.col(id_col).isNull() | F.col("_tl_least").isNull()
+    once = rows.where(F.col(id_col) == F.col("_tl_least")).dropDuplicates([id_col])
+    return once.unionByName(rows.where(unnamed)).select(*docs.columns)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

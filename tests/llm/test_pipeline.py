@@ -1,5 +1,7 @@
 """The pipeline and the register of queries."""
 
+import numpy as np
+
 import corpus_pipeline
 import __spark_entry__ as entry
 from tapline.llm import decontaminate
@@ -37,3 +39,38 @@ def test_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs, DIR).count() > 0
         assert stage(spark, docs.limit(0), DIR).count() == 0
+
+
+def test_near_duplicates_from_a_shingle_similarity_of_0_8(spark):
+    rng = np.random.default_rng(9)
+
+    def jaccard(a, b):
+        a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        return len(a & b) / len(a | b)
+
+    rows, gone = [], set()
+    # Words of a text, and how many of them are replaced; the last two are below 0.8.
+    for size, edits in [(60, 1), (100, 1), (100, 2), (300, 1), (300, 3), (300, 5), (1000, 20), (100, 3), (300, 12)] * 8:
+        text = [f"w{i}" for i in rng.integers(0, 100_000, size)]
+        copy = list(text)
+        for i in range(edits):
+            copy[(2 * i + 1) * size // (2 * edits)] = f"new{rng.integers(0, 1 << 40)}"
+        if jaccard(text, copy) >= 0.8:
+            gone.add(len(rows) + 1)
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(copy))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.no_near_duplicates(spark, frame, DIR).collect()}
+    assert len(gone) == 56 and kept & gone == set() and len(kept) == len(rows) - len(gone)
+
+
+def test_all_pairs_of_a_bucket_are_verified(spark, monkeypatch):
+    from tapline.llm import shingle_sets
+
+    # The least node is alike with none of the others, which are alike in a row.
+    sets = {1: [*range(0, 6), *range(100, 104)], 2: list(range(10)), 3: list(range(1, 11)), 4: list(range(2, 12))}
+    table = spark.createDataFrame([(n, s) for n, s in sets.items()], "node long, shingles array<bigint>")
+    nodes = spark.createDataFrame([(n, [7]) for n in sets], "node long, keys array<bigint>")
+    for most in (1000, 1):
+        monkeypatch.setattr(shingle_sets, "SET_TEXTS", most)
+        found = shingle_sets.similar_links(nodes, lambda wanted: table.join(wanted, "node")).collect()
+        assert {frozenset((r.a, r.b)) for r in found} == {frozenset((2, 3)), frozenset((3, 4))}
