@@ -7,6 +7,7 @@ from tapline.llm.decontaminate import op9_decontamination
 from tapline.llm.language import op2_language
 from tapline.llm.line_dedup import op8_line_dedup
 from tapline.llm.line_rules import op10_quality_rules
+from tapline.llm.packing import op11_best_two_fit
 from tapline.llm.passages import op5_passages
 from tapline.llm.pii import op3_pii
 from tapline.llm.quality import op7_quality
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_best_two_fit": op11_best_two_fit,
 }
 SQL: dict[str, str] = {}
