@@ -11,6 +11,8 @@ from tapline.llm.packing import op11_best_two_fit
 from tapline.llm.passages import op5_passages
 from tapline.llm.pii import op3_pii
 from tapline.llm.quality import op7_quality
+from tapline.llm.search import SQL as SEARCH_SQL
+from tapline.llm.search import op13_ranked_search
 from tapline.llm.sharding import op1_kd_shards
 from tapline.llm.simhash import op6_simhash
 
@@ -26,5 +28,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
     "op11_best_two_fit": op11_best_two_fit,
+    "op13_ranked_search": op13_ranked_search,
 }
-SQL: dict[str, str] = {}
+SQL = {"op13_ranked_search": SEARCH_SQL}
