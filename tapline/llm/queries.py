@@ -15,6 +15,8 @@ from tapline.llm.search import SQL as SEARCH_SQL
 from tapline.llm.search import op13_ranked_search
 from tapline.llm.sharding import op1_kd_shards
 from tapline.llm.simhash import op6_simhash
+from tapline.llm.turn_trie import SQL as TRIE_SQL
+from tapline.llm.turn_trie import op12_turn_trie
 
 QUERIES = {
     "op1_kd_shards": op1_kd_shards,
@@ -28,6 +30,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
     "op11_best_two_fit": op11_best_two_fit,
+    "op12_turn_trie": op12_turn_trie,
     "op13_ranked_search": op13_ranked_search,
 }
-SQL = {"op13_ranked_search": SEARCH_SQL}
+SQL = {"op12_turn_trie": TRIE_SQL, "op13_ranked_search": SEARCH_SQL}
