@@ -15,6 +15,7 @@ from tapline.operators.store import Store
 from tapline.options import (
     DEFAULT_BATCH_SIZE, JSON_BATCH_SIZE, ConnectionOptions, ExtractOptions, Split,
 )
+from tapline.plans.layout import Order
 from tapline.plans.profiles import ALL_ROWS, Switches, normalise
 from tapline.session import current_session, scratch_folder
 from tapline.sources import read
@@ -64,7 +65,7 @@ def extract_to_parquet(
     counts the values that are cut.
     """
     if options.order_by and not conn.reads_session_tables and conn.split is None:
-        conn = conn.with_split(Split(column=options.order_by[0])) if _splittable(spark, conn, options) else conn
+        conn = conn.with_split(Split(column=Order.of(options.order_by[0], ()).name)) if _splittable(spark, conn, options) else conn
     cuts = Observation() if switches.max_text_len else None
     df = extract(spark, conn, declared, switches, cuts)
     staged = None
@@ -91,7 +92,8 @@ def extract_to_parquet(
 
 def _splittable(spark: SparkSession, conn: ConnectionOptions, options: ExtractOptions) -> bool:
     """Whether the first order key is of a type that a JDBC read can be cut along."""
-    field = next((f for f in read(spark, conn).schema.fields if f.name == options.order_by[0]), None)
+    name = Order.of(options.order_by[0], ()).name
+    field = next((f for f in read(spark, conn).schema.fields if f.name == name), None)
     return field is not None and field.dataType.typeName() in (
         "byte", "short", "integer", "long", "decimal", "date", "timestamp", "timestamp_ntz"
     )

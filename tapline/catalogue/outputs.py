@@ -62,6 +62,16 @@ def _parts_repeated_key(spark, sf_dir):
         F.count("*").alias("num_records"), F.min("o_custkey").alias("first_key"), F.max("o_custkey").alias("last_key"))
 
 
+def _parts_equal_rows(spark, sf_dir):
+    """Rows that repeat in every column: parts are exactly ten batches all the same."""
+    options = _options(spark, "lineitem", order_by=("flag DESC NULLS FIRST", "status"))
+    query = "SELECT nullif(l_returnflag, 'A') AS flag, l_linestatus AS status FROM lineitem"
+    _extract(spark, sf_dir, query, options, "ODBC")
+    part = spark.read.parquet(paths.table_uri(options)).withColumn("part_number", _part_number(options))
+    return part.groupBy("part_number", "flag", "status").agg(
+        F.count("*").alias("num_records"))
+
+
 def _parts_of_rows(spark, sf_dir):
     options = _options(spark, "events", prefix="pre")
     _extract(spark, sf_dir, EVENTS, options)
@@ -203,6 +213,7 @@ QUERIES = {
     "parts_manifest": _parts_manifest,
     "parts_of_rows": _parts_of_rows,
     "parts_repeated_key": _parts_repeated_key,
+    "parts_equal_rows": _parts_equal_rows,
     "parts_composite_key": _parts_composite_key,
     "parts_readback": _parts_readback,
     "parts_without_key": _parts_without_key,
@@ -245,6 +256,11 @@ SQL = {
         f"SELECT o_custkey, CAST(floor(({_RANK.format('o_custkey')}) / {_PER_PART}) AS INTEGER) AS part_number FROM orders"
         ") GROUP BY part_number"
     ),
+    "parts_equal_rows": (
+        "SELECT part_number, flag, status, count(*) AS num_records FROM (SELECT flag, status, CAST(floor(("
+        f"{_RANK.format('flag DESC NULLS FIRST, status')}) / {_PER_PART}) AS INTEGER) AS part_number FROM "
+        "(SELECT nullif(l_returnflag, 'A') AS flag, l_linestatus AS status FROM lineitem)) GROUP BY ALL"
+    ),
     "parts_replaced": (
         f"SELECT event_id, CAST(floor(({_RANK.format('event_id')}) / {_PER_PART}) AS INTEGER) AS part_number "
         "FROM events WHERE event_type <> 'view'"

@@ -34,9 +34,12 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tapline.errors import ExtractionError
+from tapline.operators import paths
+from tapline.operators.paths import folder_name
 
 # Executors get the helpers with the task, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(paths)
 
 MAGIC = b"TAPLENV1"
 # Name and namespace of the key in the header.
@@ -182,7 +185,8 @@ def _encoder(dir_columns: tuple[str, ...], rows_per_part: int, wrapped: bytes, d
             change |= pc.not_equal(text[1:], text[:-1]).to_numpy()
         cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(table)]
         for start, stop in zip(cuts, cuts[1:]):
-            yield "/".join(f"{c}={table.column(c)[start].as_py()}" for c in dir_columns), data.slice(start, stop - start)
+            values = tuple(table.column(c)[start].as_py() for c in dir_columns)
+            yield folder_name(dir_columns, values), data.slice(start, stop - start)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()

@@ -21,9 +21,6 @@ from tapline.plans.layout import Layout, arrange, plan_layout
 # Writer task and file number within it, as Spark puts them in a file name.
 _SPARK_FILE = re.compile(r"^part-([0-9]+)-.*[.-]c([0-9]+)\.")
 
-# Values that stand in a folder name as they are.
-_FOLDER_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
-
 
 @dataclass(frozen=True)
 class Staged:
@@ -44,13 +41,6 @@ class Result:
     cut: dict[str, int] = field(default_factory=dict)  # values of each column that max_text_len cut
 
 
-def _folder_of(names: tuple[str, ...], values: tuple[str, ...]) -> str:
-    for value in values:
-        if not value or not _FOLDER_VALUE.match(value):
-            raise ExtractionError("data", f"cannot name a folder after {value!r}")
-    return "/".join(f"{n}={v}" for n, v in zip(names, values))
-
-
 def _write_plain(df: DataFrame, options: ExtractOptions, staging: str) -> None:
     writer = (
         df.write.mode("overwrite")
@@ -87,15 +77,15 @@ def _below(uri: str, staging: str) -> str:
 
 
 def _check(staged: dict[str, list[Staged]], layout: Layout, options: ExtractOptions) -> None:
-    """Every part but the last of a folder must be full; anything else means that equal rows lie across a border."""
+    """Every part but the last of a folder must be full; anything else means that two reads gave different rows."""
     for folder in layout.folders:
-        name = _folder_of(options.dir_columns, folder.values)
+        name = paths.folder_name(options.dir_columns, folder.values)
         rows = [s.rows for s in staged.get(name, [])]
         full, rest = divmod(folder.rows, layout.chunk)
         if rows != [layout.chunk] * full + ([rest] if rest else []):
             raise ExtractionError(
                 "data", f"parts of {name or options.table_dir} do not hold {layout.chunk} rows each: "
-                "rows that are the same in every column lie across a border, or the result changed between reads"
+                "the result changed between reads, write it to a table first (stage=True)"
             )
 
 
@@ -109,6 +99,10 @@ def write_parts(df: DataFrame, options: ExtractOptions) -> Result:
     spark = df.sparkSession
     if len(set(df.columns)) != len(df.columns):
         raise ExtractionError("data", f"duplicate column names in the result: {df.columns}")
+    for c in options.dir_columns:
+        if df.schema[c].dataType.typeName() == "string":
+            # An empty text has the folder of nulls.
+            df = df.withColumn(c, F.nullif(F.col("`" + c.replace("`", "``") + "`"), F.lit("")))
     base = paths.table_uri(options)
     store = Store(spark, base)
     store.make_folder(base)

@@ -8,6 +8,10 @@ from tapline.options import ExtractOptions
 
 S3_SCHEME = "s3://"
 
+# What Spark's writer escapes in folder names besides control characters, and its name for null and empty.
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def part_name(options: ExtractOptions, index: int) -> str:
     suffix = ".parquet.encrypted" if options.encryption_key else ".parquet"
@@ -44,8 +48,17 @@ def table_uri(options: ExtractOptions, table_dir: str | None = None) -> str:
     return f"s3a://{bucket}/" + "/".join(p for p in (folder, table) if p)
 
 
+def folder_name(columns: tuple[str, ...], values: tuple) -> str:
+    """Folder of the rows with these values of the directory columns, named as Spark's own writer names it."""
+    def escaped(value) -> str:
+        text = "" if value is None else str(value)
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED or c < " " else c for c in text) or NO_VALUE
+
+    return "/".join(f"{escaped(c)}={escaped(v)}" for c, v in zip(columns, values))
+
+
 def log_path(log_dir: str, table_dir: str) -> str:
-    """Manifest of a table folder: T/year=2022/month=02/day=01 has T_2022_02_01.csv."""
+    """Manifest of a table folder: sales/year=2031/month=11/day=30 has sales_2031_11_30.csv."""
     name = table_dir.replace("/", "_")
     for key in ("year=", "month=", "day="):
         name = name.replace(key, "")

@@ -63,7 +63,7 @@ class ExtractOptions:
     prefix: str | None = None
     encryption_key: str | None = field(default=None, repr=False)
     batch_size: int = DEFAULT_BATCH_SIZE
-    order_by: tuple[str, ...] = ()
+    order_by: tuple[str, ...] = ()  # column names, or as in SQL: "total DESC NULLS FIRST"
     dir_columns: tuple[str, ...] = ()
     empty_policy: str = "file"  # "file": one part without rows; "none": no part at all
     max_write_tasks: int = 20_000

@@ -1,6 +1,7 @@
 """Numbered parts, manifests and commit behaviour."""
 
 import datetime as dt
+import math
 import os
 from pathlib import Path
 
@@ -102,15 +103,72 @@ def test_a_key_shared_by_a_third_of_all_rows_is_cut_across_tasks(spark, tmp_path
     assert [i for p in parts[10:] for i in p] == list(range(1000, 3000))
 
 
-def test_equal_rows_across_a_border_are_refused_and_leave_nothing(spark, tmp_path):
-    with pytest.raises(ExtractionError, match="same in every column"):
-        write_parts(spark.range(1000).selectExpr("floor(id / 70) AS k"), options(tmp_path, order_by=("k",)))
-    assert part_files(tmp_path) == []
+@pytest.mark.parametrize("kinds, order", [(3, ("k",)), (1, ("k",)), (15, ("k DESC", "v")), (1000, ("v", "k"))])
+def test_equal_rows_are_cut_exactly(spark, tmp_path, monkeypatch, kinds, order):
+    monkeypatch.setattr(layout, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(layout, "_COPIES", 7)
+    df = spark.range(1000, numPartitions=7).selectExpr(
+        f"id % {kinds} AS k", "'v' AS v", "map(1, 'x') AS m").drop("d")
+    assert write_parts(df, options(tmp_path, order_by=order)).rows == 1000
+    down = "DESC" in order[0]
+    expected = sorted((i % kinds for i in range(1000)), reverse=down)
+    assert ids_by_part(spark, tmp_path, column="k") == [expected[a:a + 100] for a in range(0, 1000, 100)]
+
+
+def test_zeros_of_both_signs_are_not_equal_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.0 if i % 3 else -0.0) for i in range(300)], "k int, d double").repartition(3)
+    write_parts(df, options(tmp_path, order_by=("k",)))
+    found = [math.copysign(1, r.d) for r in spark.read.parquet(str(tmp_path / "data/t")).collect()]
+    assert (found.count(-1), found.count(1)) == (100, 200)
+
+
+@pytest.mark.parametrize("repeats", [1, 4])
+def test_a_third_of_all_rows_is_one_row(spark, tmp_path, monkeypatch, repeats):
+    monkeypatch.setattr(layout, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(layout, "RANK_ROWS", 50)
+    df = spark.range(3000, numPartitions=6).selectExpr(
+        f"CASE WHEN id < 1000 THEN 500 ELSE floor(id / {repeats}) END AS id", "CASE WHEN id < 1500 THEN 'a' ELSE 'b' END AS t")
+    write_parts(df, options(tmp_path, order_by=("t", "id DESC")))
+    expected = [r["id"] for r in df.orderBy("t", F.desc("id")).collect()]
+    assert ids_by_part(spark, tmp_path) == [expected[a:a + 100] for a in range(0, 3000, 100)]
+
+
+@pytest.mark.parametrize("name", ["half", "text", "day", "ts", "ntz", "dec", "raw", "flag", "id", "small", "single"])
+@pytest.mark.parametrize("way", ["DESC", "desc nulls first", "ASC NULLS LAST", ""])
+def test_keys_that_go_down_and_nulls(spark, tmp_path, name, way):
+    df = shuffled(spark, 350).selectExpr(
+        "*", "CASE WHEN id % 9 = 1 THEN NULL WHEN id % 9 = 2 THEN double('NaN') WHEN id % 9 = 3 THEN -0.0 ELSE id / 2 - 100 END AS half0",
+        "cast(id % 5 as float) AS single0",
+        "date'1969-11-01' + cast(id % 90 as int) AS day0", "cast(id % 30 - 15 as tinyint) AS small0",
+        "timestamp'1969-12-31 23:59:58.000001' + make_interval(0,0,0,0,0,0,id % 90 / 1000) AS ts0",
+        "timestamp_ntz'1969-12-31 23:59:58.000001' + make_interval(0,0,0,0,0,0,id % 90 / 1000) AS ntz0",
+        "cast(id % 17 - 8 as decimal(20,4)) AS dec0", "unhex(hex(id % 40)) AS raw0", "id % 2 = 0 AS flag0",
+        "substring('é\"aab', 1, cast(id % 7 as int)) AS text0", "id AS id0",
+    )
+    df = df.selectExpr("id", f"CASE WHEN id % 8 > 0 THEN {name}0 END AS `a key`")
+    write_parts(df, options(tmp_path, order_by=(f"a key {way}".strip(), "id")))
+    key = layout.Order.of(f"a key {way}".strip(), df.columns)
+    assert key == layout.Order("a key", "desc" in way.lower(), way in ("DESC", "ASC NULLS LAST"))
+    expected = [r["id"] for r in df.orderBy(key.sorted, "id").collect()]
+    assert ids_by_part(spark, tmp_path) == [expected[a:a + 100] for a in range(0, 350, 100)]
+
+
+def test_the_share_of_ranked_keys_does_not_follow_the_most_buckets(spark, monkeypatch):
+    for name, value in {"RANK_ROWS": 200, "MIN_BUCKETS": 2, "MAX_BUCKETS": 4, "ROWS_PER_TASK": 1000}.items():
+        monkeypatch.setattr(layout, name, value)
+    df = shuffled(spark, 20_000)
+    sort = layout.SortKey(df, ("id",))
+    ranks = [5000, 10_000, 15_001]
+    buckets = layout._Buckets(df.select(*sort.columns), sort, ranks, 20_000)
+    assert sum(buckets.sizes) == 20_000 and len(buckets.sizes) < 60
+    assert sum(buckets.sizes[i] for i in buckets.wanted) <= 20_000 // layout.BUCKETS_PER_TASK
+    assert [k[1] for k, _, _ in layout._at_ranks(df.select(*sort.columns), sort, ranks, 20_000)] == [str(r) for r in ranks]
 
 
 @pytest.mark.parametrize("buckets, samples", [(1, 1), (2, 3), (64, 1)])
 def test_cuts_do_not_depend_on_the_sample(spark, tmp_path, monkeypatch, buckets, samples):
     monkeypatch.setattr(layout, "MIN_BUCKETS", 1)
+    monkeypatch.setattr(layout, "RANK_ROWS", 10)
     monkeypatch.setattr(layout, "BUCKETS_PER_TASK", buckets)
     monkeypatch.setattr(layout, "SAMPLES_PER_BUCKET", samples)
     write_parts(shuffled(spark, 777), options(tmp_path, order_by=("three", "id")))
@@ -118,6 +176,15 @@ def test_cuts_do_not_depend_on_the_sample(spark, tmp_path, monkeypatch, buckets,
     assert ids_by_part(spark, tmp_path) == [expected[a:a + 100] for a in range(0, 777, 100)]
 
 
+@pytest.mark.parametrize("skipped", [0, 1, 4, 5, 9, 10, 333])
+def test_skip_equal_rows(spark, skipped):
+    ten = spark.range(10, numPartitions=3).selectExpr("7 AS a")
+    assert layout.skip_rows(ten, ("a",), skipped).count() == max(0, 10 - skipped)
+    df = spark.range(100, numPartitions=3).selectExpr("id % 3 AS a", "id % 2 AS b")
+    got = [r.a for r in layout.skip_rows(df, ("a DESC",), skipped).collect()]
+    assert got == sorted((i % 3 for i in range(100)), reverse=True)[skipped:]
+
+
 @pytest.mark.parametrize("skipped", [0, 1, 499, 999, 1000, 2000])
 def test_skip_rows(spark, skipped):
     df = layout.skip_rows(shuffled(spark, 1000), ("three", "id"), skipped)
@@ -200,8 +267,12 @@ def test_folders_by_any_column(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "concat('a b:', id % 2) kind")
     assert write_parts(df, options(tmp_path, dir_columns=("kind",))).rows == 100
     assert spark.read.parquet(str(tmp_path / "data/t")).where("kind = 'a b:1'").count() == 50
-    with pytest.raises(ExtractionError, match="cannot name a folder"):
-        write_parts(df, options(tmp_path, "u", dir_columns=("kind",), order_by=("id",)))
+    odd = spark.range(90).selectExpr("id", "element_at(array('a b:1', 'x/y', '', null, 'ü%\"'), cast(id % 5 + 1 as int)) kind")
+    found = {}
+    for name, order in (("u", ()), ("v", ("id",))):
+        assert write_parts(odd, options(tmp_path, name, dir_columns=("kind",), order_by=order)).rows == 90
+        found[name] = {n.rsplit("/", 1)[0] for n in part_files(tmp_path, name)}
+    assert found["u"] == found["v"] and "kind=x%2Fy" in found["v"] and "kind=__HIVE_DEFAULT_PARTITION__" in found["v"]
 
 
 def test_duplicate_columns_are_refused(spark, tmp_path):
