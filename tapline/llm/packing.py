@@ -14,7 +14,9 @@ input are left out. A length below one or above the capacity is an error.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,46 +26,114 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tapline.llm.byte_bpe import byte_characters, narrow_pattern
 from tapline.llm.common import blocks, send_package, staged, strings_of, table
 
 CAPACITY = 2048
-# Stretches between blanks kept with their ids in each Python worker, the longest of them, and characters looked at together.
-REMEMBERED, LONGEST, AT_ONCE = 150_000, 64, 1 << 18
+# Parts of texts kept with their ids in each Python worker, the longest of them, and characters looked at together.
+REMEMBERED, LONGEST, AT_ONCE = 300_000, 64, 1 << 20
 # Bits of a place in the plan that hold the rank.
 _RANK_BITS = 44
 
 
 class Vocabulary:
-    """Ids of whole texts under a vocabulary that drops white space: no token crosses a blank, so stretches are coded once."""
+    """Ids of whole texts under a vocabulary that drops white space.
+
+    Where the vocabulary puts texts in lower case and parts them by one pattern, texts of Latin-1 characters, to which no
+    other rule of it applies, are parted here, and each new part is coded by the library's model once. Other stretches
+    between blanks (all, for any other vocabulary) are coded by the library as a whole. What came back once it was known is
+    kept when room is needed, the rest goes.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = str.maketrans(dict(enumerate(byte_characters())))
+        self.find = _part_pattern(json.loads(self.tokenizer.to_str()))
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.known: dict[str, bytes] = {}
+        self.met: set[str] = set()
+
+    def _plain(self, text: str) -> bool:
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return False
+        return not any(mark in text for mark in self.marks)
+
+    def _split(self, text: str, odd: set[str]) -> list[str]:
+        """What a text is coded from, in order; stretches for the library are added to `odd` too."""
+        if self.find and self._plain(text):
+            return self.find.findall(text.lower())
+        out = []
+        for stretch in text.replace("\n", " ").replace("\t", " ").split(" "):
+            if self.find and self._plain(stretch):
+                out += self.find.findall(stretch.lower())
+            else:
+                out.append(stretch)
+                odd.add(stretch)
+        return out
 
-    def _join(self, stretches: list[str]) -> bytes:
-        new = list(set(stretches).difference(self.known))
+    def _learn(self, words: set[str], odd: set[str]) -> None:
+        new = words.difference(self.known)
+        self.met.update(words.difference(new))
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(set(stretches))
-        for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            self.known = {word: self.known[word] for word in self.met}
+            self.met = set()
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known, new = {}, words
+        whole = [word for word in new if word in odd]
+        for word, coded in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False), strict=True):
             self.known[word] = np.array(coded.ids, "<u4").tobytes()
-        out = b"".join(map(self.known.__getitem__, stretches))
-        for word in new:
+        model, packed = self.tokenizer.model.tokenize, self.packed
+        for word in new.difference(odd):
+            mapped = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+            self.known[word] = b"".join([packed[t.id] for t in model(mapped)])
+
+    def _join(self, texts: list[str]) -> list[bytes]:
+        odd: set[str] = set()
+        split = [self._split(text, odd) for text in texts]
+        words = set().union(*split)
+        self._learn(words, odd)
+        out = [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        for word in words:
             if len(word) > LONGEST:
                 del self.known[word]
+                self.met.discard(word)
         return out
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        text = text.replace("\n", " ").replace("\t", " ")
-        out, start = [], 0
-        while start < len(text):
-            stop = len(text) if len(text) - start <= AT_ONCE else text.find(" ", start + AT_ONCE)
-            stop = len(text) if stop < 0 else stop
-            out.append(self._join(text[start:stop].split(" ")))
-            start = stop
-        return b"".join(out)
+        if all(len(text) <= AT_ONCE for text in texts):
+            return self._join(texts)
+        return [b"".join(self._join([part])[0] for part in _parts(text)) for text in texts]
+
+
+def _part_pattern(config: dict) -> re.Pattern | None:
+    """The pattern that parts texts, for Latin-1 characters in lower case; None if the vocabulary has other rules."""
+    rules = [n["type"] for n in (config["normalizer"] or {}).get("normalizers", [])]
+    parts = (config["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if rules != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in parts] != ["Split", "ByteLevel"]:
+        return None
+    cut, coding = parts
+    plain = cut["invert"] and cut["behavior"] == "Removed" and not coding["add_prefix_space"] and not coding["use_regex"]
+    blanks = config["normalizer"]["normalizers"][1]
+    if not plain or (blanks["pattern"], blanks["content"]) != ({"Regex": r"\s+"}, " "):
+        return None
+    return narrow_pattern(cut["pattern"]["Regex"])
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text in parts that end before blanks."""
+    start = 0
+    while start < len(text):
+        stop = text.find(" ", start + AT_ONCE)
+        stop = len(text) if stop < 0 else stop
+        yield text[start:stop]
+        start = stop
 
 
 @lru_cache(maxsize=4)
@@ -85,7 +155,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
         for batch in batches:
             names, texts = batch.column(0), batch.column(1)
             for first, stop in blocks(texts):
-                coded = [words.encode(t) + end for t in strings_of(texts[first:stop])]
+                coded = [ids + end for ids in words.encode(strings_of(texts[first:stop]))]
                 sizes = np.array([len(c) // 4 for c in coded], np.int64)
                 count = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(coded)), count)
@@ -189,7 +259,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
     before = Window.partitionBy("_length").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
     firsts = lengths.select("_length", "_lane", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     rank = F.row_number().over(Window.partitionBy("_length", "_lane").orderBy("_row")) - 1
-    ranked = rows.withColumn("_rank", rank).join(firsts, ["_length", "_lane"]).select(
+    ranked = rows.withColumn("_rank", rank).join(firsts.hint("merge"), ["_length", "_lane"]).select(
         *(F.col(f"`{c}`") for c in kept), "_length", (F.col("_rank") + F.col("_first")).alias("_rank"))
     shared = spark.sparkContext.broadcast(plan)
 
