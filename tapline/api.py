@@ -18,7 +18,7 @@ from tapline.options import (
 from tapline.plans.layout import Order
 from tapline.plans.profiles import ALL_ROWS, Switches, normalise
 from tapline.session import current_session, scratch_folder
-from tapline.sources import read
+from tapline.sources import jdbc, one_statement, read
 
 # What an empty result leaves behind, by datasource type.
 EMPTY_POLICY = {"POSTGRES": "none", "ODBC": "file", "ORACLE": "file"}
@@ -36,7 +36,11 @@ def extract(
     cuts: Observation | None = None,
 ) -> DataFrame:
     """The query result under its type profile, lazily. ``cuts`` gets the counts of values that max_text_len cuts."""
-    return normalise(read(spark, conn), conn.datasource_type, declared, switches, cuts)
+    return _profiled(read(spark, conn), conn, declared, switches, cuts)
+
+
+def _profiled(df: DataFrame, conn: ConnectionOptions, declared, switches: Switches, cuts: Observation | None) -> DataFrame:
+    return normalise(df, conn.datasource_type, declared, switches, cuts)
 
 
 def with_date_folders(df: DataFrame, date_column: str) -> tuple[DataFrame, tuple[str, ...]]:
@@ -56,6 +60,7 @@ def extract_to_parquet(
     switches: Switches = Switches(),
     date_column: str | None = None,
     stage: bool | None = None,
+    resume_dir: str | None = None,
 ) -> Result:
     """Read, normalise, write.
 
@@ -63,11 +68,18 @@ def extract_to_parquet(
     the source answers the query once; that is the default for databases and for queries that are not deterministic,
     and worth asking for where the query joins or aggregates. With max_text_len the result is always staged: that run
     counts the values that are cut.
+
+    ``resume_dir`` names a folder for the rows as they come from the database, range by range. After a failure the same call
+    reads only the ranges that are not in it. It is removed once the result is written.
     """
     if options.order_by and not conn.reads_session_tables and conn.split is None:
         conn = conn.with_split(Split(column=Order.of(options.order_by[0], ()).name)) if _splittable(spark, conn, options) else conn
     cuts = Observation() if switches.max_text_len else None
-    df = extract(spark, conn, declared, switches, cuts)
+    if resume_dir and not conn.reads_session_tables:
+        df = _profiled(jdbc.read_in_ranges(spark, conn, one_statement(conn.query), resume_dir), conn, declared, switches, cuts)
+        stage = bool(stage)
+    else:
+        df = extract(spark, conn, declared, switches, cuts)
     staged = None
     if cuts is not None:
         stage = True
@@ -84,7 +96,10 @@ def extract_to_parquet(
             df, folders = with_date_folders(df, date_column)
             options = replace(options, dir_columns=folders)
         counts = cuts.get if cuts is not None else {}
-        return replace(write_parts(df, options), cut={c: n for c, n in counts.items() if c != ALL_ROWS})
+        result = replace(write_parts(df, options), cut={c: n for c, n in counts.items() if c != ALL_ROWS})
+        if resume_dir:
+            Store(spark, resume_dir).delete(resume_dir)
+        return result
     finally:
         if staged:
             Store(spark, staged).delete(staged)
@@ -122,6 +137,7 @@ def read_to_parquet(
     binary_fallback: bool = False,
     max_text_len: int | None = None,
     jdbc_options: dict | None = None,
+    resume_dir: str | None = None,
 ) -> int:
     """Run one query on its source, write the result as numbered Parquet parts and a manifest, return the row count."""
     session = current_session(spark)
@@ -135,7 +151,7 @@ def read_to_parquet(
             empty_policy=EMPTY_POLICY[datasource_type],
         )
         switches = Switches(binary_fallback, max_text_len)
-        result = extract_to_parquet(session, conn, options, declared, switches, date_column, stage)
+        result = extract_to_parquet(session, conn, options, declared, switches, date_column, stage, resume_dir)
         if any(result.cut.values()):
             warnings.warn(f"values cut at max_text_len={max_text_len}, by column: {result.cut}", stacklevel=2)
         return result.rows

@@ -20,13 +20,18 @@ SESSION_TABLES = "spark:tables"
 
 @dataclass(frozen=True)
 class Split:
-    """How one query is cut into parallel reads: a column with bounds, or predicates that cover all rows."""
+    """How one query is cut into parallel reads: a column, or predicates that cover all rows.
+
+    Along a column the database counts where the cuts have to be for ranges of about equally many rows. With both bounds the
+    ranges are equal strides between them, with ``days`` they begin at those dates; nothing is counted then.
+    """
 
     column: str | None = None
     lower: object = None
     upper: object = None
     partitions: int | None = None
     predicates: tuple[str, ...] = ()
+    days: tuple = ()
 
 
 @dataclass(frozen=True)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tapline.errors import ExtractionError
 from tapline.options import ConnectionOptions, Split
+from tapline.sources import ranges
 
 # Fixed value: seconds to wait for a login.
 LOGIN_TIMEOUT = 10
@@ -190,33 +192,70 @@ def read(spark: SparkSession, conn: ConnectionOptions, query: str) -> DataFrame:
     if split is None or (split.column is None and not split.predicates):
         return whole
     table = f"({query}) q"
-    if split.predicates:
+    predicates = _predicates(spark, options, query, split, whole)
+    if predicates:
         properties = {k: v for k, v in options.items() if k != "url"}
-        return spark.read.jdbc(options["url"], table, predicates=list(split.predicates), properties=properties)
-    lower, upper = _bounds(spark, options, query, split, whole.columns)
-    if lower is None or upper is None:
+        return spark.read.jdbc(options["url"], table, predicates=list(predicates), properties=properties)
+    if split.lower is None or split.upper is None:
         return whole
     parts = split.partitions or spark.sparkContext.defaultParallelism
     return (
         reader().option("dbtable", table).option("partitionColumn", split.column)
-        .option("lowerBound", str(lower)).option("upperBound", str(upper)).option("numPartitions", str(parts))
+        .option("lowerBound", str(split.lower)).option("upperBound", str(split.upper)).option("numPartitions", str(parts))
         .load()
     )
 
 
-def _bounds(spark: SparkSession, options: dict, query: str, split: Split, columns: list[str]) -> tuple:
-    """Given bounds, or the column's least and greatest value, which the database is asked for once."""
-    if split.lower is not None and split.upper is not None:
-        return split.lower, split.upper
-    name = split.column
-    if name in columns:
+def _asked(spark: SparkSession, options: dict, query: str) -> Callable[[list[str]], tuple]:
+    """The one row of aggregates over the query, by the database."""
+    plain = {k: v for k, v in options.items() if k != "customSchema"}
+
+    def ask(wanted: list[str]) -> tuple:
+        named = ", ".join(f"{text} c{i}" for i, text in enumerate(wanted))
+        asked = spark.read.format("jdbc").options(**plain).option("query", f"SELECT {named} FROM ({query}) b")
+        return tuple(asked.load().first())
+
+    return ask
+
+
+def _predicates(spark: SparkSession, options: dict, query: str, split: Split, whole: DataFrame) -> tuple[str, ...]:
+    """The predicates of a split; none where bounds are given, which Spark cuts into equal strides."""
+    if split.predicates:
+        return split.predicates
+    dialect, name = ranges.dialect_of(spark, options["url"]), split.column
+    field = next((f for f in whole.schema.fields if f.name == name.strip('"`')), None)
+    if name in whole.columns:
         # The name as the database reports it, in the quotes of its dialect.
-        name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(options["url"]).quoteIdentifier(name)
-    ask = f"SELECT MIN({name}) lo, MAX({name}) hi FROM ({query}) b"
-    row = spark.read.format("jdbc").options(**{k: v for k, v in options.items() if k != "customSchema"}).option(
-        "query", ask
-    ).load().first()
-    return (split.lower if split.lower is not None else row[0]), (split.upper if split.upper is not None else row[1])
+        name = dialect.quoteIdentifier(name)
+    if split.days:
+        return range_predicates(name, ranges.date_literals(spark, options["url"], split.days))
+    if split.lower is not None and split.upper is not None:
+        return ()
+    if field is None or not isinstance(field.dataType, ranges.COUNTED):
+        raise ExtractionError("data", f"cannot split a read along {split.column}: not a number, date or timestamp of the result")
+
+    def wanted(rows: int) -> int:
+        return split.partitions or max(spark.sparkContext.defaultParallelism, -(-rows // ranges.ROWS_PER_RANGE))
+
+    literal = ranges.literal_writer(spark, dialect, field.dataType)
+    return range_predicates(name, ranges.even_cuts(_asked(spark, options, query), name, literal, wanted))
+
+
+def read_in_ranges(spark: SparkSession, conn: ConnectionOptions, query: str, folder: str) -> DataFrame:
+    """The query result, range by range, staged in a folder that a later run goes on with."""
+    options = _reader_options(conn)
+    whole = read(spark, conn.with_split(None), query)
+    as_text = _kept_as_text(whole.schema, conn.datasource_type)
+    if conn.split is None:
+        raise ExtractionError("data", "a read that can go on needs a split or an order key")
+
+    def of_range(predicate: str) -> DataFrame:
+        return read(spark, conn.with_split(Split(predicates=(predicate,))), query)
+
+    def all_ranges() -> tuple[str, ...]:
+        return _predicates(spark, options, query, replace(conn.split, lower=None, upper=None), whole)
+
+    return ranges.staged_ranges(spark, of_range, all_ranges, f"{options['url']}\n{query}\n{as_text}", folder)
 
 
 def modulo_predicates(column: str, parts: int) -> tuple[str, ...]:
@@ -231,8 +270,3 @@ def range_predicates(column: str, cuts: list[str]) -> tuple[str, ...]:
         return ("1 = 1",)
     inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
     return (f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}")
-
-
-def date_predicates(column: str, days: list, literal: str = "DATE '{}'") -> tuple[str, ...]:
-    """range_predicates at the given dates; ``literal`` is how the database writes a date (ANSI by default)."""
-    return range_predicates(column, [literal.format(f"{d:%Y-%m-%d}") for d in sorted(days)])

@@ -83,11 +83,7 @@ def test_secrets_do_not_show():
 
 def test_predicates_cover_every_row_once():
     assert jdbc.modulo_predicates("k", 2) == ("MOD(ABS(k), 2) = 0 OR k IS NULL", "MOD(ABS(k), 2) = 1")
-    days = [dt.date(2024, 1, 3), dt.date(2024, 1, 2)]
-    assert jdbc.date_predicates("d", days) == (
-        "d < DATE '2024-01-02' OR d IS NULL", "d >= DATE '2024-01-02' AND d < DATE '2024-01-03'",
-        "d >= DATE '2024-01-03'",
-    )
+    assert jdbc.range_predicates("d", ["1", "5"]) == ("d < 1 OR d IS NULL", "d >= 1 AND d < 5", "d >= 5")
 
 
 @pytest.fixture(scope="module")
@@ -143,14 +139,84 @@ def test_schema_without_rows_and_pushdown(spark, database):
 @pytest.mark.parametrize("split", [
     Split(column="K", partitions=4), Split(column="K", lower=0, upper=100, partitions=3),
     Split(predicates=jdbc.modulo_predicates("K", 5)),
-    Split(predicates=jdbc.date_predicates("DAY", [dt.date(2024, 1, 5), dt.date(2024, 1, 9)], "'{}'")),
+    Split(column="DAY", days=(dt.date(2024, 1, 9), dt.date(2024, 1, 5))),
 ])
 def test_parallel_reads_are_whole(spark, database, split):
     df = read(spark, conn(database, "select * from numbers;", split=split))
-    assert df.rdd.getNumPartitions() == (len(split.predicates) or split.partitions)
+    assert df.rdd.getNumPartitions() == (len(split.predicates) or split.partitions or 3)
     assert sorted(r.K for r in df.collect()) == [i * 7 - 300 for i in range(1000)]
 
 
+@pytest.fixture(scope="module")
+def skewed(spark, database):
+    """Most keys close together, one far off, one value in a fifth of all rows, and nulls, for each type of key."""
+    from pyspark.sql import functions as F
+
+    k = F.expr("CASE WHEN id < 2400 THEN id WHEN id < 3000 THEN 700 WHEN id = 3000 THEN 1000000000 END")
+    spark.range(3050).select(
+        k.alias("K"), (k / 7).alias("D"), (k / 8).cast("decimal(20,3)").alias("N"), F.timestamp_seconds(k).alias("T"),
+        F.date_add(F.lit("2000-01-01"), (k % 5000).cast("int")).alias("DAY"),
+    ).write.jdbc(database, "SKEWED", mode="overwrite", properties={"driver": DRIVER})
+    return database
+
+
+@pytest.mark.parametrize("column", ["K", "D", "N", "T", "DAY"])
+@pytest.mark.parametrize("parts", [2, 7])
+def test_ranges_hold_about_equally_many_rows(spark, skewed, column, parts):
+    df = read(spark, conn(skewed, "select * from skewed", split=Split(column=column, partitions=parts)))
+    sizes = [len(part) for part in df.rdd.glom().collect()]
+    assert sum(sizes) == 3050 and parts - 1 <= len(sizes) <= parts
+    share = 3001 / parts
+    # The first range has the nulls too, and the value of 601 rows cannot be parted.
+    assert max(sizes) <= 1.4 * share + max(49, 601 - share) and min(sizes) >= 0.6 * share
+
+
+def test_a_text_key_cannot_split_a_read(spark, database):
+    with pytest.raises(ExtractionError, match="cannot split"):
+        read(spark, conn(database, "select * from numbers", split=Split(column="V")))
+
+
+def test_a_read_goes_on_where_it_stopped(spark, database, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    link = spark._jvm.java.sql.DriverManager.getConnection(database)
+    run = link.createStatement().execute
+    run("create table wares (k bigint, v int)")
+    for i in range(60):
+        run(f"insert into wares values ({i}, {i})")
+    whole, broken, asked = jdbc.read, True, []
+
+    def watched(session, given, query):
+        df = whole(session, given, query)
+        predicate = given.split.predicates[0] if given.split and given.split.predicates else ""
+        asked.append(predicate)
+        return df.where(F.raise_error(F.lit("line lost")).isNotNull()) if broken and ">= 30" in predicate else df
+
+    monkeypatch.setattr(jdbc, "read", watched)
+
+    def write(query="select k, v from wares"):
+        return tapline.read_to_parquet(
+            database, query, str(tmp_path / "d"), "t", str(tmp_path / "l"), 60, "ODBC", batch_size=1, spark=spark, order_by="K",
+            split=Split(column="K", partitions=6), resume_dir=str(tmp_path / "ranges"))
+
+    with pytest.raises(ExtractionError, match="line lost"):
+        write()
+    assert not (tmp_path / "d/t").exists()
+    done = {p.parent.name for p in (tmp_path / "ranges").glob("*/_SUCCESS")}
+    assert done == {f"range-{i:06d}" for i in (0, 1, 2, 4, 5)}
+    with pytest.raises(ExtractionError, match="another query"):
+        write("select k from wares")
+    broken = False
+    asked.clear()
+    # What is staged is not read again: these rows no longer are what was read.
+    run("update wares set v = -1 where k < 5")
+    assert write() == 60
+    assert sorted({p for p in asked if p}) == ['"K" < 10 OR "K" IS NULL', '"K" >= 30 AND "K" < 40']
+    rows = spark.read.parquet(str(tmp_path / "d/t")).orderBy("K").collect()
+    assert [(r.K, r.V) for r in rows] == [(i, i) for i in range(60)]
+    assert not (tmp_path / "ranges").exists()
+
+
 def test_empty_table_split(spark, database):
     assert read(spark, conn(database, "select * from numbers where k > 99999", split=Split(column="K"))).count() == 0
 
