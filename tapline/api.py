@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tapline.errors import as_extraction_error
-from tapline.operators.json_rows import rows_as_dicts
+from tapline.operators.json_rows import MAX_BYTES, rows_as_dicts
 from tapline.operators.parts import Result, write_parts
 from tapline.operators.store import Store
 from tapline.options import (
@@ -167,6 +167,7 @@ def read_to_json(
     spark: SparkSession | None = None,
     declared: dict[str, str] | None = None,
     max_rows: int | None = None,
+    max_bytes: int | None = MAX_BYTES,
     exact_decimals: bool = False,
     jdbc_options: dict | None = None,
 ) -> list[dict]:
@@ -176,4 +177,4 @@ def read_to_json(
         conn = ConnectionOptions(
             connection_string, query, datasource_type, user_name, password, JSON_BATCH_SIZE, None, jdbc_options or {}
         )
-        return rows_as_dicts(extract(session, conn, declared), max_rows, exact_decimals)
+        return rows_as_dicts(extract(session, conn, declared), max_rows, exact_decimals, max_bytes)

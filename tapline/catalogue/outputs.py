@@ -199,7 +199,36 @@ def _encrypted_roundtrip(spark, sf_dir):
     options = replace(_options(spark, "events"), encryption_key=public)
     write_parts(rows(spark, sf_dir, EVENTS, "POSTGRES"), options)
     folder = paths.table_uri(options)
-    return read_encrypted(spark, sorted(f"{folder}/{name}" for name in Store(spark, folder).names(folder)), private)
+    return read_encrypted(spark, _parts_in(spark, folder), private)
+
+
+def _parts_in(spark: SparkSession, folder: str) -> list[str]:
+    return sorted(f"{folder}/{name}" for name in Store(spark, folder).names(folder) if name.endswith(".encrypted"))
+
+
+def _encrypted_folders(spark, sf_dir):
+    """Encrypted parts in a folder for each date, each folder a sealed set; how many rows come back from each."""
+    public, private = _new_rsa_keys(spark)
+    options = replace(_options(spark, "events", batch_size=10), encryption_key=public)
+    result = _extract(spark, sf_dir, EVENTS, options, date_column="ts")
+    told = read_manifest(spark, *result.manifests)
+    base = paths.table_uri(options).removesuffix("events")
+    folders = [r.output_path for r in told.select("output_path").distinct().collect()]
+    found = read_encrypted(spark, [uri for f in folders for uri in _parts_in(spark, f"{base}{f}")], private)
+    return found.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("num_records")).join(
+        told.groupBy(F.to_date(F.concat_ws("-", *(F.regexp_extract("output_path", rf"{p}=(\d+)", 1) for p in (
+            "year", "month", "day")))).alias("day")).agg(F.count("*").alias("parts"), F.sum("num_records").alias("told")), "day")
+
+
+def _json_exact_decimals(spark, sf_dir):
+    """Decimals whose every digit is kept in the JSON text."""
+    texts = json_rows(rows(
+        spark, sf_dir, "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(30,10)) + "
+        "CAST(98765432109876543 AS DECIMAL(30,10)) AS price FROM orders", "ODBC",
+        {"price": "decimal(38,10)"},
+    ), exact_decimals=True)
+    told = {"o_orderkey": "bigint", "price": "string"}
+    return texts.select(*(F.regexp_extract("json", f'"{n}":([-0-9.]+)', 1).cast(t).alias(n) for n, t in told.items()))
 
 
 _RANK = "row_number() OVER (ORDER BY {}) - 1"
@@ -227,6 +256,8 @@ QUERIES = {
     "json_decimal_loss": _json_decimal_loss,
     "json_time_of_day": _json_time,
     "encrypted_roundtrip": _encrypted_roundtrip,
+    "encrypted_folders": _encrypted_folders,
+    "json_exact_decimals": _json_exact_decimals,
 }
 
 SQL = {
@@ -300,5 +331,13 @@ SQL = {
     "json_time_of_day": (
         """SELECT concat('{"event_id":', event_id, ',"clock":"', strftime(ts, '%H:%M:%S'), '"}') AS json FROM events"""
     ),
+    "encrypted_folders": (
+        "SELECT CAST(ts AS DATE) AS day, count(*) AS num_records, CAST(ceil(count(*) / 100) AS BIGINT) AS parts, "
+        "count(*) AS told FROM events GROUP BY ALL"
+    ),
+    "json_exact_decimals": (
+        "SELECT o_orderkey, CAST(CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(30,10)) + "
+        "CAST(98765432109876543 AS DECIMAL(30,10)) AS VARCHAR) AS price FROM orders"
+    ),
     "encrypted_roundtrip": f"SELECT {_EVENTS_MILLIS} FROM events",
 }

@@ -9,6 +9,11 @@ Each file has its own key, HMAC-SHA256(data key, "part" | salt). The header name
 to it with HMAC-SHA256(data key, "commit" | salt). A frame's associated data is SHA-256(header) | u64 frame number |
 one byte that is 1 for the last frame, so frames cannot be swapped between files, reordered or cut off. AES runs in
 the JVM (``aes_encrypt``); Python writes the Parquet bytes and frames them. No part is ever stored in the clear.
+
+The parts of a folder are sealed as a set in a file of their own beside them (JSON): their number, the wrapped data key, a
+salt, and HMAC-SHA256(set key, number | sum), where the set key is HMAC-SHA256(data key, "set" | salt) and the sum, modulo
+2^256, is over HMAC-SHA256(set key, "member" | part number | SHA-256(header)). A missing, repeated, renumbered or foreign
+part changes it. The sum is taken by the tasks, so no process sees a row for each of all parts.
 """
 
 from __future__ import annotations
@@ -19,11 +24,13 @@ import hmac
 import io
 import json
 import os
+import re
 import struct
 import sys
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +59,12 @@ _FRAME_SCHEMA = (
     "folder string, task int, number int, seq bigint, last boolean, rows bigint, "
     "header binary, key binary, aad binary, frame binary"
 )
-_WRITTEN_SCHEMA = "folder string, task int, number int, rows bigint, uri string, written_millis bigint"
+_WRITTEN_SCHEMA = "folder string, task int, number int, rows bigint, uri string, written_millis bigint, digest binary"
+
+# The digits that end the name of a part.
+_DIGITS = re.compile(r"([0-9]{6,})\.parquet\.encrypted$")
+# Numbers of 32 bits that a digest is added up in.
+_LIMBS = 8
 
 
 # ------------------------------------------------------------------ keys (driver)
@@ -99,6 +111,37 @@ def _aad(header: bytes, seq: int, last: bool) -> bytes:
     return hashlib.sha256(header).digest() + struct.pack(">QB", seq, last)
 
 
+def seal_uri(folder: str, prefix: str) -> str:
+    """The seal of the parts of a folder; Spark's readers pass over names like this."""
+    return f"{folder}/_{prefix}parts.seal"
+
+
+def _member(set_key: bytes, number: int, digest: bytes) -> bytes:
+    return hmac.new(set_key, b"member" + struct.pack(">Q", number) + digest, hashlib.sha256).digest()
+
+
+def _set_mac(set_key: bytes, parts: int, total: int) -> bytes:
+    return hmac.new(set_key, struct.pack(">Q", parts) + (total % (1 << 256)).to_bytes(32, "big"), hashlib.sha256).digest()
+
+
+@dataclass(frozen=True)
+class Sealing:
+    """What seals the parts of one run."""
+
+    data_key: bytes = field(repr=False)
+    wrapped: bytes
+
+    def seal(self, digests: Iterable[bytes]) -> str:
+        """The text of the seal of a folder, from the header digests of its parts in order."""
+        salt = os.urandom(16)
+        set_key, total, parts = _derive(self.data_key, b"set", salt), 0, 0
+        for digest in digests:
+            total += int.from_bytes(_member(set_key, parts, digest), "big")
+            parts += 1
+        told = {"wrapped_key": self.wrapped, "salt": salt, "seal": _set_mac(set_key, parts, total)}
+        return json.dumps({"parts": parts, **{k: base64.b64encode(v).decode() for k, v in told.items()}})
+
+
 def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
@@ -257,6 +300,7 @@ def _file_writer(staging: str):
         for batch in batches:
             for row in batch.to_pylist():
                 if row["seq"] == 0:
+                    digest = hashlib.sha256(row["header"]).digest()
                     path = f"{root}/{uuid.uuid4().hex}"
                     out = fs.open_output_stream(path)
                     out.write(MAGIC + struct.pack(">I", len(row["header"])) + row["header"])
@@ -266,20 +310,23 @@ def _file_writer(staging: str):
                     uri = f"{staging}/{path.rsplit('/', 1)[-1]}"
                     yield pa.RecordBatch.from_pylist([{
                         "folder": row["folder"], "task": row["task"], "number": row["number"],
-                        "rows": row["rows"], "uri": uri, "written_millis": int(time.time() * 1000),
+                        "rows": row["rows"], "uri": uri, "written_millis": int(time.time() * 1000), "digest": digest,
                     }], schema=pa.schema([
                         ("folder", pa.string()), ("task", pa.int32()), ("number", pa.int32()), ("rows", pa.int64()),
-                        ("uri", pa.string()), ("written_millis", pa.int64()),
+                        ("uri", pa.string()), ("written_millis", pa.int64()), ("digest", pa.binary()),
                     ]))
 
     return write
 
 
-def write_encrypted(df: DataFrame, options, staging: str) -> Iterator[tuple]:
-    """Encode, seal and store the rows in one stage; yields folder, task, number, rows, uri, time per file."""
-    spark = df.sparkSession
+def new_sealing(spark: SparkSession, public_pem: str) -> Sealing:
     data_key = os.urandom(32)
-    wrapped = wrap_key(spark, options.encryption_key, data_key)
+    return Sealing(data_key, wrap_key(spark, public_pem, data_key))
+
+
+def write_encrypted(df: DataFrame, options, staging: str, sealing: Sealing) -> Iterator[tuple]:
+    """Encode, seal and store the rows in one stage; yields folder, task, number, rows, uri, time, header digest per file."""
+    wrapped, data_key = sealing.wrapped, sealing.data_key
     if options.dir_columns and not options.order_by:
         # Rows of a folder side by side: a task writes one run of files for each of its folders.
         df = df.sortWithinPartitions(*[F.col("`" + c.replace("`", "``") + "`") for c in options.dir_columns])
@@ -328,7 +375,10 @@ def _frame_reader(keys: dict[str, bytes]):
                     key, seq = _derive(data_key, b"part", salt), 0
                     length = stream.read(4)
                     while length:
-                        frame = stream.read(struct.unpack(">I", length)[0])
+                        size = struct.unpack(">I", length)[0]
+                        frame = stream.read(size)
+                        if len(frame) != size:
+                            raise ValueError(f"{uri} is cut off in a frame")
                         length = stream.read(4)
                         yield pa.RecordBatch.from_pydict({
                             "last": [not length], "key": [key], "frame": [frame],
@@ -354,17 +404,88 @@ def _decoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raise ValueError("a part is cut off: it has no last frame")
 
 
-def read_encrypted(spark: SparkSession, uris: list[str], private_pem: str) -> DataFrame:
-    """Rows of encrypted parts, whole files per task. A frame that was changed, moved or cut off fails the read."""
+def _member_reader(seals: dict[tuple[str, str], tuple[str, bytes]]):
+    """Sums of what the parts at hand add to the seals of their folders."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column("uri").to_pylist():
+                fs, path = _file_system(uri)
+                with fs.open_input_stream(path) as stream:
+                    header, fields = _read_header(stream)
+                folder, prefix, number = next(p for p in _places(uri) if p[:2] in seals)
+                wrapped, set_key = seals[folder, prefix]
+                if fields["wrapped_key"] != wrapped:
+                    raise ValueError(f"{uri} is a part of another run")
+                limbs = struct.unpack(f">{_LIMBS}I", _member(set_key, number, hashlib.sha256(header).digest()))
+                yield pa.RecordBatch.from_pydict({
+                    "folder": [folder], "prefix": [prefix], "schema": [fields["schema"]],
+                    **{f"limb{i}": pa.array([n], pa.int64()) for i, n in enumerate(limbs)}})
+
+    return read
+
+
+def _places(uri: str) -> list[tuple[str, str, int]]:
+    """Folder, prefix and number that a name may stand for: digits before the last six can belong to either."""
+    folder, _, name = uri.rpartition("/")
+    found = _DIGITS.search(name)
+    if not found:
+        raise ExtractionError("encryption", f"{uri} is not named like an encrypted part")
+    digits, before = found[1], name[:found.start()]
+    splits = [i for i in range(len(digits) - 6, -1, -1) if i == len(digits) - 6 or digits[i] != "0"]
+    return [(folder, before + digits[:i], int(digits[i:])) for i in splits]
+
+
+def _checked_sets(spark: SparkSession, files: DataFrame, uris: list[str], private_pem: str) -> tuple[set[str], dict[str, bytes]]:
+    """Schemas and data keys of the parts, which must be all the parts of their folders, each once."""
+    seals, told = {}, {}
+    for uri in uris:
+        places = [p[:2] for p in _places(uri)]
+        if any(p in told for p in places):
+            continue
+        for folder, prefix in places:
+            fs, path = _file_system(seal_uri(folder, prefix))
+            if fs.get_file_info(path).type == pafs.FileType.File:
+                with fs.open_input_stream(path) as stream:
+                    seal = json.loads(stream.read())
+                told[folder, prefix] = {k: v if k == "parts" else base64.b64decode(v) for k, v in seal.items()}
+                break
+        else:
+            raise ExtractionError("encryption", f"the parts of {places[0][0]} have no seal: read them with partial=True")
+    keys = {w: unwrap_key(spark, private_pem, w) for w in {t["wrapped_key"] for t in told.values()}}
+    for place, seal in told.items():
+        wrapped = seal["wrapped_key"]
+        seals[place] = base64.b64encode(wrapped).decode(), _derive(keys[wrapped], b"set", seal["salt"])
+    limbs = [f"limb{i}" for i in range(_LIMBS)]
+    members = files.mapInArrow(_member_reader(seals), "folder string, prefix string, schema string, " + ", ".join(
+        f"{n} bigint" for n in limbs))
+    sums = members.groupBy("folder", "prefix").agg(
+        F.count("*").alias("n"), F.collect_set("schema").alias("schemas"), *(F.sum(n).alias(n) for n in limbs)).collect()
+    for row in sums:
+        seal, (_, set_key) = told[row["folder"], row["prefix"]], seals[row["folder"], row["prefix"]]
+        total = sum(row[n] << 32 * (_LIMBS - 1 - i) for i, n in enumerate(limbs))
+        if row["n"] != seal["parts"] or not hmac.compare_digest(_set_mac(set_key, row["n"], total), seal["seal"]):
+            raise ExtractionError(
+                "encryption", f"the {row['n']} parts given of {row['folder']} are not the {seal['parts']} that were written")
+    return {s for row in sums for s in row["schemas"]}, {base64.b64encode(w).decode(): k for w, k in keys.items()}
+
+
+def read_encrypted(spark: SparkSession, uris: list[str], private_pem: str, partial: bool = False) -> DataFrame:
+    """Rows of encrypted parts, whole files per task. A frame that was changed, moved or cut off fails the read.
+
+    The parts must be all those of their folders, each once and under its own name; ``partial`` takes any of them.
+    """
     tasks = max(1, min(len(uris), MAX_READ_TASKS))
     files = spark.createDataFrame([(i % tasks, u) for i, u in enumerate(uris)], "task int, uri string").repartitionById(
         tasks, F.col("task")
     ).select("uri")
-    heads = files.mapInArrow(_header_reader, "wrapped string, schema string").distinct().collect()
-    schemas = {r["schema"] for r in heads}
+    if partial:
+        heads = files.mapInArrow(_header_reader, "wrapped string, schema string").distinct().collect()
+        schemas = {r["schema"] for r in heads}
+        keys = {r["wrapped"]: unwrap_key(spark, private_pem, base64.b64decode(r["wrapped"])) for r in heads}
+    else:
+        schemas, keys = _checked_sets(spark, files, uris, private_pem)
     if len(schemas) != 1:
         raise ExtractionError("encryption", f"the parts have {len(schemas)} different schemas")
-    keys = {r["wrapped"]: unwrap_key(spark, private_pem, base64.b64decode(r["wrapped"])) for r in heads}
     opened = files.mapInArrow(_frame_reader(keys), "last boolean, key binary, frame binary, aad binary").select(
         "last", F.expr("aes_decrypt(frame, key, 'GCM', 'DEFAULT', aad)").alias("frame")
     )

@@ -61,6 +61,10 @@ def _member(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.substring(text, F.lit(2), F.length(text) - 2))
 
 
+# Bytes of JSON that a list of dicts is made of at most, unless the caller asks for more: the list takes several times as much.
+MAX_BYTES = 256 << 20
+
+
 def json_rows(df: DataFrame, exact_decimals: bool = False) -> DataFrame:
     """One column ``json``: an object per row, keys in column order, NULL columns left out, NaN and Inf as null."""
     if len(set(df.columns)) != len(df.columns):
@@ -100,15 +104,24 @@ def _python_value(value):
     return value
 
 
-def rows_as_dicts(df: DataFrame, max_rows: int | None = None, exact_decimals: bool = False) -> list[dict]:
-    """All rows as dicts, fetched partition by partition. A result above ``max_rows`` is refused, never cut.
+def rows_as_dicts(
+    df: DataFrame, max_rows: int | None = None, exact_decimals: bool = False, max_bytes: int | None = MAX_BYTES
+) -> list[dict]:
+    """All rows as dicts, fetched partition by partition. A result above ``max_rows``, or whose JSON texts have more than
+    ``max_bytes`` bytes together, is refused, never cut.
 
     With ``exact_decimals`` numbers with a fraction come as ``Decimal`` and whole ones as ``int``, every digit kept.
     """
     rows: list[dict] = []
+    size = 0
     for (text,) in json_rows(df, exact_decimals).toLocalIterator():
+        size += len(text.encode())
         if max_rows is not None and len(rows) >= max_rows:
             raise ExtractionError("data", f"the result has more than {max_rows} rows: use json_rows or read_to_parquet")
+        if max_bytes is not None and size > max_bytes:
+            raise ExtractionError(
+                "data", f"the result has more than {max_bytes} bytes of JSON (after {len(rows)} rows): raise max_bytes, or "
+                "use json_rows or read_to_parquet")
         if exact_decimals:
             rows.append(json.loads(text, parse_float=Decimal))
         else:

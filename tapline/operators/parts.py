@@ -31,6 +31,7 @@ class Staged:
     rows: int
     uri: str
     written_millis: int
+    digest: bytes | None = None  # of the header of an encrypted part
 
 
 @dataclass(frozen=True)
@@ -108,7 +109,7 @@ def write_parts(df: DataFrame, options: ExtractOptions) -> Result:
     store.make_folder(base)
     staging = f"{store.absolute(base)}/.writing-{uuid.uuid4().hex}"
     try:
-        layout = None
+        layout = sealing = None
         if options.order_by:
             layout = plan_layout(
                 df, options.dir_columns, options.order_by, options.rows_per_part, options.max_write_tasks
@@ -119,15 +120,16 @@ def write_parts(df: DataFrame, options: ExtractOptions) -> Result:
             # One task per folder, except that AQE splits large folders and joins small ones.
             df = df.hint("rebalance", *[F.col(c) for c in options.dir_columns])
         if options.encryption_key:
-            found = envelope.write_encrypted(df, options, staging)
-            written = [Staged(f, (t, i), n, u, ms) for f, t, i, n, u, ms in found]
+            sealing = envelope.new_sealing(spark, options.encryption_key)
+            found = envelope.write_encrypted(df, options, staging, sealing)
+            written = [Staged(f, (t, i), n, u, ms, d) for f, t, i, n, u, ms, d in found]
         else:
             _write_plain(df, options, staging)
             written = list(_staged_plain(spark, store, staging, df.drop(*options.dir_columns).schema))
         staged = _in_order(written, options)
         if layout:
             _check(staged, layout, options)
-        return _commit(spark, store, base, staged, options)
+        return _commit(spark, store, base, staged, options, sealing)
     finally:
         store.delete(staging)
 
@@ -145,8 +147,8 @@ def _in_order(written: list[Staged], options: ExtractOptions) -> dict[str, list[
     return by_folder
 
 
-def _commit(spark: SparkSession, store: Store, base: str, staged: dict[str, list[Staged]], options) -> Result:
-    """Move the parts in place, remove parts of an earlier run that have no successor, then write the manifests."""
+def _commit(spark: SparkSession, store: Store, base: str, staged: dict[str, list[Staged]], options, sealing) -> Result:
+    """Move the parts in place, remove parts of an earlier run that have no successor, then write seals and manifests."""
     pattern = paths.part_name_pattern(options)
     folders = {folder: f"{base}/{folder}" if folder else base for folder in staged}
 
@@ -163,6 +165,13 @@ def _commit(spark: SparkSession, store: Store, base: str, staged: dict[str, list
     ]
     at_once(lambda move: store.move(*move), moves)
     at_once(store.delete, stale)
+
+    def seal(folder: str) -> None:
+        uri = envelope.seal_uri(folders[folder], options.prefix or "")
+        store.write_lines(uri, [sealing.seal(s.digest for s in staged[folder])])
+
+    if sealing:
+        at_once(seal, staged)
     log_store = Store(spark, options.log_dir)
     log_store.make_folder(options.log_dir)
 

@@ -84,6 +84,13 @@ def test_dicts_guard(spark):
     assert len(rows_as_dicts(spark.range(10), max_rows=10)) == 10
     with pytest.raises(ExtractionError, match="more than 9 rows"):
         rows_as_dicts(spark.range(10), max_rows=9)
+    # Ten texts of eight bytes each.
+    assert len(rows_as_dicts(spark.range(10), max_bytes=80)) == 10
+    with pytest.raises(ExtractionError, match=r"more than 79 bytes of JSON \(after 9 rows\)"):
+        rows_as_dicts(spark.range(10), max_bytes=79)
+    assert len(rows_as_dicts(spark.range(10), max_bytes=None)) == 10
+    with pytest.raises(ExtractionError, match="bytes of JSON"):
+        tapline.read_to_json(tapline.SESSION_TABLES, "select id from range(100)", "ODBC", spark=spark, max_bytes=100)
 
 
 def test_duplicate_names(spark):
@@ -116,7 +123,7 @@ def encrypted(spark, df, tmp_path, rsa, table="t", **more):
     options = ExtractOptions(str(tmp_path / "d"), table, str(tmp_path / "l"), 0, encryption_key=rsa[0],
                              batch_size=more.pop("batch_size", 20), **more)
     result = write_parts(df, options)
-    return result, sorted(str(p) for p in (tmp_path / "d" / table).rglob("*") if p.is_file())
+    return result, sorted(str(p) for p in (tmp_path / "d" / table).rglob("*.encrypted"))
 
 
 @pytest.mark.parametrize("order", [(), ("event_id",)])
@@ -129,7 +136,7 @@ def test_encrypted_round_trip(spark, tmp_path, rsa, order):
     assert back.dtypes == df.dtypes
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
     if order:
-        assert [[r.event_id for r in read_encrypted(spark, [f], rsa[1]).collect()] for f in files] == [
+        assert [[r.event_id for r in read_encrypted(spark, [f], rsa[1], partial=True).collect()] for f in files] == [
             list(range(a, a + 200)) for a in range(0, 1000, 200)
         ]
 
@@ -172,7 +179,36 @@ def test_damaged_parts_do_not_open(spark, tmp_path, rsa, damage, monkeypatch):
         raw = bytearray(other[:12 + int.from_bytes(other[8:12], "big")]) + raw[head:]
     Path(files[0]).write_bytes(raw)
     with pytest.raises(Exception):
-        read_encrypted(spark, files[:1], rsa[1]).collect()
+        read_encrypted(spark, files[:1], rsa[1], partial=True).collect()
+
+
+@pytest.mark.parametrize("damage", ["missing", "repeated", "swapped", "foreign", "seal", "number"])
+def test_parts_are_a_set(spark, tmp_path, rsa, damage):
+    df = spark.range(100)
+    _, files = encrypted(spark, df, tmp_path, rsa, order_by=("id",), batch_size=2, prefix="p1")
+    _, others = encrypted(spark, df, tmp_path, rsa, "other", order_by=("id",), batch_size=2, prefix="p1")
+    assert read_encrypted(spark, files[::-1], rsa[1]).count() == 100
+    assert not [r for r in spark.read.format("binaryFile").load(str(tmp_path / "d/t")).collect() if r.path.endswith("seal")]
+    seal = tmp_path / "d/t/_p1parts.seal"
+    if damage == "missing":
+        files = files[:3] + files[4:]
+    elif damage == "repeated":
+        files = files[:4] + files[:1]
+    elif damage == "swapped":
+        one, two = Path(files[0]).read_bytes(), Path(files[1]).read_bytes()
+        Path(files[0]).write_bytes(two)
+        Path(files[1]).write_bytes(one)
+    elif damage == "foreign":
+        Path(files[2]).write_bytes(Path(others[2]).read_bytes())
+    elif damage == "seal":
+        seal.unlink()
+    else:
+        seal.write_text(seal.read_text().replace('"parts": 5', '"parts": 4'))
+        files = files[:4]
+    with pytest.raises(Exception, match="not the|another run|no seal"):
+        read_encrypted(spark, files, rsa[1]).count()
+    if damage != "repeated":
+        assert read_encrypted(spark, files, rsa[1], partial=True).count() in (80, 100)
 
 
 def test_keys_must_fit(spark, tmp_path, rsa):
@@ -223,10 +259,10 @@ def test_many_tables(spark, tmp_path):
 def test_drop_in_call(spark, tmp_path):
     rows = tapline.read_to_parquet(
         tapline.SESSION_TABLES, "SELECT event_id, ts, props FROM events;", str(tmp_path / "d"),
-        "T/year=2022/month=02/day=01", str(tmp_path / "l"), 1000, "POSTGRES", 30, None, None, None, "pre",
+        "sales/year=2031/month=11/day=30", str(tmp_path / "l"), 1000, "POSTGRES", 30, None, None, None, "pre",
     )
-    assert rows == 1000 and (tmp_path / "l/T_2022_02_01.csv").exists()
-    assert {p.name[:3] for p in (tmp_path / "d/T/year=2022/month=02/day=01").iterdir()} == {"pre"}
+    assert rows == 1000 and (tmp_path / "l/sales_2031_11_30.csv").exists()
+    assert {p.name[:3] for p in (tmp_path / "d/sales/year=2031/month=11/day=30").iterdir()} == {"pre"}
     assert tapline.read_to_json(tapline.SESSION_TABLES, "select r_regionkey from region where r_regionkey = 1",
                                 "POSTGRES") == [{"r_regionkey": 1}]
 

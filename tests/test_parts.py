@@ -329,7 +329,7 @@ def test_paths():
     assert paths.table_uri(of("s3://lake")) == "s3a://lake/sales/eu"
     assert paths.table_uri(of("/data/")) == "/data/sales/eu"
     assert paths.table_uri(of("data")) == "data/sales/eu"
-    assert paths.log_path("logs", "T/year=2022/month=02/day=01") == "logs/T_2022_02_01.csv"
+    assert paths.log_path("logs", "sales/year=2031/month=11/day=30") == "logs/sales_2031_11_30.csv"
     assert paths.log_path("logs", "T") == "logs/T.csv"
 
 
