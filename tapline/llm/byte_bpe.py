@@ -98,9 +98,6 @@ class Codec:
         self.find, self.find_latin = regex.compile(pattern), narrow_pattern(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(tokens))
         self.letters = dict(enumerate(byte_characters()))
-        back = {letter: byte for byte, letter in self.letters.items()}
-        # The inverse mapping, from the pieces of the model.
-        self.bytes_by_id = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(len(tokens))]
         self.whole = {t.decode(): struct.pack("<I", i) for i, t in enumerate(tokens) if _is_text(t)}
         self.known = dict(self.whole)
 
@@ -145,6 +142,16 @@ class Codec:
         self._learn(itertools.chain.from_iterable(split))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
+
+class Decoder:
+    """The inverse mapping alone, from pieces of mapped bytes back to bytes."""
+
+    def __init__(self, path: str):
+        letters = byte_characters()
+        back = {letter: byte for byte, letter in enumerate(letters)}
+        pieces = ("".join(map(letters.__getitem__, token)) for token in read_ranks(path))
+        self.bytes_by_id = [bytes(map(back.__getitem__, piece)) for piece in pieces]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_by_id.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -162,6 +169,11 @@ def load(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+@lru_cache(maxsize=4)
+def load_decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Add the ids of each whole text as packed little-endian unsigned 32-bit integers (`ids_array` unpacks them)."""
     send_package(docs)
@@ -178,19 +190,41 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     return with_columns(docs, {ids_col: run(F.col(text_col))})
 
 
-def decode(coded: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+def decode(coded: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """Add the bytes that packed ids stand for; null ids are empty."""
     send_package(coded)
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = load(path, pattern)
+        codec = load_decoder(path)
         for column in batches:
             yield pa.array([codec.decode(ids.as_buffer() if ids.is_valid else b"") for ids in column], pa.binary())
 
     return with_columns(coded, {bytes_col: run(F.col(ids_col))})
 
 
+def transcode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
+              bytes_col: str = "decoded") -> DataFrame:
+    """`encode` and `decode` in one step: the ids of each whole text, and what they decode to, by one worker of a task."""
+    send_package(docs)
+    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec, back = load(path, pattern), load_decoder(path)
+        for column in batches:
+            done = [pa.array([], kind)]
+            for start, stop in blocks(column):
+                ids = codec.encode(strings_of(column[start:stop]))
+                done.append(pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array(map(back.decode, ids), pa.binary())], fields=list(kind)))
+            yield pa.concat_arrays(done)
+
+    both = with_columns(docs, {"_tl_coded": run(F.col(text_col))})
+    coded = F.col("_tl_coded")
+    return with_columns(both, {ids_col: coded["ids"], bytes_col: coded["decoded"]}).drop("_tl_coded")
+
+
 def ids_array(ids_col: str = "ids"):
     """Packed ids as an array of long."""
 
@@ -204,7 +238,7 @@ def ids_array(ids_col: str = "ids"):
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of the decoded bytes."""
-    coded = decode(encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
+    coded = transcode(docs.select("doc_id", "text"), path, pattern)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

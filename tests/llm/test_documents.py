@@ -32,7 +32,7 @@ def test_bpe_of_any_text(reference, text):
     codec = byte_bpe.load(PATH, P.PATTERN)
     [ids] = codec.encode([text])
     assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == reference.encode_ordinary(text)
-    assert codec.decode(ids) == text.encode()
+    assert byte_bpe.load_decoder(PATH).decode(ids) == text.encode()
 
 
 def test_bpe_streams_long_texts(reference, monkeypatch):
@@ -55,6 +55,9 @@ def test_bpe_query(spark, texts, reference):
 def test_bpe_odd_rows(odd):
     rows = byte_bpe.digests(odd, PATH, P.PATTERN).collect()
     assert sorted(r.n_tokens for r in rows)[:2] == [0, 0] and len(rows) == odd.count()
+    apart = byte_bpe.decode(byte_bpe.encode(odd, PATH, P.PATTERN), PATH)
+    both = byte_bpe.transcode(odd, PATH, P.PATTERN)
+    assert both.columns == apart.columns and both.exceptAll(apart).count() == 0 and both.count() == len(rows)
     first = byte_bpe.encode(odd, PATH, P.PATTERN).select(byte_bpe.ids_array().alias("a")).collect()
     assert sum(len(r.a) for r in first) == sum(r.n_tokens for r in rows)
     assert byte_bpe.digests(odd.limit(0), PATH, P.PATTERN).count() == 0
@@ -205,6 +208,18 @@ def test_rules_base(documents, odd):
             assert not (r.base_failed and r.kept)
 
 
+@pytest.mark.parametrize("n", [4094, 4095, 4096, 30_000])
+def test_rules_on_texts_of_many_words(spark, n):
+    again = " ".join(f"again{i % 3}" for i in range(20))
+    text = " ".join(f"w{i}" for i in range(n - 60)) + f"\n{again} x {again} one two three four five six seven eight nine one two three four five end"
+    texts = [text, " ".join(f"w{i}" for i in range(n))]
+    rows = line_rules.apply_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr(
+        "*", "'h' as source")).orderBy("doc_id").collect()
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == plain_rules(r.text)
+    assert rows[0].n_repeat_words > 40 and rows[1].n_repeat_words == 0
+
+
 def test_rules_frequent_lines(spark):
     body = "every document has ten words or more of its own number"
     rows = [(i, f"{body} {i}\nShared   Footer 2024 of this host\n", "h") for i in range(40)]
