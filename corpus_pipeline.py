@@ -42,8 +42,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = byte_bpe.encode(docs.select("doc_id", "text"), path, pattern)
-    back = byte_bpe.decode(coded, path, pattern)
+    back = byte_bpe.transcode(docs.select("doc_id", "text"), path, pattern)
     return back.select(
         "doc_id", F.coalesce(F.octet_length("ids") / 4, F.lit(0)).cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
