@@ -147,13 +147,17 @@ def revealing(texts: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     held = staged(held.join(repeated, "_e"), "entities")
     private = texts.join(held.select("_th").distinct(), "_th", "left_semi")
     near = private.select("_th", F.explode(_terms(F.col("_text"))).alias("_t")).distinct()
-    often = near.groupBy("_t").agg(F.count("*").alias("_n")).where(F.col("_n") >= rule.support).drop("_n")
-    pairs = staged(near.join(often, "_t", "left_semi").join(held, "_th").groupBy("_t", "_e").agg(
+    count = F.lit(texts.agg(F.count_distinct("_th")).head()[0]).cast("double")
+    # pmi >= alpha ic asks for n(t) <= n(t, e) (N / n(e))^(1 - alpha), and n(t, e) <= n(e). So a term of more private texts
+    # than that discloses no such entity, and none at all if it has more than the most frequent entity allows.
+    most = F.col("_ne") * F.pow(count / F.col("_ne"), F.lit(1 - rule.alpha)) * (1 + 1e-9)
+    top = F.lit(held.agg(F.max(most)).head()[0]).cast("double")
+    often = near.groupBy("_t").agg(F.count("*").alias("_n")).where(F.col("_n").between(rule.support, top))
+    pairs = staged(near.join(often, "_t").join(held, "_th").where(F.col("_n") <= most).groupBy("_t", "_e").agg(
         F.count("*").alias("_nte"), F.first("_ne").alias("_ne")).where(F.col("_nte") >= rule.support), "pairs")
     wanted = staged(pairs.select("_t").distinct(), "terms")
     hits = staged(texts.select("_th", F.explode(_terms(F.col("_text"))).alias("_t")).join(wanted, "_t", "left_semi")
                   .distinct(), "hits")
-    count = F.lit(texts.agg(F.count_distinct("_th")).head()[0]).cast("double")
     ic = F.log2(count / F.col("_ne"))
     pmi = F.log2(count * F.col("_nte") / (F.col("_nt") * F.col("_ne")))
     told = pairs.join(hits.groupBy("_t").agg(F.count("*").alias("_nt")), "_t").where(
