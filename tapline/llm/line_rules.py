@@ -54,16 +54,22 @@ def with_base(docs: DataFrame, text: Column) -> DataFrame:
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         F.expr("cast(ceil(log2(size(_w) + 1)) as int)").alias("_k"),
     )
-    windows = counted.withColumn("_s", F.expr("""
-        if(size(_w) < 5, cast(array() as array<bigint>), sort_array(transform(
-            sequence(1, size(_w) - 4), i -> shiftleft(xxhash64(slice(_w, i, 5)), _k) | cast(i as bigint))))"""))
-    repeats = windows.withColumn("_p", F.expr("""
-        filter(_s, (x, i) -> (i > 0 and shiftright(x, _k) = shiftright(_s[i - 1], _k))
-            or (i < size(_s) - 1 and shiftright(x, _k) = shiftright(_s[i + 1], _k)))"""))
-    places = repeats.withColumn("_p", F.expr("sort_array(transform(_p, x -> x & (shiftleft(1L, _k) - 1)))"))
+    # Windows by hash and place. Up to 4,095 words both fit in one number that is quick to sort, with 52 bits of hash or
+    # more; longer texts sort all 64 bits beside the place.
+    places = counted.withColumn("_s", F.expr("""
+        if(size(_w) < 5 or _k > 12, cast(array() as array<bigint>), sort_array(transform(
+            sequence(1, size(_w) - 4), i -> shiftleft(xxhash64(slice(_w, i, 5)), _k) | cast(i as bigint))))""")).withColumn(
+        "_t", F.expr("""
+        if(_k <= 12, cast(array() as array<struct<h: bigint, p: bigint>>), sort_array(transform(
+            sequence(1, size(_w) - 4), i -> struct(xxhash64(slice(_w, i, 5)) as h, cast(i as bigint) as p))))""")).withColumn(
+        "_p", F.expr("""
+        sort_array(if(_k <= 12, transform(filter(_s, (x, i) -> (i > 0 and shiftright(x, _k) = shiftright(_s[i - 1], _k))
+                or (i < size(_s) - 1 and shiftright(x, _k) = shiftright(_s[i + 1], _k))), x -> x & (shiftleft(1L, _k) - 1)),
+            transform(filter(_t, (x, i) -> (i > 0 and x.h = _t[i - 1].h) or (i < size(_t) - 1 and x.h = _t[i + 1].h)),
+                x -> x.p)))"""))
     return places.withColumn("n_repeat_words", F.expr("""
         aggregate(transform(_p, (p, i) -> if(i = 0, 5L, least(5L, p - _p[i - 1]))), 0L, (a, x) -> a + x)""")).drop(
-        "_w", "_l", "_k", "_s", "_p")
+        "_w", "_l", "_k", "_s", "_t", "_p")
 
 
 def frequent_lines(docs: DataFrame, limits: Limits, host: Column, text: Column) -> DataFrame:
