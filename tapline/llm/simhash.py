@@ -222,7 +222,8 @@ def signed(docs: DataFrame, words: int, text_col: str) -> DataFrame:
 
 def first_of_each(docs: DataFrame, words: int = 5, radius: int = 4, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """The rows of docs without near duplicates: of each component the row of its least id stays, once.
+    """The rows of docs without near duplicates: of each component the row of its least id stays, once. Rows with the same id
+    and unlike texts are in components of their own.
 
     Texts are linked whose fingerprints are within the radius or whose sets of shingles reach `shingle_sets.SIMILARITY`.
     Rows that have no id, or whose component has no named row, all stay.
@@ -253,10 +254,10 @@ def first_of_each(docs: DataFrame, words: int = 5, radius: int = 4, id_col: str
     found = components(links).select(F.col("node").alias("_tl_set"), F.col("component").alias("_tl_component"))
     classes = marked.groupBy("_tl_set").agg(F.min(id_col).alias("_tl_first")).join(found, "_tl_set")
     least = classes.groupBy("_tl_component").agg(F.min("_tl_first").alias("_tl_least"))
-    named = classes.join(least, "_tl_component").select("_tl_set", "_tl_least")
+    named = classes.join(least, "_tl_component").select("_tl_set", "_tl_least", "_tl_component")
     rows = marked.join(named, "_tl_set")
     unnamed = F.col(id_col).isNull() | F.col("_tl_least").isNull()
-    once = rows.where(F.col(id_col) == F.col("_tl_least")).dropDuplicates([id_col])
+    once = rows.where(F.col(id_col) == F.col("_tl_least")).dropDuplicates(["_tl_component"])
     return once.unionByName(rows.where(unnamed)).select(*docs.columns)
 
 

@@ -80,6 +80,14 @@ def test_simhash_odd_rows(odd):
     assert sorted(str(r.doc_id) for r in first.collect()) == ["0", "3", "4", "5", "6", "7", "8", "None"]
 
 
+def test_unlike_texts_with_one_id_are_not_duplicates(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, "a text of its own with some words"), (1, "quite another one that shares nothing at all"), (2, "the third, unlike both"),
+            (3, words), (3, words + " more"), (4, words), (3, words)]
+    first = simhash.first_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(r.doc_id for r in first) == [1, 1, 2, 3]
+
+
 @pytest.mark.parametrize("lead", [2, 5, 9])
 def test_buckets_find_all_links(spark, lead, monkeypatch):
     rng = np.random.default_rng(lead)
