@@ -132,6 +132,20 @@ def test_write_shards(odd, tmp_path):
     assert odd.sparkSession.read.parquet(str(tmp_path / "out")).count() == 7
 
 
+def similar_pairs(norms):
+    """All pairs of lines with an edit similarity of 0.8 or more, whatever their fingerprints."""
+    numbers = {}
+    bits = [sum(1 << numbers.setdefault(w, len(numbers)) for w in set(norm.split())) for norm in norms]
+    words = [norm.split() for norm in norms]
+
+    def may(i, j):
+        # No edit removes two different words.
+        return (bits[i] & ~bits[j]).bit_count() <= (most := 0.2 * max(len(words[i]), len(words[j]))) and (
+            bits[j] & ~bits[i]).bit_count() <= most
+
+    return [(i, j) for i in range(len(norms)) for j in range(i) if may(i, j) and line_dedup.similar(words[i], words[j], 0.8)]
+
+
 def plain_lines(docs):
     """Texts by (id, text) after removal, of rows (id, text)."""
     occurrences = defaultdict(set)
@@ -141,9 +155,7 @@ def plain_lines(docs):
             if norm:
                 occurrences[norm].add((doc is not None, doc or 0, text, n))
     norms = list(occurrences)
-    fps = line_dedup.fingerprints(pa.array(norms))
-    links = [(i, int(j)) for i in range(len(norms)) for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 3)
-             if line_dedup.similar(norms[i].split(), norms[int(j)].split(), 0.8)]
+    links = similar_pairs(norms)
     best = {}
     group = grouped(len(norms), links)
     for i, norm in enumerate(norms):
@@ -166,6 +178,40 @@ def test_line_dedup(spark, documents, odd):
     assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("words, edits, least", [(10, 1, 0.99), (20, 1, 0.99), (20, 2, 0.99), (50, 5, 0.99), (5, 1, 0.9),
+                                                 (10, 2, 0.9), (20, 4, 0.9)])
+def test_lines_with_edits_are_found(spark, words, edits, least):
+    rng = np.random.default_rng(words + edits)
+    rows = []
+    for i in range(500):
+        line = rng.integers(0, 26 ** 4, words)
+        other = line.copy()
+        other[rng.choice(words, edits, replace=False)] = rng.integers(0, 26 ** 4, edits)
+        rows += [(2 * i + k, " ".join("".join(chr(97 + w // 26 ** p % 26) for p in range(4)) for w in each.tolist()))
+                 for k, each in enumerate((line, other))]
+    done = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(done[2 * i] for i in range(500))
+    assert sum(done[2 * i + 1] for i in range(500)) >= least * 500
+
+
+def test_sets_of_buckets():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        n, radius = int(rng.integers(0, 30)), int(rng.integers(0, 12))
+        bucket = np.sort(rng.integers(0, 4, n))
+        fps = rng.integers(0, 1 << 64, 3, np.uint64)[rng.integers(0, 3, n)]
+        for _ in range(rng.integers(0, 10)):
+            fps = fps ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64))
+        links = [(i, j) for i in range(n) for j in range(i)
+                 if bucket[i] == bucket[j] and (int(fps[i]) ^ int(fps[j])).bit_count() <= radius]
+        wanted, found = defaultdict(list), defaultdict(list)
+        for i, (a, b) in enumerate(zip(grouped(n, links), line_dedup.sets_of_buckets(bucket, fps, radius), strict=True)):
+            wanted[a].append(i)
+            if b >= 0:
+                found[b].append(i)
+        assert sorted(found.values()) == sorted(x for x in wanted.values() if len(x) > 1)
+
+
 def test_line_query(spark, documents):
     wanted, _ = plain_lines([tuple(r) for r in documents.select("doc_id", "text").collect()])
     texts = {doc: text for (doc, _), text in wanted.items()}
