@@ -7,8 +7,8 @@ blocks. More nodes mean more, finer blocks, which changes cost and not results.
 
 A short line's fingerprint moves by some twelve bits where a fifth of its words is edited, which no choice of blocks can
 meet. So nodes also meet where they share one of `BANDS` keys of `ROWS` min-hashes over words and their counts, if their
-fingerprints differ in at most `WIDE` bits. An edit similarity of 0.8 leaves two thirds of the words of both lines in
-common or more, which meets 93 of 100 such pairs; one word in ten edited (0.82 in common) meets 999 of 1,000.
+fingerprints differ in at most `WIDE` bits and their numbers of words allow it. An edit similarity of 0.8 leaves two thirds of the words of both lines in
+common or more, which meets 92 of 100 such pairs; one word in ten edited (0.82 in common) meets 999 of 1,000.
 
 A task compares the fingerprints of a bucket in blocks and keeps, for each, the sets that hang together there; those
 near the first line of the bucket hang together without being compared. Sets with the same members are looked at once, and
@@ -36,11 +36,14 @@ from tapline.llm.components import components
 
 RADIUS, SIMILARITY = 3, 0.8
 # Bits in which lines that share a key of min-hashes may differ, keys of a line, min-hashes of a key.
-WIDE, BANDS, ROWS = 24, 12, 4
+WIDE, BANDS, ROWS = 20, 12, 4
 # Lines of a bucket aimed at, and lines of a candidate set that one task checks alone.
 BUCKET, SET_LINES = 64, 4000
 # Rows of whole buckets that a task compares at once.
 SET_ROWS = 100_000
+# Bits of the number of words beside a bucket of 40 bits; more words count as so many.
+_WORDS = 24
+_MOST_WORDS = (1 << _WORDS) - 1
 
 
 def normalised(text: Column) -> Column:
@@ -86,15 +89,17 @@ def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def signatures(lines: pa.Array) -> pa.Array:
-    """Fingerprint and keys of each line; lines must have words."""
-    fps, keys = [np.zeros(0, np.uint64)], [np.zeros((0, BANDS), np.uint32)]
+    """Fingerprint, keys and number of words of each line; lines must have words."""
+    fps, keys, words = [np.zeros(0, np.uint64)], [np.zeros((0, BANDS), np.uint32)], [np.zeros(0, np.int64)]
     for a, b in blocks(lines):
         hashes, sizes = word_hashes(lines[a:b])
         fps.append(majority_bits(hashes, sizes))
         keys.append(band_keys(hashes, sizes))
+        words.append(sizes)
     ends = pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BANDS)
     spread = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).reshape(-1).view(np.int32)))
-    return pa.StructArray.from_arrays([pa.array(np.concatenate(fps).view(np.int64)), spread], ["fp", "keys"])
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(fps).view(np.int64)), spread, pa.array(
+        np.concatenate(words), pa.int32())], ["fp", "keys", "words"])
 
 
 def block_masks(count: int, radius: int) -> list[int]:
@@ -108,11 +113,12 @@ def block_masks(count: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, extra)]
 
 
-def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, radius: int) -> np.ndarray:
+def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, words: np.ndarray, radius: int, similarity: float) -> np.ndarray:
     """For each row (in order of bucket) a row of its bucket that stands for all it hangs together with; -1 if with none.
 
-    Rows within half the radius of the first of their bucket are within the radius of each other. The others are compared
-    with all that come 1, 2, 3, ... places on, for as long as any bucket is that large.
+    Rows hang together when their fingerprints are within the radius and their numbers of words allow the similarity. Rows
+    within half the radius of the first of their bucket are within the radius of each other, so they are taken together. The
+    others are compared with all that come 1, 2, 3, ... places on, for as long as any bucket is that large.
     """
     ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)) if len(bucket) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(0, ends))
@@ -120,7 +126,7 @@ def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, radius: int) -> np.ndar
     close = np.bitwise_count(fps ^ fps[first]) <= radius // 2
     # In each bucket what is not close comes first, so that it meets every other row.
     order = np.lexsort((close, first))
-    fps, close, last = fps[order], close[order], np.repeat(ends, sizes)
+    fps, words, close, last = fps[order], words[order], close[order], np.repeat(ends, sizes)
     crowd = np.flatnonzero(close)
     root = np.arange(len(fps))
     # One root for the close rows of a bucket: its last row, as the first row of the bucket is always among them.
@@ -130,6 +136,8 @@ def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, radius: int) -> np.ndar
     here, step = np.flatnonzero(~close), 1
     while len(here := here[here + step < last[here]]):
         at = here[np.bitwise_count(fps[here] ^ fps[here + step]) <= radius]
+        longer = np.maximum(words[at], words[at + step])
+        at = at[longer - np.minimum(words[at], words[at + step]) <= (1 - similarity) * longer + 1e-9]
         joined[at] = joined[at + step] = True
         for x, y in zip(at.tolist(), (at + step).tolist(), strict=True):
             while root[x] != x:
@@ -226,12 +234,18 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Reco
         yield held
 
 
-def bucket_sets(sent: DataFrame, radius: int) -> DataFrame:
-    """(set, h): lines whose fingerprints hang together in a bucket, of rows (bucket, h, fp); equal sets have one name."""
+def bucket_sets(sent: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(set, h): lines that hang together in a bucket, of rows (at, h, fp); equal sets have one name.
+
+    `at` is the bucket in its upper bits and the number of words in its lower `_WORDS` bits.
+    """
 
     def sets(rows: list[np.ndarray]) -> pa.RecordBatch:
-        bucket, h, fp = rows
-        root = sets_of_buckets(bucket, fp.view(np.uint64), radius)
+        # Most rows are alone in their bucket.
+        same = (rows[0][1:] >> _WORDS) == (rows[0][:-1] >> _WORDS)
+        several = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        at, h, fp = (c[several] for c in rows)
+        root = sets_of_buckets(at >> _WORDS, fp.view(np.uint64), at & _MOST_WORDS, radius, similarity)
         kept = np.flatnonzero(root >= 0)
         # The name of a set is a sum over its members.
         own = h.view(np.uint64)
@@ -249,27 +263,32 @@ def bucket_sets(sent: DataFrame, radius: int) -> DataFrame:
                 continue
             rows = [np.concatenate(c) for c in zip(*held, strict=True)]
             # The last bucket may go on in the next batch.
-            whole = int(np.searchsorted(rows[0], rows[0][-1]))
+            whole = int(np.searchsorted(rows[0], rows[0][-1] >> _WORDS << _WORDS))
             if whole:
                 yield sets([c[:whole] for c in rows])
             held = [[c[whole:] for c in rows]]
         if held:
             yield sets([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "set bigint, h bigint")
+    dealt = sent.repartition(F.shiftright("at", _WORDS)).sortWithinPartitions("at")
+    return dealt.mapInArrow(run, "set bigint, h bigint")
 
 
-def candidate_sets(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(set, h): lines that hang together in a bucket of blocks or of keys, of nodes (h, fp, keys)."""
+def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """(set, h): lines that hang together in a bucket of blocks or of keys, of nodes (h, fp, keys, words)."""
     masks = block_masks(nodes.count(), radius)
 
     def signed(x: int) -> int:
         return x - (1 << 64) if x >> 63 else x
 
-    keyed = nodes.select("h", "fp", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("kind", "mask"))
-    sent = keyed.select(F.xxhash64("kind", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"), "h", "fp")
-    shared = nodes.select(F.explode("keys").alias("bucket"), "h", "fp")
-    return bucket_sets(sent, radius).union(bucket_sets(shared, WIDE)).distinct()
+    def at(*bucket: Column | str) -> Column:
+        upper = F.shiftleft(F.shiftright(F.xxhash64(*bucket), _WORDS), _WORDS)
+        return upper.bitwiseOR(F.least("words", F.lit(_MOST_WORDS)).cast("long")).alias("at")
+
+    keyed = nodes.select("h", "fp", "words", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("kind", "mask"))
+    sent = keyed.select(at("kind", F.col("fp").bitwiseAND(F.col("mask"))), "h", "fp")
+    shared = nodes.select("h", "fp", "words", F.posexplode("keys").alias("kind", "key")).select(at("kind", "key"), "h", "fp")
+    return bucket_sets(sent, radius, similarity).union(bucket_sets(shared, max(radius, WIDE), similarity)).distinct()
 
 
 def verified_links(sets: DataFrame, texts: DataFrame, radius: int = WIDE,
@@ -303,18 +322,19 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     """(_key, _gone): the numbers of the lines that go, of each document (_key, _id, _text) that loses some."""
     send_package(docs)
 
-    @F.arrow_udf("struct<fp: bigint, keys: array<int>>")
+    @F.arrow_udf("struct<fp: bigint, keys: array<int>, words: int>")
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             yield signatures(column)
 
     lines = docs.select("_key", "_id", F.posexplode(normal_lines(F.col("_text"))).alias("no", "norm")).where("norm != ''")
     signed = lines.select("_key", "_id", "no", F.xxhash64("norm").alias("h"), hashed("norm").alias("s"))
-    occurrences = staged(signed.select("_key", "_id", "no", "h", "s.fp", "s.keys"), "lines")
+    occurrences = staged(signed.select("_key", "_id", "no", "h", "s.fp", "s.keys", "s.words"), "lines")
     place = F.struct("_id", "_key", "no")
     nodes = staged(occurrences.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
-                                                F.count("*").alias("n"), F.first("keys").alias("keys")), "nodes")
-    sets = staged(candidate_sets(nodes.select("h", "fp", "keys"), radius), "sets")
+                                                F.count("*").alias("n"), F.first("keys").alias("keys"),
+                                                F.first("words").alias("words")), "nodes")
+    sets = staged(candidate_sets(nodes.select("h", "fp", "keys", "words"), radius, similarity), "sets")
     wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "fp", "at._key", "at.no")
     by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "fp", "no")).alias("wanted"))
     texts = staged(

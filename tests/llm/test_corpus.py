@@ -205,7 +205,7 @@ def test_sets_of_buckets():
         links = [(i, j) for i in range(n) for j in range(i)
                  if bucket[i] == bucket[j] and (int(fps[i]) ^ int(fps[j])).bit_count() <= radius]
         wanted, found = defaultdict(list), defaultdict(list)
-        for i, (a, b) in enumerate(zip(grouped(n, links), line_dedup.sets_of_buckets(bucket, fps, radius), strict=True)):
+        for i, (a, b) in enumerate(zip(grouped(n, links), line_dedup.sets_of_buckets(bucket, fps, np.full(n, 9), radius, 0.8), strict=True)):
             wanted[a].append(i)
             if b >= 0:
                 found[b].append(i)
