@@ -112,3 +112,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ruled = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return ruled.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         "kept", "n_removed")
+
+
+# The same rows for DuckDB, lines and windows compared as texts instead of by hash.
+SQL = r"""
+WITH base AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, coalesce('h' || source, '') AS host,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+    FROM documents),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM base),
+spelled AS (
+    SELECT row, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS g,
+           lead(i, 4) OVER o AS last
+    FROM words WINDOW o AS (PARTITION BY row ORDER BY i)),
+windows AS (SELECT row, i, count(*) OVER (PARTITION BY row, g) AS times FROM spelled WHERE last IS NOT NULL),
+repeated AS (
+    SELECT row, sum(fresh) AS n FROM (
+        SELECT row, least(5, coalesce(i - lag(i) OVER (PARTITION BY row ORDER BY i), 5)) AS fresh FROM windows WHERE times > 1)
+    GROUP BY row),
+lines AS (
+    SELECT row, host, len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+           trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+    FROM (SELECT row, host, unnest(l) AS line FROM base)),
+hosts AS (SELECT host, count(*) AS docs FROM base GROUP BY host),
+frequent AS (
+    SELECT host, norm FROM lines JOIN hosts USING (host) GROUP BY host, norm, docs
+    HAVING count(DISTINCT row) > 10 AND count(DISTINCT row) > 0.05::DOUBLE * docs),
+removed AS (SELECT row, sum(words) AS n FROM lines SEMI JOIN frequent USING (host, norm) GROUP BY row),
+counted AS (
+    SELECT doc_id, len(w) AS n_words, length(coalesce(array_to_string(w, ''), '')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+           coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, coalesce(removed.n, 0)::BIGINT AS n_removed
+    FROM base LEFT JOIN repeated USING (row) LEFT JOIN removed USING (row))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - n_removed >= 10
+           AND n_words - n_removed >= 0.5 * n_words AS kept
+FROM counted
+"""

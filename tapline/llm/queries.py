@@ -6,6 +6,7 @@ from tapline.llm.byte_bpe import op4_byte_bpe
 from tapline.llm.decontaminate import op9_decontamination
 from tapline.llm.language import op2_language
 from tapline.llm.line_dedup import op8_line_dedup
+from tapline.llm.line_rules import SQL as RULES_SQL
 from tapline.llm.line_rules import op10_quality_rules
 from tapline.llm.packing import op11_best_two_fit
 from tapline.llm.passages import op5_passages
@@ -33,4 +34,4 @@ QUERIES = {
     "op12_turn_trie": op12_turn_trie,
     "op13_ranked_search": op13_ranked_search,
 }
-SQL = {"op12_turn_trie": TRIE_SQL, "op13_ranked_search": SEARCH_SQL}
+SQL = {"op10_quality_rules": RULES_SQL, "op12_turn_trie": TRIE_SQL, "op13_ranked_search": SEARCH_SQL}
