@@ -235,7 +235,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Reco
 
 
 def bucket_sets(sent: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """(set, h): lines that hang together in a bucket, of rows (at, h, fp); equal sets have one name.
+    """(set, fp): fingerprints that hang together in a bucket, of rows (at, fp); equal sets have one name.
 
     `at` is the bucket in its upper bits and the number of words in its lower `_WORDS` bits.
     """
@@ -244,15 +244,15 @@ def bucket_sets(sent: DataFrame, radius: int, similarity: float) -> DataFrame:
         # Most rows are alone in their bucket.
         same = (rows[0][1:] >> _WORDS) == (rows[0][:-1] >> _WORDS)
         several = np.flatnonzero(np.append(same, False) | np.append(False, same))
-        at, h, fp = (c[several] for c in rows)
+        at, fp = (c[several] for c in rows)
         root = sets_of_buckets(at >> _WORDS, fp.view(np.uint64), at & _MOST_WORDS, radius, similarity)
         kept = np.flatnonzero(root >= 0)
         # The name of a set is a sum over its members.
-        own = h.view(np.uint64)
+        own = fp.view(np.uint64)
         own = (own ^ (own >> np.uint64(31))) * _ODD[1]
         names = np.zeros(len(root), np.uint64)
         np.add.at(names, root[kept], own[kept] ^ (own[kept] >> np.uint64(29)))
-        return pa.RecordBatch.from_arrays([pa.array(names[root[kept]].view(np.int64)), pa.array(h[kept])], ["set", "h"])
+        return pa.RecordBatch.from_arrays([pa.array(names[root[kept]].view(np.int64)), pa.array(fp[kept])], ["set", "fp"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -271,11 +271,14 @@ def bucket_sets(sent: DataFrame, radius: int, similarity: float) -> DataFrame:
             yield sets([np.concatenate(c) for c in zip(*held, strict=True)])
 
     dealt = sent.repartition(F.shiftright("at", _WORDS)).sortWithinPartitions("at")
-    return dealt.mapInArrow(run, "set bigint, h bigint")
+    return dealt.mapInArrow(run, "set bigint, fp bigint")
 
 
 def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """(set, h): lines that hang together in a bucket of blocks or of keys, of nodes (h, fp, keys, words)."""
+    """(set, h): lines that hang together in a bucket of blocks or of keys, of nodes (h, fp, keys, words).
+
+    Buckets hold fingerprints alone; a set has all lines of its fingerprints.
+    """
     masks = block_masks(nodes.count(), radius)
 
     def signed(x: int) -> int:
@@ -285,10 +288,11 @@ def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = S
         upper = F.shiftleft(F.shiftright(F.xxhash64(*bucket), _WORDS), _WORDS)
         return upper.bitwiseOR(F.least("words", F.lit(_MOST_WORDS)).cast("long")).alias("at")
 
-    keyed = nodes.select("h", "fp", "words", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("kind", "mask"))
-    sent = keyed.select(at("kind", F.col("fp").bitwiseAND(F.col("mask"))), "h", "fp")
-    shared = nodes.select("h", "fp", "words", F.posexplode("keys").alias("kind", "key")).select(at("kind", "key"), "h", "fp")
-    return bucket_sets(sent, radius, similarity).union(bucket_sets(shared, max(radius, WIDE), similarity)).distinct()
+    keyed = nodes.select("fp", "words", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("kind", "mask"))
+    sent = keyed.select(at("kind", F.col("fp").bitwiseAND(F.col("mask"))), "fp")
+    shared = nodes.select("fp", "words", F.posexplode("keys").alias("kind", "key")).select(at("kind", "key"), "fp")
+    met = bucket_sets(sent, radius, similarity).union(bucket_sets(shared, max(radius, WIDE), similarity)).distinct()
+    return staged(met, "met").join(nodes.select("fp", "h"), "fp").select("set", "h")
 
 
 def verified_links(sets: DataFrame, texts: DataFrame, radius: int = WIDE,
