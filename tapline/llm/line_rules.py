@@ -2,11 +2,10 @@
 
 Lines are normalised (lower case, digits as 0, white space as one blank) and hashed. Per host the documents that hold a
 line are counted; lines in more documents than the host's limit are removed, and a document that loses too many of its
-words is rejected. A limit is a share of the host's documents, and a least count for small hosts. The number of such
-lines per host is bounded by the lines of an average document over that share, whatever the size of the host, so a host's
-lines fit in one row; documents meet that row in a join by host, which Spark broadcasts when the table is small and
-otherwise splits where a host is large. Counts are combined before they are shuffled; texts are not shuffled as long as
-the table of frequent lines is small.
+words is rejected. A number of documents is limit enough in any host, however large; in small hosts a share of the
+documents is one too, above a least count. Lines meet the frequent (host, hash) rows one by one, so no row or task holds
+a host; the places of what goes are gathered per text. Counts are combined before they are shuffled; texts are not
+shuffled as long as the table of those places is small enough for Spark to broadcast.
 
 The base rules look at a document alone. Repeated five-word windows are found by sorting (hash, position) in one long:
 64 less the bits of the position stay for the hash, more than 49 for a text of 20,000 words.
@@ -27,11 +26,12 @@ from tapline.llm.common import SPACES, staged, table, with_columns
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is removed when more than `share` of the host's documents and more than `documents` of them hold it; a
-    document goes when less than `left` of its words, or fewer than `words`, are left."""
+    """A line is removed when more than `many` of the host's documents hold it, or more than `documents` and more than
+    `share` of them; a document goes when less than `left` of its words, or fewer than `words`, are left."""
 
     share: float = 0.05
     documents: int = 10
+    many: int = 50
     left: float = 0.5
     words: int = 10
 
@@ -73,28 +73,34 @@ def with_base(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, limits: Limits, host: Column, text: Column) -> DataFrame:
-    """(_host, _frequent): hashes of the lines above each host's limit; hosts without one are left out."""
+    """(_host, _h): hashes of the lines above each host's limit."""
     lines = docs.select(host.alias("_host"), F.array_distinct(F.filter(
         F.transform(F.split(text, "\n"), normalised), lambda x: x != "")).alias("_lines"))
     hosts = lines.groupBy("_host").agg(F.count("*").alias("_docs"))
     counts = lines.select("_host", F.explode("_lines").alias("_line")).select(
         "_host", F.xxhash64("_line").alias("_h")).groupBy("_host", "_h").agg(F.count("*").alias("_n"))
-    above = counts.where(F.col("_n") > limits.documents).join(hosts, "_host").where(
-        F.col("_n") > limits.share * F.col("_docs"))
-    return staged(above.groupBy("_host").agg(F.collect_list("_h").alias("_frequent")), "frequent-lines")
+    some = counts.where(F.col("_n") > min(limits.documents, limits.many)).join(hosts, "_host")
+    return staged(some.where((F.col("_n") > limits.many) | ((F.col("_n") > limits.documents) & (
+        F.col("_n") > limits.share * F.col("_docs")))).select("_host", "_h"), "frequent-lines")
+
+
+def lines_to_remove(docs: DataFrame, limits: Limits, host: Column, text: Column) -> DataFrame:
+    """(_key, _gone): places of the lines that go, by host and text; texts that lose none are left out."""
+    lines = docs.select(F.xxhash64(host, text).alias("_key"), host.alias("_host"), F.posexplode(
+        F.transform(F.split(text, "\n"), normalised)).alias("_no", "_line")).where("_line != ''")
+    met = lines.select("_key", "_host", "_no", F.xxhash64("_line").alias("_h")).join(
+        frequent_lines(docs, limits, host, text), ["_host", "_h"], "left_semi")
+    return staged(met.groupBy("_key").agg(F.collect_set("_no").alias("_gone")), "frequent-places")
 
 
 def apply_rules(docs: DataFrame, limits: Limits = Limits(), text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Add the base columns, base_failed, n_removed (words in removed lines), clean_text and kept to every row."""
     text, host = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit(""))
     inner = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), text.alias("_text"),
-                        host.alias("_host")) if docs.columns else docs
-    frequent = frequent_lines(docs, limits, host, text)
-    met = inner.join(frequent, "_host", "left")
-    # Splitting and joining at line ends gives the text back where no line goes.
-    cleaned = met.withColumn("_clean", F.when(F.col("_frequent").isNull(), F.col("_text")).otherwise(F.array_join(
-        F.filter(F.split("_text", "\n"), lambda line: ~F.array_contains("_frequent", F.xxhash64(normalised(line)))),
-        "\n"))).drop("_frequent", "_host")
+                        F.xxhash64(host, text).alias("_key")) if docs.columns else docs
+    met = inner.join(lines_to_remove(docs, limits, host, text), "_key", "left")
+    cleaned = met.withColumn("_clean", F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(
+        F.filter(F.split("_text", "\n"), lambda line, no: ~F.array_contains("_gone", no)), "\n"))).drop("_gone", "_key")
     based = with_base(cleaned, F.col("_text"))
     left = F.when(F.col("_clean") == F.col("_text"), F.col("n_words")).otherwise(F.size(words_of(F.col("_clean"))))
     judged = based.withColumn("_left_words", left.cast("long")).withColumn(
@@ -138,7 +144,7 @@ lines AS (
 hosts AS (SELECT host, count(*) AS docs FROM base GROUP BY host),
 frequent AS (
     SELECT host, norm FROM lines JOIN hosts USING (host) GROUP BY host, norm, docs
-    HAVING count(DISTINCT row) > 10 AND count(DISTINCT row) > 0.05::DOUBLE * docs),
+    HAVING count(DISTINCT row) > 50 OR count(DISTINCT row) > 10 AND count(DISTINCT row) > 0.05::DOUBLE * docs),
 removed AS (SELECT row, sum(words) AS n FROM lines SEMI JOIN frequent USING (host, norm) GROUP BY row),
 counted AS (
     SELECT doc_id, len(w) AS n_words, length(coalesce(array_to_string(w, ''), '')) AS word_chars,

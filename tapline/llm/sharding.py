@@ -6,7 +6,8 @@ of an odd number), so leaves come out near the target whatever their number.
 
 Each row has a key per dimension: 24 bits of the coordinate, 18 bits of a hash of the text, 20 bits of a hash of the row.
 Rows that tie in a dimension are told apart by the rest of the key, so a value that a third of all rows share is split
-like any other, and copies of a text stay side by side. The cut of every node of a level is found at once by histograms:
+like any other. Rows of equal texts that together weigh no more than an eighth of a shard are one point: they share the
+least of their coordinates and all bits of their keys, so no cut parts them; heavier groups are split by row. The cut of every node of a level is found at once by histograms:
 each pass splits the range that holds the cut into 1,024 bins, whose bytes are combined before they are shuffled, until
 the bin at the cut is a sliver of a shard. Passes read a narrow table of the metadata, never texts; nodes and bins stay in
 tables, and only a flag per pass reaches the driver.
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from tapline.llm.common import drop_staged, staged, table
 
 BINS, SLIVER, FIXED_BYTES = 1024, 1000, 16
+# Share of a shard that rows of equal texts may weigh and still stay together.
+TOGETHER = 1 / 8
 _SPREAD, _TEXT, _ROW = 24, 18, 20
 
 
@@ -45,23 +48,34 @@ def magnitude(column) -> Column:
     return F.log2(1 + F.greatest(F.coalesce(F.col(column), F.lit(0)), F.lit(0)).cast("double"))
 
 
-def _points(docs: DataFrame, dims: list[Column], id_col: str, text_col: str) -> DataFrame:
-    """The narrow table: id, size, checksum, row hash and one key per dimension."""
+def _points(docs: DataFrame, dims: list[Column], id_col: str, text_col: str, shards: int | None,
+            target_bytes: int | None) -> tuple[DataFrame, int]:
+    """The narrow table (id, size, checksum, row hash and one key per dimension) and the number of shards."""
     named = [f"_c{i}" for i in range(len(dims))]
     narrow = staged(docs.select(
         F.col(id_col).alias("id"), (text_bytes(F.col(text_col)) + FIXED_BYTES).alias("size"),
         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("same"),
         *(F.coalesce(d.cast("double"), F.lit(0.0)).alias(n) for d, n in zip(dims, named, strict=True)),
     ), "metadata")
-    extent = narrow.agg(*(f(n).alias(f"{f.__name__}{n}") for n in named for f in (F.min, F.max))).head()
-    tie = F.shiftleft(F.col("crc").bitwiseAND((1 << _TEXT) - 1), _ROW).bitwiseOR(F.col("row").bitwiseAND((1 << _ROW) - 1))
+    extent = narrow.agg(F.sum("size").alias("total"), *(
+        f(n).alias(f"{f.__name__}{n}") for n in named for f in (F.min, F.max))).head()
+    total = extent["total"] or 0
+    if shards is None:
+        shards = max(1, -(-total // target_bytes))
+    together = narrow.groupBy("same").agg(F.count("*").alias("n"), F.sum("size").alias("weight"), *(
+        F.min(n).alias(f"g{n}") for n in named)).where(
+            (F.col("n") > 1) & (F.col("weight") <= TOGETHER * total / shards)).drop("weight")
+    narrow = narrow.join(together, "same", "left").withColumns({n: F.coalesce(f"g{n}", n) for n in named})
+    own = F.when(F.col("n").isNull(), F.col("row")).otherwise(F.col("same"))
+    tie = F.shiftleft(F.col("crc").bitwiseAND((1 << _TEXT) - 1), _ROW).bitwiseOR(own.bitwiseAND((1 << _ROW) - 1))
     keys = []
     for i, n in enumerate(named):
         low, high = extent[f"min{n}"] or 0.0, extent[f"max{n}"] or 0.0
         place = F.lit(0) if high <= low else (F.col(n) - low) / (high - low) * ((1 << _SPREAD) - 1)
         keys.append(F.shiftleft(place.cast("long"), _TEXT + _ROW).bitwiseOR(tie).alias(f"k{i}"))
-    return narrow.select("id", "size", "crc", "row", *keys)
+    return narrow.select("id", "size", "crc", "row", *keys), int(shards)
 
 
 def _split(points: DataFrame, dims: int) -> DataFrame:
@@ -122,12 +136,9 @@ def kd_shards(docs: DataFrame, dims: list[Column], shards: int | None = None, ta
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every row: near equal bytes in `shards` shards, or in as many as it takes
     for a shard to hold about `target_bytes`."""
-    points = _points(docs, dims, id_col, text_col)
-    if shards is None:
-        total = points.agg(F.sum("size")).head()[0] or 0
-        shards = max(1, -(-total // target_bytes))
-    now = staged(points.withColumns({"node": F.lit(0), "leaves": F.lit(int(shards))}), "tree")
-    for _ in range((int(shards) - 1).bit_length()):
+    points, shards = _points(docs, dims, id_col, text_col, shards, target_bytes)
+    now = staged(points.withColumns({"node": F.lit(0), "leaves": F.lit(shards)}), "tree")
+    for _ in range((shards - 1).bit_length()):
         then, now = now, staged(_split(now, len(dims)), "tree")
         drop_staged(then)
     part = F.pmod(F.col("row"), F.lit(64))
@@ -148,6 +159,6 @@ def write_shards(docs: DataFrame, placed: DataFrame, folder: str, id_col: str =
 
 def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    placed = kd_shards(docs, [magnitude("n_chars"), category("source"), category("lang"), F.col("doc_id")], shards=40)
+    placed = kd_shards(docs, [magnitude("n_chars"), category("source"), category("lang")], shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))

@@ -126,6 +126,20 @@ def test_shards_split_hot_values_and_odd_rows(spark, odd):
     assert sharding.kd_shards(odd.limit(0), [sharding.category("lang")], target_bytes=10).count() == 0
 
 
+def test_shards_keep_equal_texts_together(spark):
+    rows = [(i, f"text {i % 1500} " + "word " * (i % 1500 % 7), f"source {i % 11}") for i in range(4000)]
+    rows += [(4000 + i, "a text that very many rows share", f"source {i % 11}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    placed = sharding.kd_shards(docs, [sharding.magnitude("n_chars"), sharding.category("source")], shards=12)
+    shard = {r.doc_id: r.shard for r in placed.collect()}
+    groups, loads = defaultdict(set), defaultdict(int)
+    for i, text, _ in rows:
+        groups[text].add(shard[i])
+        loads[shard[i]] += len(text) + 16
+    assert len(shard) == 6000 and all(len(s) == 1 for text, s in groups.items() if text != rows[-1][1])
+    assert max(loads.values()) <= 1.1 * sum(loads.values()) / 12 and len(loads) == 12
+
+
 def test_write_shards(odd, tmp_path):
     placed = sharding.kd_shards(odd.where("doc_id < 7"), [sharding.category("lang")], shards=2)
     sharding.write_shards(odd.where("doc_id < 7").drop("shard"), placed, str(tmp_path / "out"))

@@ -234,3 +234,16 @@ def test_rules_frequent_lines(spark):
 
 def test_rules_empty(odd):
     assert line_rules.apply_rules(odd.limit(0)).count() == 0
+
+
+def test_rules_lines_of_large_hosts(spark):
+    def text(i, n):
+        shared = [f"this line is on {'x' * n} pages of a host"] if n else []
+        return "\n".join([" ".join(chr(97 + i // 26 ** k % 26) * (k + 1) for k in range(12)), *shared])
+
+    rows = [(i, text(i, 90 if i < 90 else 40 if i < 130 else 0), "large") for i in range(2000)]
+    rows += [(3000 + i, text(3000 + i, 8 if i < 8 else 20 if i < 28 else 0), "small") for i in range(100)]
+    out = {r.doc_id: r.n_removed for r in line_rules.apply_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    # 90 is many anywhere; 40 of 2,000 is neither many nor a large share; 20 of 100 is a large share, 8 are too few.
+    assert {i for i, n in out.items() if n} == set(range(90)) | set(range(3008, 3028))
