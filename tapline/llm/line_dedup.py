@@ -193,21 +193,25 @@ def similar(a: list[str], b: list[str], similarity: float) -> bool:
 
 def verified(lines: list[list[str]], fps: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
     """Links of a forest that spans all pairs of lines within the radius that are similar."""
-    group = list(range(len(lines)))
+    numbers: dict[str, int] = {}
+    bits = [sum(1 << numbers.setdefault(w, len(numbers)) for w in set(line)) for line in lines]
 
-    def of(i: int) -> int:
-        while group[i] != i:
-            group[i] = group[group[i]]
-            i = group[i]
-        return i
+    def may(i: int, j: int) -> bool:
+        # No edit removes two different words.
+        most = (1 - similarity) * max(len(lines[i]), len(lines[j])) + 1e-9
+        return (bits[i] & ~bits[j]).bit_count() <= most and (bits[j] & ~bits[i]).bit_count() <= most
 
+    group = np.arange(len(lines))
     links = []
     for i in range(1, len(lines)):
-        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius).tolist():
-            mine, other = of(i), of(j)
-            if mine != other and similar(lines[j], lines[i], similarity):
+        near = np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius)
+        while len(near):
+            j = int(near[0])
+            near = near[1:]
+            if may(i, j) and similar(lines[j], lines[i], similarity):
                 links.append((i, j))
-                group[mine] = other
+                group[group == group[i]] = group[j]
+                near = near[group[near] != group[j]]
     return links
 
 
