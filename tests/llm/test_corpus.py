@@ -308,6 +308,44 @@ def test_passages_with_an_indel_near_an_end(spark):
     assert {(r.doc_id, r.start, r.stop) for r in out} == wanted
 
 
+def test_passages_of_phrases_that_other_texts_hold(spark):
+    rng = np.random.default_rng(21)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    rows, wanted = [], set()
+    # Texts that hold each phrase of a passage, and the words after which it is edited in the second text.
+    for holders, every in ((12, 100), (2, 13)):
+        shared, n = words(60), len(rows)
+        edited = ["other" if i % every == every - 1 else w for i, w in enumerate(shared)]
+        rows += [(n, " ".join(words(20) + shared + words(30))), (n + 1, " ".join(words(40) + edited + words(10)))]
+        wanted |= {(n, n + 1, 20, 80), (n + 1, n, 40, 100)}
+        for i in range(0, 54):
+            rows += [(len(rows) + j, " ".join(words(15) + shared[i:i + 7] + words(15))) for j in range(holders)]
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_id, r.start, r.stop) for r in out} == wanted
+
+
+def test_passages_of_more_texts_than_few_are_one_class(spark):
+    rng = np.random.default_rng(22)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    shared, twice, rows = words(60), words(55), []
+    for i in range(12):
+        rows.append((i, " ".join(words(i) + shared + words(30))))
+    # One text holds a passage at two places, with as many other words between as keep them apart.
+    rows += [(20, " ".join(twice + words(200) + twice)), (21, " ".join(words(9) + twice)), (22, rows[0][1])]
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    classes = defaultdict(set)
+    for r in out:
+        classes[r.passage_class].add((r.doc_id, r.passage_start, r.passage_stop))
+    assert sorted(classes.values(), key=len) == [
+        {(22, 0, 90)}, {(20, 0, 55), (20, 255, 310), (21, 9, 64)}, {(i, i, i + 60) for i in range(12)}]
+
+
 def test_passages_with_other_words_between(spark):
     rng = np.random.default_rng(12)
 
