@@ -4,8 +4,9 @@ Lines are normalised (lower case, digits as 0, white space as one blank) and has
 line are counted; lines in more documents than the host's limit are removed, and a document that loses too many of its
 words is rejected. A number of documents is limit enough in any host, however large; in small hosts a share of the
 documents is one too, above a least count. Lines meet the frequent (host, hash) rows one by one, so no row or task holds
-a host; the places of what goes are gathered per text. Counts are combined before they are shuffled; texts are not
-shuffled as long as the table of those places is small enough for Spark to broadcast.
+a host; the places of what goes, and how many words stand there, are gathered per text. Counts are combined before they
+are shuffled. Rules look at a text before it meets those places, so texts are shuffled only where clean_text is asked for
+and the table of the places is too large for Spark to broadcast.
 
 The base rules look at a document alone. Repeated five-word windows are found by sorting (hash, position) in one long:
 64 less the bits of the position stay for the hash, more than 49 for a text of 20,000 words.
@@ -85,32 +86,33 @@ def frequent_lines(docs: DataFrame, limits: Limits, host: Column, text: Column)
 
 
 def lines_to_remove(docs: DataFrame, limits: Limits, host: Column, text: Column) -> DataFrame:
-    """(_key, _gone): places of the lines that go, by host and text; texts that lose none are left out."""
+    """(_key, _gone, _lost): places of the lines that go, and their words, by host and text; texts that lose none are left out."""
     lines = docs.select(F.xxhash64(host, text).alias("_key"), host.alias("_host"), F.posexplode(
         F.transform(F.split(text, "\n"), normalised)).alias("_no", "_line")).where("_line != ''")
-    met = lines.select("_key", "_host", "_no", F.xxhash64("_line").alias("_h")).join(
-        frequent_lines(docs, limits, host, text), ["_host", "_h"], "left_semi")
-    return staged(met.groupBy("_key").agg(F.collect_set("_no").alias("_gone")), "frequent-places")
+    met = lines.select("_key", "_host", "_no", F.size(F.split("_line", " ")).alias("_words"), F.xxhash64("_line").alias(
+        "_h")).join(frequent_lines(docs, limits, host, text), ["_host", "_h"], "left_semi")
+    places = met.groupBy("_key").agg(F.collect_set(F.struct("_no", "_words")).alias("_places"))
+    return staged(places.select("_key", F.col("_places._no").alias("_gone"), F.aggregate(
+        "_places._words", F.lit(0).cast("long"), lambda a, x: a + x).alias("_lost")), "frequent-places")
 
 
 def apply_rules(docs: DataFrame, limits: Limits = Limits(), text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Add the base columns, base_failed, n_removed (words in removed lines), clean_text and kept to every row."""
     text, host = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit(""))
-    inner = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), text.alias("_text"),
-                        F.xxhash64(host, text).alias("_key")) if docs.columns else docs
-    met = inner.join(lines_to_remove(docs, limits, host, text), "_key", "left")
-    cleaned = met.withColumn("_clean", F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(
-        F.filter(F.split("_text", "\n"), lambda line, no: ~F.array_contains("_gone", no)), "\n"))).drop("_gone", "_key")
-    based = with_base(cleaned, F.col("_text"))
-    left = F.when(F.col("_clean") == F.col("_text"), F.col("n_words")).otherwise(F.size(words_of(F.col("_clean"))))
-    judged = based.withColumn("_left_words", left.cast("long")).withColumn(
+    inner = docs.select(*(docs[f"`{c}`"].alias(f"_c{i}") for i, c in enumerate(docs.columns)), text.alias("_text"),
+                        F.xxhash64(host, text).alias("_key"))
+    based = with_base(inner, F.col("_text")).join(lines_to_remove(docs, limits, host, text), "_key", "left")
+    clean = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(
+        F.filter(F.split("_text", "\n"), lambda line, no: ~F.array_contains("_gone", no)), "\n"))
+    left = F.col("n_words") - F.coalesce("_lost", F.lit(0))
+    judged = based.withColumn("_left_words", left).withColumn(
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     kept = ~F.col("base_failed") & (F.col("_left_words") >= limits.words) & (
         F.col("_left_words") >= limits.left * F.col("n_words"))
     results = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")}
-    results |= {"n_removed": F.col("n_words") - F.col("_left_words"), "clean_text": F.col("_clean"), "kept": kept}
+    results |= {"n_removed": F.col("n_words") - F.col("_left_words"), "clean_text": clean, "kept": kept}
     taken = {name.lower() for name in results}
-    return judged.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns if c.lower() not in taken),
+    return judged.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in taken),
                          *(column.alias(name) for name, column in results.items()))
 
 

@@ -247,3 +247,18 @@ def test_rules_lines_of_large_hosts(spark):
         spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     # 90 is many anywhere; 40 of 2,000 is neither many nor a large share; 20 of 100 is a large share, 8 are too few.
     assert {i for i, n in out.items() if n} == set(range(90)) | set(range(3008, 3028))
+
+
+def test_quality_rules_shuffle_no_text(spark):
+    plan = line_rules.op10_quality_rules(spark, SF_DIR)._jdf.queryExecution().optimizedPlan()
+
+    def joins(node):
+        inner = [node.children().apply(i) for i in range(node.children().size())]
+        return [node] * (node.nodeName() == "Join") + [j for child in inner for j in joins(child)]
+
+    found = joins(plan)
+    assert found
+    for join in found:
+        for side in (join.left().output(), join.right().output()):
+            kinds = {side.apply(i).name(): side.apply(i).dataType().simpleString() for i in range(side.size())}
+            assert not any("string" in kind for kind in kinds.values()), kinds
