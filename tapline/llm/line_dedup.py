@@ -31,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapline.llm.common import blocks, majority_bits, row_key, send_package, staged, table, with_columns, word_hashes
+from tapline.llm.common import (
+    blocks, drop_staged, majority_bits, row_key, send_package, staged, table, with_columns, word_hashes,
+)
 from tapline.llm.components import components
 
 RADIUS, SIMILARITY = 3, 0.8
@@ -296,7 +298,10 @@ def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = S
     sent = keyed.select(at("kind", F.col("fp").bitwiseAND(F.col("mask"))), "fp")
     shared = nodes.select("fp", "words", F.posexplode("keys").alias("kind", "key")).select(at("kind", "key"), "fp")
     met = bucket_sets(sent, radius, similarity).union(bucket_sets(shared, max(radius, WIDE), similarity)).distinct()
-    return staged(met, "met").join(nodes.select("fp", "h"), "fp").select("set", "h")
+    met = staged(met, "met")
+    sets = staged(met.join(nodes.select("fp", "h"), "fp").select("set", "h"), "sets")
+    drop_staged(met)
+    return sets
 
 
 def verified_links(sets: DataFrame, texts: DataFrame, radius: int = WIDE,
@@ -342,7 +347,7 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     nodes = staged(occurrences.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
                                                 F.count("*").alias("n"), F.first("keys").alias("keys"),
                                                 F.first("words").alias("words")), "nodes")
-    sets = staged(candidate_sets(nodes.select("h", "fp", "keys", "words"), radius, similarity), "sets")
+    sets = candidate_sets(nodes.select("h", "fp", "keys", "words"), radius, similarity)
     wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "fp", "at._key", "at.no")
     by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "fp", "no")).alias("wanted"))
     texts = staged(
@@ -357,17 +362,21 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     keeper = repeated.groupBy("group").agg(F.min("at").alias("keep"))
     going = repeated.join(keeper, "group").select("h", F.col("keep._key").alias("keep_key"), F.col("keep.no").alias("keep_no"))
     gone = occurrences.join(going, "h").where("_key != keep_key or no != keep_no")
-    return staged(gone.groupBy("_key").agg(F.collect_set("no").alias("_gone")), "gone-lines")
+    gone = staged(gone.groupBy("_key").agg(F.collect_set("no").alias("_gone")), "gone-lines")
+    for done in (occurrences, nodes, sets, texts, found):
+        drop_staged(done)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Replace the text of every row by its lines that stay; add n_lines and n_removed."""
-    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"),
-                       F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"))
-    gone = removable(rows.where("_text is not null").select("_key", "_id", "_text"), radius, similarity)
-    # Hashing the short rows of line numbers spares a sort of the texts.
-    split = rows.join(gone.hint("shuffle_hash"), "_key", "left").withColumn("_lines", F.split("_text", "\n"))
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), row_key(id_col, text_col).alias("_key"))
+    gone = removable(docs.where(F.col(text_col).isNotNull()).select(
+        row_key(id_col, text_col).alias("_key"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), radius, similarity)
+    # Hashing the short rows of line numbers spares a sort of the texts; a row's text is shuffled once.
+    split = rows.join(gone.hint("shuffle_hash"), "_key", "left").withColumn(
+        "_text", F.col("_row").getField(text_col)).withColumn("_lines", F.split("_text", "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
