@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ RADIUS, SIMILARITY = 3, 0.8
 WIDE, BANDS, ROWS = 20, 12, 4
 # Lines of a bucket aimed at, and lines of a candidate set that one task checks alone.
 BUCKET, SET_LINES = 64, 4000
+# Lines of a set up to which its pairs are looked at with those of other sets, words of 64 bits that stand for a line's words.
+FEW_LINES, MARKS = 16, 4
 # Rows of whole buckets that a task compares at once.
 SET_ROWS = 100_000
 # Bits of the number of words beside a bucket of 40 bits; more words count as so many.
@@ -69,9 +72,11 @@ _MASK = np.random.default_rng(9).integers(0, 1 << 64, BANDS * ROWS, np.uint64)
 
 def counted_words(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The hashes with the n-th occurrence of a word in its line told apart from the others."""
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((hashes, line))
-    same = np.append(False, (np.diff(hashes[order]) == 0) & (np.diff(line[order]) == 0)) if len(order) else np.zeros(0, bool)
+    # Equal words of a line stand together in order of a mix of both.
+    line = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    mixed = hashes ^ (line * _MASK[0])
+    order = np.argsort(mixed)
+    same = np.append(False, np.diff(mixed[order]) == 0) if len(order) else np.zeros(0, bool)
     place = np.arange(len(order))
     nth = np.empty(len(order), np.uint64)
     nth[order] = place - np.maximum.accumulate(np.where(same, 0, place))
@@ -166,22 +171,23 @@ def distance(a: list[str], b: list[str], most: int) -> int:
     places: dict[str, int] = {}
     for i, word in enumerate(a):
         places[word] = places.get(word, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, score = full, 0, len(a)
+    full = (1 << len(a)) - 1
+    up, down = full, 0
     for word in b:
         same = places.get(word, 0)
         diagonal = (((same & up) + up) ^ up) | same | down
-        rise, fall = down | (full & ~(diagonal | up)), up & diagonal
-        score += bool(rise & top) - bool(fall & top)
-        rise = (rise << 1 | 1) & full
-        fall = (fall << 1) & full
-        up, down = fall | (full & ~(diagonal | rise)), rise & diagonal
-    return score
+        rise, fall = (down | ~(diagonal | up)) << 1 | 1, (up & diagonal) << 1
+        up, down = (fall | ~(diagonal | rise)) & full, rise & diagonal & full
+    # The last column begins with all of b and goes up and down by one.
+    return len(b) + up.bit_count() - down.bit_count()
 
 
 def similar(a: list[str], b: list[str], similarity: float) -> bool:
     longest = max(len(a), len(b))
     most = int((1 - similarity) * longest + 1e-9)
+    # Replacing word by word is one way of editing.
+    if len(a) == len(b) and sum(map(ne, a, b)) <= most:
+        return True
     # What both begin or end with costs nothing.
     start, shorter = 0, min(len(a), len(b))
     while start < shorter and a[start] == b[start]:
@@ -193,27 +199,73 @@ def similar(a: list[str], b: list[str], similarity: float) -> bool:
     return distance(a, b, most) <= most
 
 
-def verified(lines: list[list[str]], fps: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
-    """Links of a forest that spans all pairs of lines within the radius that are similar."""
-    numbers: dict[str, int] = {}
-    bits = [sum(1 << numbers.setdefault(w, len(numbers)) for w in set(line)) for line in lines]
-
-    def may(i: int, j: int) -> bool:
-        # No edit removes two different words.
-        most = (1 - similarity) * max(len(lines[i]), len(lines[j])) + 1e-9
-        return (bits[i] & ~bits[j]).bit_count() <= most and (bits[j] & ~bits[i]).bit_count() <= most
-
-    group = np.arange(len(lines))
-    links = []
-    for i in range(1, len(lines)):
-        near = np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius)
-        while len(near):
-            j = int(near[0])
-            near = near[1:]
-            if may(i, j) and similar(lines[j], lines[i], similarity):
+def word_marks(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each line `MARKS` words of 64 bits, in which each of its words sets one bit."""
+    out = np.zeros((len(sizes), MARKS), np.uint64)
+    rows = np.flatnonzero(sizes)
+    if len(rows):
+        first = (np.cumsum(sizes) - sizes)[rows]
+        bit, lane = np.uint64(1) << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) % np.uint64(MARKS)
+        for k in range(MARKS):
+            out[rows, k] = np.bitwise_or.reduceat(np.where(lane == k, bit, np.uint64(0)), first)
+    return out
+
+
+def verified(lines: pa.Array, fps: np.ndarray, ends: list[int], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links of forests that span, in each run of lines up to one of the ends, all pairs within the radius that are similar."""
+    told = [word_hashes(lines[a:b]) for a, b in blocks(lines)]
+    counts = np.concatenate([np.zeros(0, np.int64), *(sizes for _, sizes in told)])
+    marks = np.concatenate([np.zeros((0, MARKS), np.uint64), *(word_marks(*each) for each in told)])
+
+    def may(at: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Which of the pairs are within the radius and not ruled out by their words: no edit removes two different ones."""
+        some = np.flatnonzero(np.bitwise_count(fps[at] ^ fps[to]) <= radius)
+        at, to = at[some], to[some]
+        most = (1 - similarity) * np.maximum(counts[at], counts[to]) + 1e-9
+        kept = np.abs(counts[at] - counts[to]) <= most
+        for x, y in ((at, to), (to, at)):
+            kept &= np.bitwise_count(marks[x] & ~marks[y]).sum(axis=1) <= most
+        return some[kept]
+
+    words: dict[int, list[str]] = {}
+
+    def alike(i: int, j: int) -> bool:
+        for each in (i, j):
+            if each not in words:
+                words[each] = lines[each].as_py().split()
+        return similar(words[j], words[i], similarity)
+
+    stops = np.array(ends, np.int64)
+    sizes = np.diff(stops, prepend=0)
+    starts, links = stops - sizes, []
+    root = list(range(len(lines)))
+    # The pairs of small sets are looked at together, those of a large set line by line.
+    for size in range(2, FEW_LINES + 1):
+        here, there = np.tril_indices(size, -1)
+        first = starts[sizes == size][:, None]
+        at, to = (first + here).ravel(), (first + there).ravel()
+        kept = may(at, to)
+        for i, j in zip(at[kept].tolist(), to[kept].tolist(), strict=True):
+            x, y = i, j
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            if x != y and alike(i, j):
                 links.append((i, j))
-                group[group == group[i]] = group[j]
-                near = near[group[near] != group[j]]
+                root[max(x, y)] = min(x, y)
+    for start, stop in zip(starts[sizes > FEW_LINES].tolist(), stops[sizes > FEW_LINES].tolist(), strict=True):
+        group = np.arange(stop - start)
+        for i in range(start + 1, stop):
+            near = np.arange(start, i)
+            near = near[may(np.full(len(near), i), near)]
+            while len(near):
+                j = int(near[0])
+                near = near[1:]
+                if alike(i, j):
+                    links.append((i, j))
+                    group[group == group[i - start]] = group[j - start]
+                    near = near[group[near - start] != group[j - start]]
     return links
 
 
@@ -317,15 +369,26 @@ def verified_links(sets: DataFrame, texts: DataFrame, radius: int = WIDE,
         lambda j: F.struct(F.least("part", j).alias("x"), F.greatest("part", j).alias("y")))).alias("p"))
     rows = tasks.join(texts, "h").select("set", "p.x", "p.y", "h", "fp", "norm")
 
+    def links(batch: pa.RecordBatch, ends: list[int]) -> pa.RecordBatch:
+        h, fps = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
+        pairs = np.array(verified(batch.column(5), fps.view(np.uint64), ends, radius, similarity), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(h[pairs[:, 0]]), pa.array(h[pairs[:, 1]])], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in _runs(batches, 3):
-            h = np.concatenate([p.column(3).to_numpy(zero_copy_only=False) for p in parts])
-            fps = np.concatenate([p.column(4).to_numpy(zero_copy_only=False) for p in parts]).view(np.uint64)
-            lines = [line.split() for p in parts for line in p.column(5).to_pylist()]
-            links = verified(lines, fps, radius, similarity)
-            if links:
-                a, b = np.array(links).T
-                yield pa.RecordBatch.from_arrays([pa.array(h[a]), pa.array(h[b])], ["a", "b"])
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pa.concat_batches([rest, batch])
+            change = np.zeros(max(0, len(batch) - 1), bool)
+            for i in range(3):
+                key = batch.column(i).to_numpy(zero_copy_only=False)
+                change |= key[1:] != key[:-1]
+            # The last set may go on in the next batch.
+            ends = (np.flatnonzero(change) + 1).tolist()
+            if ends:
+                yield links(batch, ends)
+            rest = batch.slice(ends[-1] if ends else 0)
+        if rest is not None and len(rest):
+            yield links(rest, [len(rest)])
 
     return rows.repartition("set", "x", "y").sortWithinPartitions("set", "x", "y", "h").mapInArrow(
         run, "a bigint, b bigint")
@@ -353,7 +416,7 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     texts = staged(
         docs.select("_key", "_text").join(by_document.hint("shuffle_hash"), "_key")
         .select(F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-        .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).dropDuplicates(["h"])
+        .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).distinct()
         .select("h", "fp", F.trim(normalised(F.col("line"))).alias("norm")), "line-texts")
     found = components(verified_links(sets, texts, max(radius, WIDE), similarity))
     grouped = nodes.join(found, nodes.h == found.node, "left").select(

@@ -3,6 +3,8 @@
 import time
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tapline.llm import line_dedup
@@ -34,3 +36,38 @@ def test_lines_leave_one_staged_table(spark, documents):
     done = line_dedup.dedup_lines(documents.select("doc_id", "text"))
     assert {p.name.rsplit("-", 1)[0] for p in set(root.glob("tapline-*")) - before} == {"tapline-gone-lines"}
     assert done.count() == documents.count()
+
+
+def test_replaced_words_need_no_matrix(monkeypatch):
+    def refused(*_):
+        raise AssertionError("an edit distance was computed")
+
+    monkeypatch.setattr(line_dedup, "distance", refused)
+    line = [f"w{i}" for i in range(20)]
+    assert line_dedup.similar(line, ["x", *line[1:10], "y", *line[11:]], 0.8)
+
+
+def test_verified_links_span_all_similar_pairs():
+    rng = np.random.default_rng(4)
+    lines, ends = [], []
+    for size in [1, 2, 2, 3, 16, 17, 40, 5, 1]:
+        base = rng.integers(0, 300, (3, 30))
+        for _ in range(size):
+            line = base[rng.integers(0, 3)].copy()
+            line[rng.integers(0, 30, rng.integers(0, 8))] = rng.integers(0, 300)
+            lines.append(" ".join(f"w{w}" for w in np.delete(line, rng.integers(0, 30, rng.integers(0, 3)))))
+        ends.append(len(lines))
+    fps = line_dedup.fingerprints(pa.array(lines))
+    links = line_dedup.verified(pa.array(lines), fps, ends, 20, 0.8)
+    wanted = [(i, j) for start, stop in zip([0, *ends], ends, strict=False) for i in range(start, stop) for j in range(start, i)
+              if (int(fps[i]) ^ int(fps[j])).bit_count() <= 20
+              and line_dedup.similar(lines[i].split(), lines[j].split(), 0.8)]
+
+    def groups(pairs):
+        name = list(range(len(lines)))
+        for i, j in pairs:
+            name = [name[j] if n == name[i] else n for n in name]
+        return sorted(sorted(i for i, n in enumerate(name) if n == each) for each in set(name))
+
+    assert groups(links) == groups(wanted) and len(wanted) > len(links) > 40
+    assert len(links) == len(lines) - len(groups(wanted))
