@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tapline.llm import line_dedup
+from tapline.llm import line_dedup, passages
 from tapline.llm.common import staged
 from tapline.session import scratch_root
 
@@ -71,3 +71,32 @@ def test_verified_links_span_all_similar_pairs():
 
     assert groups(links) == groups(wanted) and len(wanted) > len(links) > 40
     assert len(links) == len(lines) - len(groups(wanted))
+
+
+def plain_alignment(a, b, shift, band, price):
+    """Score and ends of the best local alignment within the band, the earliest end in a, then in b."""
+    best, row = (0, 0, 0), {}
+    for i in range(len(a)):
+        now = {}
+        for k in range(2 * band + 1):
+            j = i + shift - band + k
+            equal = 0 <= j < len(b) and a[i] == b[j]
+            now[k] = max(0, row.get(k, 0) + (1 if equal else -price), row.get(k + 1, 0) - price, now.get(k - 1, 0) - price)
+        row = now
+        k = max(row, key=lambda k: (row[k], -k))
+        if row[k] > best[0]:
+            best = (row[k], i + 1, i + 1 + shift - band + k)
+    return best
+
+
+def test_alignments_side_by_side_equal_plain_ones():
+    rng = np.random.default_rng(6)
+    for many in (3, 150):
+        tasks = []
+        for _ in range(many):
+            x = rng.integers(0, 60, rng.integers(0, 40)).astype(np.int32)
+            y = np.concatenate([rng.integers(0, 60, rng.integers(0, 8)), x[rng.random(len(x)) > 0.1]]).astype(np.int32)
+            tasks.append((x, y, int(rng.integers(-3, 9)), int(rng.integers(4, 8))))
+        for price in (1, 4, 1 << 20):
+            got = passages.align_all(tasks, price)
+            assert got.tolist() == [list(plain_alignment(*task, price)) for task in tasks]
