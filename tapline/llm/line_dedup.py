@@ -405,12 +405,17 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
 
     lines = docs.select("_key", "_id", F.posexplode(normal_lines(F.col("_text"))).alias("no", "norm")).where("norm != ''")
     signed = lines.select("_key", "_id", "no", F.xxhash64("norm").alias("h"), hashed("norm").alias("s"))
-    occurrences = staged(signed.select("_key", "_id", "no", "h", "s.fp", "s.keys", "s.words"), "lines")
+    with_keys = staged(signed.select("_key", "_id", "no", "h", "s.fp", "s.keys", "s.words"), "lines")
     place = F.struct("_id", "_key", "no")
-    nodes = staged(occurrences.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
-                                                F.count("*").alias("n"), F.first("keys").alias("keys"),
-                                                F.first("words").alias("words")), "nodes")
-    sets = candidate_sets(nodes.select("h", "fp", "keys", "words"), radius, similarity)
+    keyed = staged(with_keys.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
+                                              F.count("*").alias("n"), F.first("keys").alias("keys"),
+                                              F.first("words").alias("words")), "nodes")
+    # Keys are most of these tables; they go as soon as they have been used.
+    occurrences = staged(with_keys.select("_key", "_id", "no", "h"), "lines")
+    drop_staged(with_keys)
+    sets = candidate_sets(keyed.select("h", "fp", "keys", "words"), radius, similarity)
+    nodes = staged(keyed.drop("keys", "words"), "nodes")
+    drop_staged(keyed)
     wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "fp", "at._key", "at.no")
     by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "fp", "no")).alias("wanted"))
     texts = staged(
