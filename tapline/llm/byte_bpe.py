@@ -26,6 +26,9 @@ from tapline.llm.common import blocks, send_package, strings_of, table, with_col
 
 # Pre-tokens kept with their ids in each Python worker, and pre-tokens of a long text handled at once.
 REMEMBERED, AT_ONCE = 150_000, 1 << 18
+# Bytes of text whose ids and decoded bytes are held by a worker before they go back to Spark.
+TOGETHER = 1 << 18
+_CODED = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
 
 
 def byte_characters() -> list[str]:
@@ -203,22 +206,24 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "
     return with_columns(coded, {bytes_col: run(F.col(ids_col))})
 
 
+def transcoded(texts: pa.Array, codec: Codec, back: Decoder) -> Iterator[pa.Array]:
+    """(ids, decoded) of each text, some texts at a time."""
+    for start, stop in blocks(texts, TOGETHER):
+        ids = codec.encode(strings_of(texts[start:stop]))
+        yield pa.StructArray.from_arrays(
+            [pa.array(ids, pa.binary()), pa.array(map(back.decode, ids), pa.binary())], fields=list(_CODED))
+
+
 def transcode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
               bytes_col: str = "decoded") -> DataFrame:
     """`encode` and `decode` in one step: the ids of each whole text, and what they decode to, by one worker of a task."""
     send_package(docs)
-    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
 
     @F.arrow_udf("struct<ids: binary, decoded: binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec, back = load(path, pattern), load_decoder(path)
         for column in batches:
-            done = [pa.array([], kind)]
-            for start, stop in blocks(column):
-                ids = codec.encode(strings_of(column[start:stop]))
-                done.append(pa.StructArray.from_arrays(
-                    [pa.array(ids, pa.binary()), pa.array(map(back.decode, ids), pa.binary())], fields=list(kind)))
-            yield pa.concat_arrays(done)
+            yield from transcoded(column, codec, back)
 
     both = with_columns(docs, {"_tl_coded": run(F.col(text_col))})
     coded = F.col("_tl_coded")

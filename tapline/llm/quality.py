@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tapline.llm.common import blocks, bytes_of, crc_of_id, send_package, table, with_columns
 
 BUCKET_BITS = 17
+# Bytes of text whose features are made together: each takes some hundred bytes of room in the worker meanwhile.
+TOGETHER = 1 << 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(64 - BUCKET_BITS)
 _POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
@@ -156,21 +158,25 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), lab
     return Model(np.frombuffer(bytes(found.evidence), np.float32), found.bias)
 
 
+def probabilities(texts: pa.Array, model: Model) -> pa.Array:
+    """The probability of label 1 of each text."""
+    done = [np.zeros(0)]
+    for start, stop in blocks(texts, TOGETHER):
+        buckets, text = features(*bytes_of(texts[start:stop]))
+        total = np.bincount(text, model.evidence[buckets], stop - start)
+        mean = total / np.maximum(1, np.bincount(text, minlength=stop - start))
+        done.append(1 / (1 + np.exp(-np.clip(mean + model.bias, -60, 60))))
+    return pa.array(np.concatenate(done))
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Add the probability of label 1 of each whole text."""
     send_package(docs)
-    evidence, bias = model.evidence, model.bias
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            done = [np.zeros(0)]
-            for start, stop in blocks(column):
-                buckets, text = features(*bytes_of(column[start:stop]))
-                total = np.bincount(text, evidence[buckets], stop - start)
-                mean = total / np.maximum(1, np.bincount(text, minlength=stop - start))
-                done.append(1 / (1 + np.exp(-np.clip(mean + bias, -60, 60))))
-            yield pa.array(np.concatenate(done))
+            yield probabilities(column, model)
 
     return with_columns(docs, {score_col: run(F.col(text_col))})
 

@@ -1,13 +1,15 @@
 """What the operators leave on disk, and the work that they spare."""
 
 import time
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from tapline.llm import line_dedup, passages
+from tapline.llm import byte_bpe, line_dedup, passages, quality
 from tapline.llm.common import staged
 from tapline.session import scratch_root
 
@@ -100,3 +102,24 @@ def test_alignments_side_by_side_equal_plain_ones():
         for price in (1, 4, 1 << 20):
             got = passages.align_all(tasks, price)
             assert got.tolist() == [list(plain_alignment(*task, price)) for task in tasks]
+
+
+def test_scoring_takes_little_room_beside_the_texts(texts):
+    column = pa.array((list(texts.values()) * 20)[:4000])
+    model = quality.Model(np.random.default_rng(3).random(1 << quality.BUCKET_BITS, np.float32), 0.1)
+    assert column.nbytes > 2 << 20
+    tracemalloc.start()
+    scores = quality.probabilities(column, model)
+    room = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert room < 30 << 20
+    assert scores.to_pylist() == [quality.probabilities(column[i:i + 1], model)[0].as_py() for i in range(len(column))]
+
+
+def test_coded_texts_go_back_piece_by_piece(texts):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    column = pa.array([None, "", *(list(texts.values()) * 5)[:1000]])
+    pieces = list(byte_bpe.transcoded(column, byte_bpe.load(path, public.PATTERN), byte_bpe.load_decoder(path)))
+    assert max(p.nbytes for p in pieces) < 2 << 20 < sum(p.nbytes for p in pieces)
+    assert [x["decoded"].decode() for p in pieces for x in p.to_pylist()] == [x or "" for x in column.to_pylist()]
