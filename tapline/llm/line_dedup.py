@@ -1,8 +1,8 @@
 """Fuzzy line deduplication: SimHash of normalised lines, pigeonhole blocks, edit similarity, one line per group.
 
-Lines are normalised (lower case, digits as 0, anything but letters and digits as a blank). Equal lines are one node, told
-apart by a 64-bit hash. Nodes whose fingerprints over words differ in at most `radius` of 64 bits are candidates: cut into
-m blocks, two such fingerprints agree in at least m - radius of them, so each node goes once to every choice of m - radius
+Lines are normalised (lower case, digits as 0, anything but letters and digits as a blank), the lines of many texts at once,
+by tables. Equal lines are one node, told apart by a 64-bit hash of their words. Nodes whose fingerprints over words differ in
+at most `radius` of 64 bits are candidates: cut into m blocks, two such fingerprints agree in at least m - radius of them, so each node goes once to every choice of m - radius
 blocks. More nodes mean more, finer blocks, which changes cost and not results.
 
 A short line's fingerprint moves by some twelve bits where a fifth of its words is edited, which no choice of blocks can
@@ -12,8 +12,8 @@ common or more, which meets 92 of 100 such pairs; one word in ten edited (0.82 i
 
 A task compares the fingerprints of a bucket in blocks and keeps, for each, the sets that hang together there; those
 near the first line of the bucket hang together without being compared. Sets with the same members are looked at once, and
-only their lines' texts are fetched. In each set the edit similarity over words is checked pair by pair, skipping pairs that
-are connected already, and verified links are joined to components by Spark. Sets of more than `SET_LINES` lines are split
+only their lines' texts are fetched. In each set the edit similarity over words is checked for many pairs side by side, in a band,
+skipping pairs that are connected already, and verified links are joined to components by Spark. Sets of more than `SET_LINES` lines are split
 and every pair of parts has a task. Of each component the first occurrence stays (least document id, then line).
 
 Blank lines (nothing left after normalising) stay. Null texts stay null. Rows that agree in id and text count as one
@@ -23,17 +23,21 @@ with the names of result columns are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import combinations
 from operator import ne
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapline.llm.common import (
-    blocks, drop_staged, majority_bits, row_key, send_package, staged, table, with_columns, word_hashes,
+    blocks, drop_staged, majority_bits, row_key, send_package, staged, strings_of, table, with_columns,
+    word_hashes, word_hashes_of,
 )
 from tapline.llm.components import components
 
@@ -42,28 +46,43 @@ RADIUS, SIMILARITY = 3, 0.8
 WIDE, BANDS, ROWS = 20, 12, 4
 # Lines of a bucket aimed at, and lines of a candidate set that one task checks alone.
 BUCKET, SET_LINES = 64, 4000
-# Lines of a set up to which its pairs are looked at with those of other sets, words of 64 bits that stand for a line's words.
-FEW_LINES, MARKS = 16, 4
-# Rows of whole buckets that a task compares at once.
-SET_ROWS = 100_000
+# Bytes of text whose words are hashed together.
+TOGETHER = 1 << 17
+# Words of 64 bits that stand for a line's words.
+MARKS = 4
+# Words of a line up to which edit distances of many pairs are found side by side, so many pairs; pairs looked at together.
+SHORT_LINE, SIDE_BY_SIDE, PAIRS_AT_ONCE = 512, 2048, 1 << 18
+# Places of whole buckets that a task compares at once, lines whose places are packed together.
+SET_ROWS, PACKED_LINES = 100_000, 30_000
 # Bits of the number of words beside a bucket of 40 bits; more words count as so many.
 _WORDS = 24
 _MOST_WORDS = (1 << _WORDS) - 1
 
 
-def normalised(text: Column) -> Column:
-    """The normal form of a line, or of all lines of a text; its line ends stay."""
-    return F.regexp_replace(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " "), "[0-9]", "0")
+_ASCII_FORM = bytes(c if chr(c).isalpha() or c == 10 else 48 if 48 <= c < 58 else 32 for c in range(128)) + bytes(range(128, 256))
 
 
-def normal_lines(text: Column) -> Column:
-    return F.transform(F.split(normalised(text), "\n"), lambda line: F.trim(line))
+@lru_cache(maxsize=1)
+def _forms() -> np.ndarray:
+    """What each code point of a text in lower case becomes: itself if a letter, a number or a line end, 0 if a digit, or a blank."""
+    size = sys.maxunicode + 1
+    forms = np.where(np.fromiter(map(str.isalnum, map(chr, range(size))), bool, size), np.arange(size, dtype=np.uint32), np.uint32(32))
+    forms[10], forms[48:58] = 10, 48
+    return forms
 
 
-def fingerprints(lines: pa.Array) -> np.ndarray:
-    """64-bit SimHash of each line over its words."""
-    done = [majority_bits(*word_hashes(lines[a:b])) for a, b in blocks(lines)]
-    return np.concatenate([np.zeros(0, np.uint64), *done])
+def normal_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of the normal form of each line of some texts, and the number of words of each line."""
+    if not len(texts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    joined = "\n".join(strings_of(texts)).lower()
+    if joined.isascii():
+        form = joined.encode().translate(_ASCII_FORM)
+    else:
+        form = _forms()[np.frombuffer(joined.encode("utf-32-le"), np.uint32)].tobytes().decode("utf-32-le").encode()
+    view = np.frombuffer(form, np.uint8)
+    ends = view == 10
+    return word_hashes_of(np.where(ends, np.uint8(32), view), np.concatenate([[0], np.flatnonzero(ends) + 1, [len(view)]]))
 
 
 _ODD = np.random.default_rng(8).integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
@@ -95,18 +114,39 @@ def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(32)).astype(np.uint32)
 
 
-def signatures(lines: pa.Array) -> pa.Array:
-    """Fingerprint, keys and number of words of each line; lines must have words."""
-    fps, keys, words = [np.zeros(0, np.uint64)], [np.zeros((0, BANDS), np.uint32)], [np.zeros(0, np.int64)]
-    for a, b in blocks(lines):
-        hashes, sizes = word_hashes(lines[a:b])
-        fps.append(majority_bits(hashes, sizes))
-        keys.append(band_keys(hashes, sizes))
-        words.append(sizes)
-    ends = pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BANDS)
-    spread = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).reshape(-1).view(np.int32)))
-    return pa.StructArray.from_arrays([pa.array(np.concatenate(fps).view(np.int64)), spread, pa.array(
-        np.concatenate(words), pa.int32())], ["fp", "keys", "words"])
+def fingerprints(lines: pa.Array) -> np.ndarray:
+    """64-bit SimHash of each line in normal form over its words."""
+    done = [majority_bits(*word_hashes(lines[a:b])) for a, b in blocks(lines, TOGETHER)]
+    return np.concatenate([np.zeros(0, np.uint64), *done])
+
+
+def line_hashes(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each line's words in their order; lines must have words."""
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(len(words), dtype=np.uint64) - np.repeat(first, sizes).astype(np.uint64)
+    mix = words + (place + np.uint64(1)) * _ODD[2]
+    for shift in (32, 29):
+        mix = (mix ^ (mix >> np.uint64(shift))) * _ODD[3]
+    total = np.add.reduceat(mix ^ (mix >> np.uint64(32)), first) if len(first) else np.zeros(0, np.uint64)
+    return (total ^ (total >> np.uint64(31))) * _ODD[4]
+
+
+def signatures(texts: pa.Array) -> Iterator[pa.Array]:
+    """The lines of each text that have words: number, hash, fingerprint, keys and number of words; some texts at a time."""
+    for a, b in blocks(texts, TOGETHER):
+        words, sizes = normal_words(texts[a:b])
+        lines = pc.add(pc.count_substring(texts[a:b], "\n"), 1).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.cumsum(lines) - lines
+        some = sizes > 0
+        number = (np.arange(len(sizes)) - np.repeat(first, lines))[some]
+        sizes = sizes[some]
+        ends = np.arange(len(sizes) + 1, dtype=np.int32) * (4 * BANDS)
+        rows = pa.StructArray.from_arrays([
+            pa.array(number, pa.int32()), pa.array(line_hashes(words, sizes).view(np.int64)),
+            pa.array(majority_bits(words, sizes).view(np.int64)),
+            pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(band_keys(words, sizes))]),
+            pa.array(sizes, pa.int32())], ["no", "h", "fp", "keys", "words"])
+        yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some))[np.append(first, len(some))], pa.int32()), rows)
 
 
 def block_masks(count: int, radius: int) -> list[int]:
@@ -211,11 +251,56 @@ def word_marks(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def within(words: np.ndarray, first: np.ndarray, counts: np.ndarray, at: np.ndarray, to: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which of the pairs of lines (at, to) have an edit distance of at most `most`, which their lengths must allow.
+
+    Edit distances in a band, row by row, of many pairs of about equal length side by side.
+    """
+    out = np.zeros(len(at), bool)
+    order = np.argsort(-counts[at], kind="stable")
+    while len(order):
+        longest = int(counts[at[order[0]]])
+        some = order[:min(SIDE_BY_SIDE, int(np.searchsorted(-counts[at[order]], -(3 * longest // 4), side="right")))]
+        order = order[len(some):]
+        n, m, band = counts[at[some]], counts[to[some]], int(most[some].max())
+        here = words[np.minimum(first[at[some]] + np.arange(longest)[:, None], len(words) - 1)]
+        there = np.arange(-band, longest + band)[:, None]
+        there = words[np.clip(first[to[some]] + there, 0, len(words) - 1)]
+        # Cell o of a row is the distance of the first i words of one line and the first i + o - band of the other, less o.
+        step = np.arange(2 * band + 1)[:, None]
+        row = np.repeat(np.where(step < band, 1 << 13, -band).astype(np.int16), len(some), axis=1)
+        # Lines come in order of length, so those that go on are in front.
+        live = np.searchsorted(-n, -np.arange(longest + 1), side="left").tolist()
+        for i in range(longest):
+            row = row[:, :live[i]]
+            now = row + (there[i:i + 2 * band + 1, :live[i]] != here[i, :live[i]])
+            np.minimum(now[:-1], row[1:] + np.int16(2), out=now[:-1])
+            row = np.minimum.accumulate(now, axis=0, out=now)
+            done = np.arange(live[i + 1], live[i])
+            cell = m[done] - n[done] + band
+            out[some[done]] = row[cell, done] + cell <= most[some[done]]
+    return out
+
+
+def all_words(lines: pa.Array, parted: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all lines, and the number of words of each."""
+    told = [parted(lines[a:b]) for a, b in blocks(lines, TOGETHER)]
+    words, counts = zip(*told, strict=True) if told else ((), ())
+    return np.concatenate([np.zeros(0, np.uint64), *words]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+
 def verified(lines: pa.Array, fps: np.ndarray, ends: list[int], radius: int, similarity: float) -> list[tuple[int, int]]:
-    """Links of forests that span, in each run of lines up to one of the ends, all pairs within the radius that are similar."""
-    told = [word_hashes(lines[a:b]) for a, b in blocks(lines)]
-    counts = np.concatenate([np.zeros(0, np.int64), *(sizes for _, sizes in told)])
-    marks = np.concatenate([np.zeros((0, MARKS), np.uint64), *(word_marks(*each) for each in told)])
+    """The links of `spanning_links` between lines in normal form."""
+    return spanning_links(*all_words(lines, word_hashes), fps, ends, radius, similarity)
+
+
+def spanning_links(words: np.ndarray, counts: np.ndarray, fps: np.ndarray, ends: list[int], radius: int,
+                   similarity: float) -> list[tuple[int, int]]:
+    """Links of forests that span, in each run of lines up to one of the ends, all pairs within the radius that are similar.
+
+    Lines are given by hashes of their words and the number of words of each.
+    """
+    marks, first = word_marks(words, counts), np.cumsum(counts) - counts
 
     def may(at: np.ndarray, to: np.ndarray) -> np.ndarray:
         """Which of the pairs are within the radius and not ruled out by their words: no edit removes two different ones."""
@@ -227,45 +312,68 @@ def verified(lines: pa.Array, fps: np.ndarray, ends: list[int], radius: int, sim
             kept &= np.bitwise_count(marks[x] & ~marks[y]).sum(axis=1) <= most
         return some[kept]
 
-    words: dict[int, list[str]] = {}
-
-    def alike(i: int, j: int) -> bool:
-        for each in (i, j):
-            if each not in words:
-                words[each] = lines[each].as_py().split()
-        return similar(words[j], words[i], similarity)
+    def alike(at: np.ndarray, to: np.ndarray) -> np.ndarray:
+        longest = np.maximum(counts[at], counts[to])
+        most = ((1 - similarity) * longest + 1e-9).astype(np.int64)
+        out = np.zeros(len(at), bool)
+        # Replacing word by word is one way of editing.
+        even = np.flatnonzero((counts[at] == counts[to]) & (longest > 0))
+        for part in np.array_split(even, len(even) // SIDE_BY_SIDE + 1):
+            size = counts[at[part]]
+            begin = np.cumsum(size) - size
+            place = np.arange(size.sum()) - np.repeat(begin, size)
+            unlike = words[np.repeat(first[at[part]], size) + place] != words[np.repeat(first[to[part]], size) + place]
+            if len(part):
+                out[part] = np.add.reduceat(unlike, begin, dtype=np.int64) <= most[part]
+        short = np.flatnonzero(~out & (longest <= SHORT_LINE))
+        out[short] = within(words, first, counts, at[short], to[short], most[short])
+        for k in np.flatnonzero(~out & (longest > SHORT_LINE)).tolist():
+            a, b = (words[first[i]:first[i] + counts[i]].tolist() for i in (to[k], at[k]))
+            out[k] = similar(a, b, similarity)
+        return out
+
+    root, links = np.arange(len(counts)), []
+
+    def link(at: np.ndarray, to: np.ndarray) -> None:
+        """Look at pairs whose lines are not connected yet, few for each line first, as these connect most others."""
+        share = 1
+        while len(at):
+            apart = root[at] != root[to]
+            at, to = at[apart], to[apart]
+            order = np.argsort(root[at], kind="stable")
+            at, to = at[order], to[order]
+            group = root[at]
+            place = np.arange(len(at)) - np.searchsorted(group, group)
+            now = place < share
+            good = alike(at[now], to[now])
+            for i, j in zip(at[now][good].tolist(), to[now][good].tolist(), strict=True):
+                x, y = i, j
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                if x != y:
+                    links.append((i, j))
+                    root[max(x, y)] = min(x, y)
+            while len(deeper := np.flatnonzero(root[root] != root)):
+                root[deeper] = root[root[deeper]]
+            at, to, share = at[~now], to[~now], 2 * share
 
+    # Each line is paired with those before it in its set, some lines at a time.
     stops = np.array(ends, np.int64)
     sizes = np.diff(stops, prepend=0)
-    starts, links = stops - sizes, []
-    root = list(range(len(lines)))
-    # The pairs of small sets are looked at together, those of a large set line by line.
-    for size in range(2, FEW_LINES + 1):
-        here, there = np.tril_indices(size, -1)
-        first = starts[sizes == size][:, None]
-        at, to = (first + here).ravel(), (first + there).ravel()
+    start = np.repeat(stops - sizes, sizes)
+    before = np.arange(len(start)) - start
+    pairs, i = np.cumsum(before), 0
+    while i < len(start):
+        stop = max(i + 1, int(np.searchsorted(pairs, pairs[i] - before[i] + PAIRS_AT_ONCE, side="right")))
+        at = np.repeat(np.arange(i, stop), before[i:stop])
+        to = np.arange(len(at)) + np.repeat(start[i:stop] - (pairs[i:stop] - before[i:stop] - (pairs[i] - before[i])), before[i:stop])
+        apart = root[at] != root[to]
+        at, to = at[apart], to[apart]
         kept = may(at, to)
-        for i, j in zip(at[kept].tolist(), to[kept].tolist(), strict=True):
-            x, y = i, j
-            while root[x] != x:
-                x = root[x]
-            while root[y] != y:
-                y = root[y]
-            if x != y and alike(i, j):
-                links.append((i, j))
-                root[max(x, y)] = min(x, y)
-    for start, stop in zip(starts[sizes > FEW_LINES].tolist(), stops[sizes > FEW_LINES].tolist(), strict=True):
-        group = np.arange(stop - start)
-        for i in range(start + 1, stop):
-            near = np.arange(start, i)
-            near = near[may(np.full(len(near), i), near)]
-            while len(near):
-                j = int(near[0])
-                near = near[1:]
-                if alike(i, j):
-                    links.append((i, j))
-                    group[group == group[i - start]] = group[j - start]
-                    near = near[group[near - start] != group[j - start]]
+        link(at[kept], to[kept])
+        i = stop
     return links
 
 
@@ -292,44 +400,75 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Reco
         yield held
 
 
-def bucket_sets(sent: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """(set, fp): fingerprints that hang together in a bucket, of rows (at, fp); equal sets have one name.
+def bucket_places(fps: np.ndarray, keys: np.ndarray, words: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """A row for each line: its places, of each choice of blocks and then of each key.
 
-    `at` is the bucket in its upper bits and the number of words in its lower `_WORDS` bits.
+    A place is the bucket in its upper bits and the number of words in its lower `_WORDS` bits.
     """
+    places = np.concatenate([fps[:, None] & masks, keys.astype(np.uint64)], axis=1)
+    places = (places ^ _MASK[:places.shape[1]]) * _ODD[5]
+    places = (places ^ (places >> np.uint64(32))) * _ODD[6]
+    return places >> np.uint64(_WORDS) << np.uint64(_WORDS) | np.minimum(words, _MOST_WORDS).astype(np.uint64)[:, None]
+
 
-    def sets(rows: list[np.ndarray]) -> pa.RecordBatch:
+def bucket_sets(nodes: DataFrame, masks: list[int], count: int, radius: int, similarity: float) -> DataFrame:
+    """(set, fp): fingerprints that hang together in a bucket of blocks or of keys; equal sets have one name.
+
+    Buckets are dealt to ranges of about `SET_ROWS` places, first those of blocks and then those of keys. A task packs what
+    it has for a range in one row, so that Spark moves few rows, and all of a range meets in one task.
+    """
+    each = [max(1, -(-count * kinds // SET_ROWS)) for kinds in (len(masks), BANDS)]
+    choices, ranges = np.array(masks, np.uint64), np.repeat(np.array(each, np.uint64), (len(masks), BANDS))
+    offset = np.repeat(np.array([0, each[0]], np.uint64), (len(masks), BANDS))
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        fps, words = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in (0, 2))
+        keys = np.frombuffer(b"".join(key for b in held for key in b.column(1).to_pylist()), np.uint32)
+        fps = fps.view(np.uint64)
+        places = bucket_places(fps, keys.reshape(-1, BANDS), words, choices)
+        part = (offset + ((places >> np.uint64(40)) * ranges >> np.uint64(24))).ravel()
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        ends = pa.array(np.append(first, len(part)) * 8, pa.int64())
+        columns = [pa.Array.from_buffers(pa.large_binary(), len(first), [None, ends.buffers()[1], pa.py_buffer(
+            np.ascontiguousarray(x))]).cast(pa.binary()) for x in (places.ravel()[order], fps[order // places.shape[1]])]
+        return pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int64)), *columns], ["part", "places", "fps"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= PACKED_LINES:
+                yield packed(held)
+                held = []
+        if sum(map(len, held)):
+            yield packed(held)
+
+    def sets(part: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        at, fp = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for b in held for x in b.column(i)]) for i in (1, 2))
+        order = np.argsort(at)
+        at, fp = at[order].view(np.int64), fp[order]
         # Most rows are alone in their bucket.
-        same = (rows[0][1:] >> _WORDS) == (rows[0][:-1] >> _WORDS)
+        same = (at[1:] >> _WORDS) == (at[:-1] >> _WORDS)
         several = np.flatnonzero(np.append(same, False) | np.append(False, same))
-        at, fp = (c[several] for c in rows)
-        root = sets_of_buckets(at >> _WORDS, fp.view(np.uint64), at & _MOST_WORDS, radius, similarity)
+        at, fp = at[several], fp[several]
+        bits = radius if part < each[0] else max(radius, WIDE)
+        root = sets_of_buckets(at >> _WORDS, fp, at & _MOST_WORDS, bits, similarity)
         kept = np.flatnonzero(root >= 0)
         # The name of a set is a sum over its members.
-        own = fp.view(np.uint64)
-        own = (own ^ (own >> np.uint64(31))) * _ODD[1]
+        own = (fp ^ (fp >> np.uint64(31))) * _ODD[1]
         names = np.zeros(len(root), np.uint64)
         np.add.at(names, root[kept], own[kept] ^ (own[kept] >> np.uint64(29)))
-        return pa.RecordBatch.from_arrays([pa.array(names[root[kept]].view(np.int64)), pa.array(fp[kept])], ["set", "fp"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names[root[kept]].view(np.int64)), pa.array(fp[kept].view(np.int64))], ["set", "fp"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        for batch in batches:
-            if len(batch):
-                held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            if sum(len(part[0]) for part in held) < SET_ROWS:
-                continue
-            rows = [np.concatenate(c) for c in zip(*held, strict=True)]
-            # The last bucket may go on in the next batch.
-            whole = int(np.searchsorted(rows[0], rows[0][-1] >> _WORDS << _WORDS))
-            if whole:
-                yield sets([c[:whole] for c in rows])
-            held = [[c[whole:] for c in rows]]
-        if held:
-            yield sets([np.concatenate(c) for c in zip(*held, strict=True)])
-
-    dealt = sent.repartition(F.shiftright("at", _WORDS)).sortWithinPartitions("at")
-    return dealt.mapInArrow(run, "set bigint, fp bigint")
+        for held in _runs(batches, 1):
+            yield sets(held[0].column(0)[0].as_py(), held)
+
+    dealt = nodes.select("fp", "keys", "words").mapInArrow(pack, "part bigint, places binary, fps binary").repartition("part")
+    return dealt.sortWithinPartitions("part").mapInArrow(run, "set bigint, fp bigint")
 
 
 def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
@@ -337,20 +476,8 @@ def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = S
 
     Buckets hold fingerprints alone; a set has all lines of its fingerprints.
     """
-    masks = block_masks(nodes.count(), radius)
-
-    def signed(x: int) -> int:
-        return x - (1 << 64) if x >> 63 else x
-
-    def at(*bucket: Column | str) -> Column:
-        upper = F.shiftleft(F.shiftright(F.xxhash64(*bucket), _WORDS), _WORDS)
-        return upper.bitwiseOR(F.least("words", F.lit(_MOST_WORDS)).cast("long")).alias("at")
-
-    keyed = nodes.select("fp", "words", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("kind", "mask"))
-    sent = keyed.select(at("kind", F.col("fp").bitwiseAND(F.col("mask"))), "fp")
-    shared = nodes.select("fp", "words", F.posexplode("keys").alias("kind", "key")).select(at("kind", "key"), "fp")
-    met = bucket_sets(sent, radius, similarity).union(bucket_sets(shared, max(radius, WIDE), similarity)).distinct()
-    met = staged(met, "met")
+    count = nodes.count()
+    met = staged(bucket_sets(nodes, block_masks(count, radius), count, radius, similarity).distinct(), "met")
     sets = staged(met.join(nodes.select("fp", "h"), "fp").select("set", "h"), "sets")
     drop_staged(met)
     return sets
@@ -360,18 +487,19 @@ def verified_links(sets: DataFrame, texts: DataFrame, radius: int = WIDE,
                    similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between the lines of each set within the radius whose edit similarity reaches the threshold.
 
-    texts are (h, fp, norm).
+    texts are (h, fp, line).
     """
     sizes = sets.groupBy("set").agg(F.ceil(F.count("*") / SET_LINES).cast("int").alias("parts"))
     part = F.pmod(F.col("h"), F.col("parts")).cast("int")
     tasks = sets.join(sizes, "set").withColumn("part", part).select("set", "h", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda j: F.struct(F.least("part", j).alias("x"), F.greatest("part", j).alias("y")))).alias("p"))
-    rows = tasks.join(texts, "h").select("set", "p.x", "p.y", "h", "fp", "norm")
+    rows = tasks.join(texts, "h").select("set", "p.x", "p.y", "h", "fp", "line")
 
     def links(batch: pa.RecordBatch, ends: list[int]) -> pa.RecordBatch:
         h, fps = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
-        pairs = np.array(verified(batch.column(5), fps.view(np.uint64), ends, radius, similarity), np.int64).reshape(-1, 2)
+        words = all_words(batch.column(5), normal_words)
+        pairs = np.array(spanning_links(*words, fps.view(np.uint64), ends, radius, similarity), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(h[pairs[:, 0]]), pa.array(h[pairs[:, 1]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,14 +526,12 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     """(_key, _gone): the numbers of the lines that go, of each document (_key, _id, _text) that loses some."""
     send_package(docs)
 
-    @F.arrow_udf("struct<fp: bigint, keys: array<int>, words: int>")
-    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("array<struct<no: int, h: bigint, fp: bigint, keys: binary, words: int>>")
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            yield signatures(column)
+            yield from signatures(column)
 
-    lines = docs.select("_key", "_id", F.posexplode(normal_lines(F.col("_text"))).alias("no", "norm")).where("norm != ''")
-    signed = lines.select("_key", "_id", "no", F.xxhash64("norm").alias("h"), hashed("norm").alias("s"))
-    with_keys = staged(signed.select("_key", "_id", "no", "h", "s.fp", "s.keys", "s.words"), "lines")
+    with_keys = staged(docs.select("_key", "_id", F.explode(signed("_text")).alias("s")).select("_key", "_id", "s.*"), "lines")
     place = F.struct("_id", "_key", "no")
     keyed = staged(with_keys.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
                                               F.count("*").alias("n"), F.first("keys").alias("keys"),
@@ -421,8 +547,7 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     texts = staged(
         docs.select("_key", "_text").join(by_document.hint("shuffle_hash"), "_key")
         .select(F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-        .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).distinct()
-        .select("h", "fp", F.trim(normalised(F.col("line"))).alias("norm")), "line-texts")
+        .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).distinct(), "line-texts")
     found = components(verified_links(sets, texts, max(radius, WIDE), similarity))
     grouped = nodes.join(found, nodes.h == found.node, "left").select(
         "h", "at", "n", F.coalesce("component", "h").alias("group"), F.col("component").isNotNull().alias("linked"))

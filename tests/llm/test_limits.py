@@ -1,5 +1,6 @@
 """What the operators leave on disk, and the work that they spare."""
 
+import re
 import time
 import tracemalloc
 from pathlib import Path
@@ -123,3 +124,66 @@ def test_coded_texts_go_back_piece_by_piece(texts):
     pieces = list(byte_bpe.transcoded(column, byte_bpe.load(path, public.PATTERN), byte_bpe.load_decoder(path)))
     assert max(p.nbytes for p in pieces) < 2 << 20 < sum(p.nbytes for p in pieces)
     assert [x["decoded"].decode() for p in pieces for x in p.to_pylist()] == [x or "" for x in column.to_pylist()]
+
+
+def test_distances_side_by_side():
+    rng = np.random.default_rng(12)
+    lines = [rng.integers(0, 6, n).tolist() for n in rng.integers(1, 40, 400)]
+    counts = np.array([len(x) for x in lines])
+    at, to = rng.integers(0, 400, (2, 6000))
+    most = rng.integers(0, 12, 6000)
+    fair = np.abs(counts[at] - counts[to]) <= most
+    at, to, most = at[fair], to[fair], most[fair]
+    found = line_dedup.within(np.concatenate(lines).astype(np.uint64), np.cumsum(counts) - counts, counts, at, to, most)
+    assert 0.1 < found.mean() < 0.9
+    assert found.tolist() == [line_dedup.distance(lines[i], lines[j], k) <= k for i, j, k in zip(at, to, most, strict=True)]
+
+
+def test_short_lines_are_not_compared_one_by_one(monkeypatch):
+    rng = np.random.default_rng(13)
+    lines = []
+    for _ in range(300):
+        words = [f"w{i}" for i in rng.integers(0, 10_000, 40)]
+        lines += [" ".join(words), " ".join(words[1:20] + ["new"] + words[20:])]
+    ends = list(range(2, 601, 2))
+    fps, asked = line_dedup.fingerprints(pa.array(lines)), []
+    monkeypatch.setattr(line_dedup, "similar", lambda *pair: asked.append(pair))
+    links = line_dedup.verified(pa.array(lines), fps, ends, 64, 0.8)
+    assert sorted(map(sorted, links)) == [[i, i + 1] for i in range(0, 600, 2)] and not asked
+    # Longer lines still are.
+    line_dedup.verified(pa.array([" ".join(f"w{i}" for i in range(k, 600)) for k in (0, 1)]), np.zeros(2, np.uint64), [2], 64, 0.8)
+    assert len(asked) == 1
+
+
+def test_lines_of_texts_have_the_normal_form():
+    texts = ["One two,  THREE 12\n\n  \nÉté—ñandú 日本語 ½ x_y", "", "one two three 34", "ΣΑΣ\nσας straße İx"] * 3
+    rows = [x for part in line_dedup.signatures(pa.array(texts)) for x in part.to_pylist()]
+    plain = [[(n, norm) for n, line in enumerate(text.split("\n")) if (norm := re.sub(
+        "[0-9]", "0", re.sub(r"[\W_]+", " ", line.lower())).strip(" "))] for text in texts]
+    assert [[x["no"] for x in row] for row in rows] == [[n for n, _ in row] for row in plain]
+    hashes = {}
+    for row, norms in zip(rows, plain, strict=True):
+        for x, (_, norm) in zip(row, norms, strict=True):
+            assert hashes.setdefault(norm, x["h"]) == x["h"] and x["words"] == len(norm.split())
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_places_move_packed(spark):
+    rng = np.random.default_rng(14)
+    nodes = spark.createDataFrame(
+        [(int(fp), rng.integers(0, 50, line_dedup.BANDS, np.uint32).tobytes(), 9) for fp in rng.integers(0, 1 << 40, 3000)],
+        "fp long, keys binary, words int").repartition(2)
+    masks = line_dedup.block_masks(3000, 3)
+    plan = line_dedup.bucket_sets(nodes, masks, 3000, 64, 0.8)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+    # Every two lines that share a key hang together.
+    found = {}
+    for r in line_dedup.bucket_sets(nodes, masks, 3000, 64, 0.0).collect():
+        found.setdefault(r.set, set()).add(r.fp)
+    keys = {r.fp: np.frombuffer(bytes(r["keys"]), np.uint32) for r in nodes.collect()}
+    wanted = {}
+    for fp, key in keys.items():
+        for band, k in enumerate(key.tolist()):
+            wanted.setdefault((band, k), set()).add(fp)
+    wide = [s for s in wanted.values() if all(bin(a ^ b).count("1") <= 64 for a in list(s)[:1] for b in s)]
+    assert len(wide) == 50 * line_dedup.BANDS and all(s in found.values() for s in wide)
