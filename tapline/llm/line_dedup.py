@@ -12,8 +12,10 @@ common or more, which meets 92 of 100 such pairs; one word in ten edited (0.82 i
 
 A task compares the fingerprints of a bucket in blocks and keeps, for each, the sets that hang together there; those
 near the first line of the bucket hang together without being compared. Sets with the same members are looked at once, and
-only their lines' texts are fetched. In each set the edit similarity over words is checked for many pairs side by side, in a band,
-skipping pairs that are connected already, and verified links are joined to components by Spark. Sets of more than `SET_LINES` lines are split
+only their lines' texts are fetched, by their bytes in the text. Sets with the same least line, which share most of their lines,
+are one task's: a line gets its words and a pair is compared once there. The edit similarity over words is checked for many
+pairs side by side, with a bit for each cell of a band, skipping pairs that are connected already, and verified links are joined
+to components by Spark. Sets of more than `SET_LINES` lines are split
 and every pair of parts has a task. Of each component the first occurrence stays (least document id, then line).
 
 Blank lines (nothing left after normalising) stay. Null texts stay null. Rows that agree in id and text count as one
@@ -36,8 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapline.llm.common import (
-    blocks, drop_staged, majority_bits, row_key, send_package, staged, strings_of, table, with_columns,
-    word_hashes, word_hashes_of,
+    blocks, bytes_of, drop_staged, majority_bits, row_key, send_package, staged, strings_of, table, with_columns,
+    word_hashes,
 )
 from tapline.llm.components import components
 
@@ -49,15 +51,19 @@ BUCKET, SET_LINES = 64, 4000
 # Bytes of text whose words are hashed together.
 TOGETHER = 1 << 17
 # Words of 64 bits that stand for a line's words.
-MARKS = 4
+MARKS = 8
 # Words of a line up to which edit distances of many pairs are found side by side, so many pairs; pairs looked at together.
 SHORT_LINE, SIDE_BY_SIDE, PAIRS_AT_ONCE = 512, 2048, 1 << 18
+# Lines whose sets one task checks together, and the bytes of their texts.
+LINES_AT_ONCE, TEXT_AT_ONCE = 30_000, 16 << 20
 # Places of whole buckets that a task compares at once, lines whose places are packed together.
 SET_ROWS, PACKED_LINES = 100_000, 30_000
 # Bits of the number of words beside a bucket of 40 bits; more words count as so many.
 _WORDS = 24
 _MOST_WORDS = (1 << _WORDS) - 1
 
+_ODD = np.random.default_rng(8).integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
+_MASK = np.random.default_rng(9).integers(0, 1 << 64, BANDS * ROWS, np.uint64)
 
 _ASCII_FORM = bytes(c if chr(c).isalpha() or c == 10 else 48 if 48 <= c < 58 else 32 for c in range(128)) + bytes(range(128, 256))
 
@@ -71,6 +77,30 @@ def _forms() -> np.ndarray:
     return forms
 
 
+# The lowest bytes of 64 bits, from none to all eight.
+_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
+def form_hashes(form: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a normal form begins, and a 64-bit hash of it, eight bytes of all words at a time."""
+    view = np.frombuffer(form + b" " * 9, np.uint8)
+    inside = view[:len(form) + 1] > 32
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    begin, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(view) - 7, "<u8", view, strides=(1,))
+    hashes = (eight[begin] & _BYTES[np.minimum(size, 8)]) * _ODD[7]
+    hashes ^= hashes >> np.uint64(32)
+    some, done = np.flatnonzero(size > 8), 8
+    while len(some):
+        mix = (hashes[some] + (eight[begin[some] + done] & _BYTES[np.minimum(size[some] - done, 8)])) * _ODD[8]
+        hashes[some] = mix ^ (mix >> np.uint64(29))
+        done += 8
+        some = some[size[some] > done]
+    for shift in (30, 27):
+        hashes = (hashes ^ (hashes >> np.uint64(shift))) * _ODD[9]
+    return begin, hashes ^ (hashes >> np.uint64(31))
+
+
 def normal_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of the normal form of each line of some texts, and the number of words of each line."""
     if not len(texts):
@@ -80,13 +110,9 @@ def normal_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         form = joined.encode().translate(_ASCII_FORM)
     else:
         form = _forms()[np.frombuffer(joined.encode("utf-32-le"), np.uint32)].tobytes().decode("utf-32-le").encode()
-    view = np.frombuffer(form, np.uint8)
-    ends = view == 10
-    return word_hashes_of(np.where(ends, np.uint8(32), view), np.concatenate([[0], np.flatnonzero(ends) + 1, [len(view)]]))
-
-
-_ODD = np.random.default_rng(8).integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
-_MASK = np.random.default_rng(9).integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+    begin, hashes = form_hashes(form)
+    ends = np.flatnonzero(np.frombuffer(form, np.uint8) == 10)
+    return hashes, np.diff(np.searchsorted(begin, ends), prepend=0, append=len(begin))
 
 
 def counted_words(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -107,8 +133,10 @@ def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     keys = np.zeros((len(sizes), BANDS), np.uint64)
     if len(sizes):
         words, first = counted_words(hashes, sizes), np.cumsum(sizes) - sizes
+        mixed = np.empty_like(words)
         for i in range(BANDS * ROWS):
-            least = np.minimum.reduceat((words ^ _MASK[i]) * _ODD[i], first)
+            np.multiply(np.bitwise_xor(words, _MASK[i], out=mixed), _ODD[i], out=mixed)
+            least = np.minimum.reduceat(mixed, first)
             band = i // ROWS
             keys[:, band] = (keys[:, band] ^ (least >> np.uint64(7))) * _ODD[i] + np.uint64(band)
     return (keys >> np.uint64(32)).astype(np.uint32)
@@ -132,20 +160,27 @@ def line_hashes(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def signatures(texts: pa.Array) -> Iterator[pa.Array]:
-    """The lines of each text that have words: number, hash, fingerprint, keys and number of words; some texts at a time."""
+    """The lines of each text that have words: number, first byte, bytes, hash, fingerprint, keys and number of words; some texts at a time."""
     for a, b in blocks(texts, TOGETHER):
         words, sizes = normal_words(texts[a:b])
-        lines = pc.add(pc.count_substring(texts[a:b], "\n"), 1).to_numpy(zero_copy_only=False).astype(np.int64)
+        view, starts = bytes_of(texts[a:b])
+        # Lines end before a line end and with their text, which comes first where both are at one place.
+        ends = np.concatenate([starts[1:], np.flatnonzero(view == 10)])
+        order = np.argsort(ends, kind="stable")
+        ends, inner = ends[order], order >= b - a
+        begin = np.append(0, ends[:-1] + inner[:-1])
+        lines = np.diff(np.flatnonzero(~inner), prepend=-1)
         first = np.cumsum(lines) - lines
         some = sizes > 0
         number = (np.arange(len(sizes)) - np.repeat(first, lines))[some]
+        start, size = (begin - np.repeat(starts[:-1], lines))[some], (ends - begin)[some]
         sizes = sizes[some]
         ends = np.arange(len(sizes) + 1, dtype=np.int32) * (4 * BANDS)
         rows = pa.StructArray.from_arrays([
-            pa.array(number, pa.int32()), pa.array(line_hashes(words, sizes).view(np.int64)),
+            pa.array(number, pa.int32()), pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(line_hashes(words, sizes).view(np.int64)),
             pa.array(majority_bits(words, sizes).view(np.int64)),
             pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(band_keys(words, sizes))]),
-            pa.array(sizes, pa.int32())], ["no", "h", "fp", "keys", "words"])
+            pa.array(sizes, pa.int32())], ["no", "start", "size", "h", "fp", "keys", "words"])
         yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some))[np.append(first, len(some))], pa.int32()), rows)
 
 
@@ -160,6 +195,17 @@ def block_masks(count: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, extra)]
 
 
+def unite(root: np.ndarray, at: np.ndarray, to: np.ndarray) -> None:
+    """Join the trees of the rows of each pair; every row then has the last row of its tree as root."""
+    while len(at):
+        x, y = root[at], root[to]
+        apart = x != y
+        at, to, x, y = at[apart], to[apart], x[apart], y[apart]
+        root[np.minimum(x, y)] = np.maximum(x, y)
+        while len(deeper := np.flatnonzero(root[root] != root)):
+            root[deeper] = root[root[deeper]]
+
+
 def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, words: np.ndarray, radius: int, similarity: float) -> np.ndarray:
     """For each row (in order of bucket) a row of its bucket that stands for all it hangs together with; -1 if with none.
 
@@ -178,25 +224,21 @@ def sets_of_buckets(bucket: np.ndarray, fps: np.ndarray, words: np.ndarray, radi
     root = np.arange(len(fps))
     # One root for the close rows of a bucket: its last row, as the first row of the bucket is always among them.
     root[crowd] = last[crowd] - 1
-    several = np.bincount(root[crowd], minlength=len(fps))
-    joined = close & (several[root] > 1)
-    here, step = np.flatnonzero(~close), 1
+    here, step, met, waiting = np.flatnonzero(~close), 1, [], 0
     while len(here := here[here + step < last[here]]):
         at = here[np.bitwise_count(fps[here] ^ fps[here + step]) <= radius]
         longer = np.maximum(words[at], words[at + step])
         at = at[longer - np.minimum(words[at], words[at + step]) <= (1 - similarity) * longer + 1e-9]
-        joined[at] = joined[at + step] = True
-        for x, y in zip(at.tolist(), (at + step).tolist(), strict=True):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            while root[y] != y:
-                root[y] = root[root[y]]
-                y = root[y]
-            root[min(x, y)] = max(x, y)
+        if len(at):
+            met.append((at, at + step))
+            waiting += len(at)
+        if waiting > PAIRS_AT_ONCE:
+            unite(root, *map(np.concatenate, zip(*met, strict=True)))
+            met, waiting = [], 0
         step += 1
-    while len(deeper := np.flatnonzero(root[root] != root)):
-        root[deeper] = root[root[deeper]]
+    if met:
+        unite(root, *map(np.concatenate, zip(*met, strict=True)))
+    joined = np.bincount(root, minlength=len(fps))[root] > 1
     out = np.full(len(fps), -1)
     out[order] = np.where(joined, order[root], -1)
     return out
@@ -241,44 +283,75 @@ def similar(a: list[str], b: list[str], similarity: float) -> bool:
 
 def word_marks(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Of each line `MARKS` words of 64 bits, in which each of its words sets one bit."""
-    out = np.zeros((len(sizes), MARKS), np.uint64)
-    rows = np.flatnonzero(sizes)
-    if len(rows):
-        first = (np.cumsum(sizes) - sizes)[rows]
-        bit, lane = np.uint64(1) << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) % np.uint64(MARKS)
-        for k in range(MARKS):
-            out[rows, k] = np.bitwise_or.reduceat(np.where(lane == k, bit, np.uint64(0)), first)
-    return out
+    bits = np.zeros((len(sizes), 64 * MARKS), bool)
+    line = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    bits.ravel()[line * np.uint64(64 * MARKS) + hashes % np.uint64(64 * MARKS)] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
 
 
 def within(words: np.ndarray, first: np.ndarray, counts: np.ndarray, at: np.ndarray, to: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Which of the pairs of lines (at, to) have an edit distance of at most `most`, which their lengths must allow.
 
-    Edit distances in a band, row by row, of many pairs of about equal length side by side.
+    Hyyro's bit-parallel recurrence in a band along the diagonal, for many pairs side by side. So many edits leave a band
+    of most + 1 cells, as each step off the way between the ends has to be taken back.
     """
     out = np.zeros(len(at), bool)
-    order = np.argsort(-counts[at], kind="stable")
-    while len(order):
-        longest = int(counts[at[order[0]]])
-        some = order[:min(SIDE_BY_SIDE, int(np.searchsorted(-counts[at[order]], -(3 * longest // 4), side="right")))]
-        order = order[len(some):]
-        n, m, band = counts[at[some]], counts[to[some]], int(most[some].max())
-        here = words[np.minimum(first[at[some]] + np.arange(longest)[:, None], len(words) - 1)]
-        there = np.arange(-band, longest + band)[:, None]
-        there = words[np.clip(first[to[some]] + there, 0, len(words) - 1)]
-        # Cell o of a row is the distance of the first i words of one line and the first i + o - band of the other, less o.
-        step = np.arange(2 * band + 1)[:, None]
-        row = np.repeat(np.where(step < band, 1 << 13, -band).astype(np.int16), len(some), axis=1)
+    at, to = np.where(counts[at] <= counts[to], at, to), np.where(counts[at] <= counts[to], to, at)
+    everything = np.argsort(-counts[at], kind="stable")
+    one, full = np.uint64(1), ~np.uint64(0)
+
+    def above(bit: np.ndarray, lanes: int) -> np.ndarray:
+        """A row of 64 bits for each lane, all bits from the given one on."""
+        return full << np.clip(bit - 64 * np.arange(lanes)[:, None], 0, 64).astype(np.uint64)
+
+    for some in np.split(everything, range(SIDE_BY_SIDE, len(everything), SIDE_BY_SIDE)) if len(at) else ():
+        n, gap = counts[at[some]], counts[to[some]] - counts[at[some]]
+        below, width, longest = (most[some] - gap) // 2, int(most[some].max()) + 1, int(n[0])
+        lanes = -(-width // 64)
+        here = words[np.minimum(first[at[some]][:, None] + np.arange(longest), len(words) - 1)]
+        there = words[np.clip((first[to[some]] - below)[:, None] + np.arange(longest + width), 0, len(words) - 1)]
+        # Bit o of row i is about word i + o - below of the longer line: whether the distance up to it goes up or down.
+        up, down = above(below, lanes), np.zeros((lanes, len(some)), np.uint64)
+        goal, lane, far = ((gap + below) % 64).astype(np.uint64), (gap + below) // 64, gap.copy()
+        match = np.zeros((len(some), 8 * lanes), np.uint8)
         # Lines come in order of length, so those that go on are in front.
         live = np.searchsorted(-n, -np.arange(longest + 1), side="left").tolist()
+        before, place = int(below.max()), np.arange(len(some))
         for i in range(longest):
-            row = row[:, :live[i]]
-            now = row + (there[i:i + 2 * band + 1, :live[i]] != here[i, :live[i]])
-            np.minimum(now[:-1], row[1:] + np.int16(2), out=now[:-1])
-            row = np.minimum.accumulate(now, axis=0, out=now)
-            done = np.arange(live[i + 1], live[i])
-            cell = m[done] - n[done] + band
-            out[some[done]] = row[cell, done] + cell <= most[some[done]]
+            k = live[i]
+            if i % 16 == 15:
+                # Distances along a diagonal never fall, so pairs that are too far apart by now stay so.
+                kept = np.flatnonzero(far <= most[some])
+                if len(kept) < 3 * len(some) // 4:
+                    some, n, below, goal, lane, far = some[kept], n[kept], below[kept], goal[kept], lane[kept], far[kept]
+                    here, there, match = here[kept], there[kept], match[kept]
+                    up, down = (x[:, kept[:np.searchsorted(kept, x.shape[1])]] for x in (up, down))
+                    live = np.searchsorted(-n, -np.arange(longest + 1), side="left").tolist()
+                    k = live[i]
+            if not k:
+                break
+            up, down = up[:, :k], down[:, :k]
+            match[:k, :(width + 7) // 8] = np.packbits(there[:k, i:i + width] == here[:k, i, None], axis=1, bitorder="little")
+            same = match[:k].view("<u8").T
+            if i < before:
+                same = same & above(below[:k] - i, lanes)
+            held = same & up
+            total = held + up
+            for x in range(1, lanes):
+                over = total[x - 1] < held[x - 1]
+                if x > 1:
+                    total[x - 1] += carried
+                    over |= carried & (total[x - 1] == 0)
+                carried = over
+            if lanes > 1:
+                total[-1] += carried
+            diagonal = (total ^ up) | same | down
+            far[:k] += ((diagonal[lane[:k], place[:k]] if lanes > 1 else diagonal[0]) >> goal[:k] & one) == 0
+            rise, fall = down | ~(diagonal | up), diagonal & up
+            lower = diagonal >> one
+            lower[:-1] |= diagonal[1:] << np.uint64(63)
+            up, down = fall | ~(lower | rise), lower & rise
+        out[some] = far <= most[some]
     return out
 
 
@@ -295,11 +368,13 @@ def verified(lines: pa.Array, fps: np.ndarray, ends: list[int], radius: int, sim
 
 
 def spanning_links(words: np.ndarray, counts: np.ndarray, fps: np.ndarray, ends: list[int], radius: int,
-                   similarity: float) -> list[tuple[int, int]]:
-    """Links of forests that span, in each run of lines up to one of the ends, all pairs within the radius that are similar.
+                   similarity: float, members: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links of a forest that connects what pairs connect that are within the radius and similar, of members of one set.
 
-    Lines are given by hashes of their words and the number of words of each.
+    Lines are given by hashes of their words and the number of words of each, sets by the numbers of their lines in
+    ascending order (unless given, each line is in one set) and where each set ends. What one set connects is not looked at in others.
     """
+    members = np.arange(len(counts)) if members is None else members
     marks, first = word_marks(words, counts), np.cumsum(counts) - counts
 
     def may(at: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -369,10 +444,13 @@ def spanning_links(words: np.ndarray, counts: np.ndarray, fps: np.ndarray, ends:
         stop = max(i + 1, int(np.searchsorted(pairs, pairs[i] - before[i] + PAIRS_AT_ONCE, side="right")))
         at = np.repeat(np.arange(i, stop), before[i:stop])
         to = np.arange(len(at)) + np.repeat(start[i:stop] - (pairs[i:stop] - before[i:stop] - (pairs[i] - before[i])), before[i:stop])
+        at, to = members[at], members[to]
         apart = root[at] != root[to]
         at, to = at[apart], to[apart]
         kept = may(at, to)
-        link(at[kept], to[kept])
+        # A pair may be in several sets.
+        at, to = np.divmod(np.unique(at[kept] * len(counts) + to[kept]), len(counts))
+        link(at, to)
         i = stop
     return links
 
@@ -423,11 +501,12 @@ def bucket_sets(nodes: DataFrame, masks: list[int], count: int, radius: int, sim
 
     def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         fps, words = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in (0, 2))
-        keys = np.frombuffer(b"".join(key for b in held for key in b.column(1).to_pylist()), np.uint32)
+        keys = np.concatenate([bytes_of(b.column(1))[0].view(np.uint32) for b in held])
         fps = fps.view(np.uint64)
         places = bucket_places(fps, keys.reshape(-1, BANDS), words, choices)
         part = (offset + ((places >> np.uint64(40)) * ranges >> np.uint64(24))).ravel()
-        order = np.argsort(part, kind="stable")
+        # Numbers of 16 bits are sorted by their digits.
+        order = np.argsort(part.astype(np.uint16) if sum(each) <= 1 << 16 else part, kind="stable")
         part = part[order]
         first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         ends = pa.array(np.append(first, len(part)) * 8, pa.int64())
@@ -472,53 +551,56 @@ def bucket_sets(nodes: DataFrame, masks: list[int], count: int, radius: int, sim
 
 
 def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """(set, h): lines that hang together in a bucket of blocks or of keys, of nodes (h, fp, keys, words).
+    """(set, ...): lines that hang together in a bucket of blocks or of keys, of nodes (h, fp, keys, words, ...).
 
-    Buckets hold fingerprints alone; a set has all lines of its fingerprints.
+    Buckets hold fingerprints alone; a set has all lines of its fingerprints, with all columns but keys and words.
     """
     count = nodes.count()
-    met = staged(bucket_sets(nodes, block_masks(count, radius), count, radius, similarity).distinct(), "met")
-    sets = staged(met.join(nodes.select("fp", "h"), "fp").select("set", "h"), "sets")
-    drop_staged(met)
-    return sets
+    met = bucket_sets(nodes, block_masks(count, radius), count, radius, similarity).distinct()
+    return staged(met.join(nodes.drop("keys", "words"), "fp"), "sets")
 
 
-def verified_links(sets: DataFrame, texts: DataFrame, radius: int = WIDE,
-                   similarity: float = SIMILARITY) -> DataFrame:
+def verified_links(lines: DataFrame, radius: int = WIDE, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between the lines of each set within the radius whose edit similarity reaches the threshold.
 
-    texts are (h, fp, line).
+    lines are (least, set, parts, h, fp, line): a row for each line of each set, with the least line of the set and the number
+    of its parts. Sets with the same least line share most of their lines, so a task has them together.
     """
-    sizes = sets.groupBy("set").agg(F.ceil(F.count("*") / SET_LINES).cast("int").alias("parts"))
     part = F.pmod(F.col("h"), F.col("parts")).cast("int")
-    tasks = sets.join(sizes, "set").withColumn("part", part).select("set", "h", F.explode(F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda j: F.struct(F.least("part", j).alias("x"), F.greatest("part", j).alias("y")))).alias("p"))
-    rows = tasks.join(texts, "h").select("set", "p.x", "p.y", "h", "fp", "line")
+    rows = lines.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "least", F.least(part, "j").alias("x"), F.greatest(part, "j").alias("y"), "set", "h", "fp", "line")
 
     def links(batch: pa.RecordBatch, ends: list[int]) -> pa.RecordBatch:
-        h, fps = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
-        words = all_words(batch.column(5), normal_words)
-        pairs = np.array(spanning_links(*words, fps.view(np.uint64), ends, radius, similarity), np.int64).reshape(-1, 2)
+        h, one, members = np.unique(batch.column(4).to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+        fps = batch.column(5).to_numpy(zero_copy_only=False)[one].view(np.uint64)
+        words = all_words(batch.column(6).take(pa.array(one)).cast(pa.string()), normal_words)
+        pairs = np.array(spanning_links(*words, fps, ends, radius, similarity, members), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(h[pairs[:, 0]]), pa.array(h[pairs[:, 1]])], ["a", "b"])
 
+    def whole(held: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, list[int]]:
+        batch = pa.concat_batches(held)
+        change = np.zeros(max(0, len(batch) - 1), bool)
+        for i in range(4):
+            key = batch.column(i).to_numpy(zero_copy_only=False)
+            change |= key[1:] != key[:-1]
+        return batch, (np.flatnonzero(change) + 1).tolist()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        held: list[pa.RecordBatch] = []
+        wanted = LINES_AT_ONCE
         for batch in batches:
-            batch = batch if rest is None else pa.concat_batches([rest, batch])
-            change = np.zeros(max(0, len(batch) - 1), bool)
-            for i in range(3):
-                key = batch.column(i).to_numpy(zero_copy_only=False)
-                change |= key[1:] != key[:-1]
-            # The last set may go on in the next batch.
-            ends = (np.flatnonzero(change) + 1).tolist()
-            if ends:
-                yield links(batch, ends)
-            rest = batch.slice(ends[-1] if ends else 0)
-        if rest is not None and len(rest):
-            yield links(rest, [len(rest)])
-
-    return rows.repartition("set", "x", "y").sortWithinPartitions("set", "x", "y", "h").mapInArrow(
+            held.append(batch)
+            if (size := sum(map(len, held))) >= wanted or sum(b.nbytes for b in held) >= TEXT_AT_ONCE * wanted / LINES_AT_ONCE:
+                # The last set may go on in the next batch.
+                batch, ends = whole(held)
+                if ends:
+                    yield links(batch.slice(0, ends[-1]), ends)
+                held, wanted = [batch.slice(ends[-1])] if ends else [batch], LINES_AT_ONCE if ends else 2 * size
+        if sum(map(len, held)):
+            batch, ends = whole(held)
+            yield links(batch, [*ends, len(batch)])
+
+    return rows.repartition("least", "x", "y").sortWithinPartitions("least", "x", "y", "set", "h").mapInArrow(
         run, "a bigint, b bigint")
 
 
@@ -526,29 +608,29 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     """(_key, _gone): the numbers of the lines that go, of each document (_key, _id, _text) that loses some."""
     send_package(docs)
 
-    @F.arrow_udf("array<struct<no: int, h: bigint, fp: bigint, keys: binary, words: int>>")
+    @F.arrow_udf("array<struct<no: int, start: int, size: int, h: bigint, fp: bigint, keys: binary, words: int>>")
     def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             yield from signatures(column)
 
     with_keys = staged(docs.select("_key", "_id", F.explode(signed("_text")).alias("s")).select("_key", "_id", "s.*"), "lines")
-    place = F.struct("_id", "_key", "no")
+    place = F.struct("_id", "_key", "no", "start", "size")
     keyed = staged(with_keys.groupBy("h").agg(F.first("fp").alias("fp"), F.min(place).alias("at"),
                                               F.count("*").alias("n"), F.first("keys").alias("keys"),
                                               F.first("words").alias("words")), "nodes")
     # Keys are most of these tables; they go as soon as they have been used.
     occurrences = staged(with_keys.select("_key", "_id", "no", "h"), "lines")
     drop_staged(with_keys)
-    sets = candidate_sets(keyed.select("h", "fp", "keys", "words"), radius, similarity)
-    nodes = staged(keyed.drop("keys", "words"), "nodes")
+    sets = candidate_sets(keyed.select("h", "fp", "keys", "words", "at._key", "at.start", "at.size"), radius, similarity)
+    nodes = staged(keyed.select("h", "at", "n"), "nodes")
     drop_staged(keyed)
-    wanted = nodes.join(sets.select("h").distinct(), "h", "left_semi").select("h", "fp", "at._key", "at.no")
-    by_document = wanted.groupBy("_key").agg(F.collect_list(F.struct("h", "fp", "no")).alias("wanted"))
-    texts = staged(
-        docs.select("_key", "_text").join(by_document.hint("shuffle_hash"), "_key")
-        .select(F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-        .select("w.h", "w.fp", F.get("lines", F.col("w.no")).alias("line")).distinct(), "line-texts")
-    found = components(verified_links(sets, texts, max(radius, WIDE), similarity))
+    sizes = sets.groupBy("set").agg(F.ceil(F.count("*") / SET_LINES).cast("int").alias("parts"), F.min("h").alias("least"))
+    by_document = sets.join(sizes, "set").groupBy("_key").agg(F.collect_list(F.struct("least", "set", "parts", "h", "fp", "start", "size")).alias("wanted"))
+    # Rows that agree in id and text hand their lines out once.
+    once = docs.groupBy("_key").agg(F.first(F.col("_text").cast("binary")).alias("_bytes"))
+    lines = once.join(by_document.hint("shuffle_hash"), "_key").select("_bytes", F.explode("wanted").alias("w")).select(
+        "w.least", "w.set", "w.parts", "w.h", "w.fp", F.substring("_bytes", F.col("w.start") + 1, F.col("w.size")).alias("line"))
+    found = components(verified_links(lines, max(radius, WIDE), similarity))
     grouped = nodes.join(found, nodes.h == found.node, "left").select(
         "h", "at", "n", F.coalesce("component", "h").alias("group"), F.col("component").isNotNull().alias("linked"))
     repeated = grouped.where("n > 1 or linked")
@@ -556,7 +638,7 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     going = repeated.join(keeper, "group").select("h", F.col("keep._key").alias("keep_key"), F.col("keep.no").alias("keep_no"))
     gone = occurrences.join(going, "h").where("_key != keep_key or no != keep_no")
     gone = staged(gone.groupBy("_key").agg(F.collect_set("no").alias("_gone")), "gone-lines")
-    for done in (occurrences, nodes, sets, texts, found):
+    for done in (occurrences, nodes, sets, found):
         drop_staged(done)
     return gone
 

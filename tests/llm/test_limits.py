@@ -187,3 +187,65 @@ def test_places_move_packed(spark):
             wanted.setdefault((band, k), set()).add(fp)
     wide = [s for s in wanted.values() if all(bin(a ^ b).count("1") <= 64 for a in list(s)[:1] for b in s)]
     assert len(wide) == 50 * line_dedup.BANDS and all(s in found.values() for s in wide)
+
+
+def test_lines_are_found_by_their_bytes():
+    rng = np.random.default_rng(15)
+    texts = ["".join(rng.choice(["a", "é", " ", "\n", "b1", "\n\n", "a word of more than 16 bytes: ñandúñandúñandú"], rng.integers(0, 12)))
+             for _ in range(400)]
+    rows = [x for part in line_dedup.signatures(pa.array(texts)) for x in part.to_pylist()]
+    hashes = {}
+    for text, row in zip(texts, rows, strict=True):
+        for x in row:
+            line = text.encode()[x["start"]:x["start"] + x["size"]].decode()
+            assert line == text.split("\n")[x["no"]]
+            norm = " ".join(re.sub("[0-9]", "0", re.sub(r"[\W_]+", " ", line)).split())
+            assert hashes.setdefault(norm, x["h"]) == x["h"]
+    assert len(set(hashes.values())) == len(hashes) > 20
+
+
+def test_pairs_of_several_sets_are_looked_at_once(monkeypatch):
+    rng, asked, plain = np.random.default_rng(16), [], line_dedup.within
+    base = rng.integers(0, 1 << 64, 40, np.uint64)
+    lines = [np.delete(base, i) for i in range(3)] + [np.delete(base, [3, 4]), np.append(base, base[:1])]
+    counts, fps = np.array([len(x) for x in lines]), np.zeros(5, np.uint64)
+
+    def counted(*args):
+        asked.append(len(args[3]))
+        return plain(*args)
+
+    monkeypatch.setattr(line_dedup, "within", counted)
+    once = line_dedup.spanning_links(np.concatenate(lines), counts, fps, [5], 20, 0.8)
+    alone = sum(asked)
+    asked.clear()
+    # Three sets of the same lines, and one that holds some of them.
+    again = line_dedup.spanning_links(np.concatenate(lines), counts, fps, [5, 10, 13, 18], 20, 0.8,
+                                      np.array([*range(5), *range(5), 0, 2, 4, *range(5)]))
+    assert once == again and len(once) == 4 and sum(asked) == alone
+
+
+def test_distances_of_long_lines_side_by_side():
+    rng = np.random.default_rng(17)
+    lines = []
+    for _ in range(60):
+        line = rng.integers(0, 50, rng.integers(150, 400))
+        lines += [line.tolist(), line[rng.random(len(line)) > 0.3].tolist()]
+    counts, at = np.array([len(x) for x in lines]), np.arange(0, 120, 2)
+    most = (counts[at] * rng.uniform(0.2, 0.5, len(at))).astype(int)
+    at, most = at[counts[at] - counts[at + 1] <= most], most[counts[at] - counts[at + 1] <= most]
+    args = np.concatenate(lines).astype(np.uint64), np.cumsum(counts) - counts, counts
+    wanted = [line_dedup.distance(lines[i], lines[i + 1], int(k)) <= k for i, k in zip(at, most, strict=True)]
+    assert line_dedup.within(*args, at, at + 1, most).tolist() == line_dedup.within(*args, at + 1, at, most).tolist() == wanted
+    assert most.max() > 128
+
+
+def test_many_pairs_are_united_at_once():
+    rng = np.random.default_rng(18)
+    for _ in range(100):
+        n = int(rng.integers(1, 40))
+        at, to = rng.integers(0, n, (2, int(rng.integers(0, 40))))
+        root, wanted = np.arange(n), list(range(n))
+        line_dedup.unite(root, at, to)
+        for i, j in zip(at.tolist(), to.tolist(), strict=True):
+            wanted = [max(wanted[i], wanted[j]) if w in (wanted[i], wanted[j]) else w for w in wanted]
+        assert root.tolist() == wanted
