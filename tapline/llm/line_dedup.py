@@ -34,7 +34,7 @@ from operator import ne
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapline.llm.common import (
@@ -560,27 +560,38 @@ def candidate_sets(nodes: DataFrame, radius: int = RADIUS, similarity: float = S
     return staged(met.join(nodes.drop("keys", "words"), "fp"), "sets")
 
 
+def sets_with_company(sets: DataFrame) -> DataFrame:
+    """(set, parts, least, slot): of each set the number of its parts, its least line, and which of the sets with it go along.
+
+    A line is in no more sets than it has buckets. Those that have the same least line and more than `SET_LINES` lines in all are dealt to slots.
+    """
+    sizes = sets.groupBy("set").agg(F.count("*").alias("n"), F.min("h").alias("least"))
+    slots = F.ceil(F.sum("n").over(Window.partitionBy("least")) / SET_LINES)
+    return sizes.select("set", F.ceil(F.col("n") / SET_LINES).cast("int").alias("parts"), "least",
+                        F.pmod("set", slots).cast("int").alias("slot"))
+
+
 def verified_links(lines: DataFrame, radius: int = WIDE, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between the lines of each set within the radius whose edit similarity reaches the threshold.
 
-    lines are (least, set, parts, h, fp, line): a row for each line of each set, with the least line of the set and the number
-    of its parts. Sets with the same least line share most of their lines, so a task has them together.
+    lines are (least, slot, set, parts, h, fp, line): a row for each line of each set, with the least line of the set, its slot
+    and the number of its parts. Sets with the same least line share most of their lines, so a task has a slot of them together.
     """
     part = F.pmod(F.col("h"), F.col("parts")).cast("int")
     rows = lines.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "least", F.least(part, "j").alias("x"), F.greatest(part, "j").alias("y"), "set", "h", "fp", "line")
+        "least", "slot", F.least(part, "j").alias("x"), F.greatest(part, "j").alias("y"), "set", "h", "fp", "line")
 
     def links(batch: pa.RecordBatch, ends: list[int]) -> pa.RecordBatch:
-        h, one, members = np.unique(batch.column(4).to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
-        fps = batch.column(5).to_numpy(zero_copy_only=False)[one].view(np.uint64)
-        words = all_words(batch.column(6).take(pa.array(one)).cast(pa.string()), normal_words)
+        h, one, members = np.unique(batch.column(5).to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+        fps = batch.column(6).to_numpy(zero_copy_only=False)[one].view(np.uint64)
+        words = all_words(batch.column(7).take(pa.array(one)).cast(pa.string()), normal_words)
         pairs = np.array(spanning_links(*words, fps, ends, radius, similarity, members), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(h[pairs[:, 0]]), pa.array(h[pairs[:, 1]])], ["a", "b"])
 
     def whole(held: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, list[int]]:
         batch = pa.concat_batches(held)
         change = np.zeros(max(0, len(batch) - 1), bool)
-        for i in range(4):
+        for i in range(5):
             key = batch.column(i).to_numpy(zero_copy_only=False)
             change |= key[1:] != key[:-1]
         return batch, (np.flatnonzero(change) + 1).tolist()
@@ -600,7 +611,7 @@ def verified_links(lines: DataFrame, radius: int = WIDE, similarity: float = SIM
             batch, ends = whole(held)
             yield links(batch, [*ends, len(batch)])
 
-    return rows.repartition("least", "x", "y").sortWithinPartitions("least", "x", "y", "set", "h").mapInArrow(
+    return rows.repartition("least", "slot", "x", "y").sortWithinPartitions("least", "slot", "x", "y", "set", "h").mapInArrow(
         run, "a bigint, b bigint")
 
 
@@ -624,12 +635,12 @@ def removable(docs: DataFrame, radius: int, similarity: float) -> DataFrame:
     sets = candidate_sets(keyed.select("h", "fp", "keys", "words", "at._key", "at.start", "at.size"), radius, similarity)
     nodes = staged(keyed.select("h", "at", "n"), "nodes")
     drop_staged(keyed)
-    sizes = sets.groupBy("set").agg(F.ceil(F.count("*") / SET_LINES).cast("int").alias("parts"), F.min("h").alias("least"))
-    by_document = sets.join(sizes, "set").groupBy("_key").agg(F.collect_list(F.struct("least", "set", "parts", "h", "fp", "start", "size")).alias("wanted"))
+    sizes = sets_with_company(sets)
+    by_document = sets.join(sizes, "set").groupBy("_key").agg(F.collect_list(F.struct("least", "slot", "set", "parts", "h", "fp", "start", "size")).alias("wanted"))
     # Rows that agree in id and text hand their lines out once.
     once = docs.groupBy("_key").agg(F.first(F.col("_text").cast("binary")).alias("_bytes"))
     lines = once.join(by_document.hint("shuffle_hash"), "_key").select("_bytes", F.explode("wanted").alias("w")).select(
-        "w.least", "w.set", "w.parts", "w.h", "w.fp", F.substring("_bytes", F.col("w.start") + 1, F.col("w.size")).alias("line"))
+        "w.least", "w.slot", "w.set", "w.parts", "w.h", "w.fp", F.substring("_bytes", F.col("w.start") + 1, F.col("w.size")).alias("line"))
     found = components(verified_links(lines, max(radius, WIDE), similarity))
     grouped = nodes.join(found, nodes.h == found.node, "left").select(
         "h", "at", "n", F.coalesce("component", "h").alias("group"), F.col("component").isNotNull().alias("linked"))

@@ -249,3 +249,13 @@ def test_many_pairs_are_united_at_once():
         for i, j in zip(at.tolist(), to.tolist(), strict=True):
             wanted = [max(wanted[i], wanted[j]) if w in (wanted[i], wanted[j]) else w for w in wanted]
         assert root.tolist() == wanted
+
+
+def test_large_sets_with_one_least_line_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SET_LINES", 100)
+    rows = [(s, h) for s in range(40) for h in [7, *range(1000 + s, 1060 + s)]] + [(s, h) for s in (90, 91) for h in (5, 6)]
+    rows += [(80, h) for h in range(2000, 2250)]
+    found = {r.set: r for r in line_dedup.sets_with_company(spark.createDataFrame(rows, "set long, h long")).collect()}
+    assert len(found) == 43 and {found[s].least for s in range(40)} == {7} and found[80].parts == 3
+    together = np.bincount([found[s].slot for s in range(40)])
+    assert 61 * together.max() <= 2 * 100 and found[90].slot == found[91].slot == 0 and found[90].parts == 1
