@@ -346,6 +346,92 @@ def test_passages_of_more_texts_than_few_are_one_class(spark):
         {(22, 0, 90)}, {(20, 0, 55), (20, 255, 310), (21, 9, 64)}, {(i, i, i + 60) for i in range(12)}]
 
 
+def test_passages_edited_in_phrases_that_many_texts_hold(spark):
+    rng = np.random.default_rng(23)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    def edited(passage, every):
+        return ["other" if i % every == every - 1 else w for i, w in enumerate(passage)]
+
+    rows, wanted = [], {}
+    # Two and twelve texts hold a passage with edits, and twelve others each phrase of it.
+    for many, size, every in ((2, 60, 20), (12, 80, 23)):
+        shared = words(size)
+        for j in range(many):
+            # Each has edits of its own, in the same places.
+            mine = [f"x{len(rows)}" if w == "other" else w for w in edited(shared, every)]
+            wanted[len(rows)] = (20 + j, 20 + j + size, many + size)
+            rows.append((len(rows), " ".join(words(20 + j) + mine + words(30))))
+        for i in range(size - 6):
+            rows += [(len(rows) + j, " ".join(words(15) + shared[i:i + 7] + words(15))) for j in range(12)]
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.doc_id: r for r in out}
+    assert set(found) == set(wanted)
+    for doc, (start, stop, _) in wanted.items():
+        # Words after the last edit may be fewer than a seed has.
+        assert abs(found[doc].passage_start - start) <= 3 and abs(found[doc].passage_stop - stop) <= 20 and (
+            found[doc].passage_stop - found[doc].passage_start >= passages.PASSAGE)
+    classes = defaultdict(set)
+    for r in out:
+        classes[wanted[r.doc_id][2]].add(r.passage_class)
+    assert [len(c) for c in classes.values()] == [1, 1]
+
+
+def test_passages_edited_at_the_second_place_of_a_text(spark):
+    rng = np.random.default_rng(24)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    rows, wanted = [], set()
+    # Whichever of the two texts comes first in order of hashes.
+    for n in range(0, 16, 2):
+        shared = words(60)
+        again = ["other" if i % 20 == 19 else w for i, w in enumerate(shared)][:59]
+        rows += [(n, " ".join(words(10) + shared + words(100) + again + words(10))), (n + 1, " ".join(words(30) + shared + words(5)))]
+        wanted |= {(n, 10, 70), (n, 170, 229), (n + 1, 30, 90)}
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.passage_start, r.passage_stop) for r in out} == wanted
+
+
+def test_passages_of_one_word_said_again_and_again(spark):
+    rng = np.random.default_rng(25)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+
+    rows = [(0, " ".join(words(20) + ["la"] * 25 + ["one"] + ["la"] * 25 + words(40))),
+            (1, " ".join(words(35) + ["la"] * 25 + ["two"] + ["la"] * 25 + words(10))),
+            (2, " ".join(words(50) + ["la"] * 13 + words(50)))]
+    out = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.passage_start, r.passage_stop) for r in out} == {(0, 20, 71), (1, 35, 86)}
+    assert len({r.passage_class for r in out}) == 1
+
+
+def test_pairs_of_seeds(spark):
+    """Pairs of random places against a plain search."""
+    rng = np.random.default_rng(26)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        th = np.sort(rng.integers(0, 3, n))
+        x = np.concatenate([np.cumsum(rng.integers(1, int(rng.integers(2, 20)), (th == t).sum())) for t in range(3)])
+        seed, many = rng.integers(1, int(rng.integers(2, 12)), n), rng.integers(0, 2, n).astype(bool)
+        reach = rng.integers(0, 100, n)
+        *_, h, a, b, still = passages.seed_pairs(th, x, seed, many, reach)
+        pairs = []
+        for i in range(n):
+            for j in range(i + 1, n):
+                far = x[j] - x[i]
+                if th[i] != th[j] or far > passages.REACH or seed[j] in seed[i + 1:j] or seed[i] in seed[i + 1:j]:
+                    continue
+                if (many[i] or many[j]) and far >= passages.CHAIN - passages.K and (seed[i] != seed[j] or far > passages.K):
+                    pairs.append((th[i], x[i], x[j], reach[i] < x[j] + passages.K))
+        assert sorted(zip(h.tolist(), a.tolist(), b.tolist(), still.tolist())) == sorted(
+            (int(t), int(p), int(q), bool(o)) for t, p, q, o in pairs)
+
+
 def test_passages_with_other_words_between(spark):
     rng = np.random.default_rng(12)
 
